@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import shared_dir, table
 from .line_dedup import line_dedup
 from .quality_rules import quality_rules
+from .topk_search import exact_topk
+from .warc import page_records, read_warc, write_warc
+
+
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,14 +28,43 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("quality", 6).alias("quality"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    write_warc(table(spark, sf_dir, "pages"), path, min_bytes=0)
+    return page_records(read_warc(spark, path)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
+    "op1_topk_search": op1_topk_search,
     "op3_line_dedup": op3_line_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op9_warc": op9_warc,
 }
 
 _BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLE_SQL = {
+    "op1_topk_search": """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(256 * x::DOUBLE) AS BIGINT) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c AS (SELECT vec_id, unnest(e) AS x, unnest(range(len(e))) AS i FROM v),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM c AS q JOIN c USING (i) WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id GROUP BY ALL),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op9_warc": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (
+  SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+         array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST(1 + ((('0x' || substr(h, CAST(1 + (i // 4) * 5 AS INTEGER), 5))::BIGINT >> CAST(5 * (3 - i % 4) AS INTEGER)) & 31) AS INTEGER), 1)), '') AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first FROM d GROUP BY ALL)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d JOIN f USING (payload_digest)""",
     "op3_line_dedup": f"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
