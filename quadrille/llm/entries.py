@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import shared_dir, table
 from .line_dedup import line_dedup
+from .near_dup import near_duplicates
 from .quality_rules import quality_rules
 from .topk_search import exact_topk
 from .warc import page_records, read_warc, write_warc
@@ -18,6 +19,11 @@ def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8)
+    return out.select(F.col("id").alias("doc_id"), F.col("group").alias("class_id"), F.col("text_class").alias("text_class_id"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -36,6 +42,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_topk_search": op1_topk_search,
+    "op2_near_dedup": op2_near_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op9_warc": op9_warc,
