@@ -222,7 +222,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     grid = ["key", "row_cell", "pivot_cell"]
     held = waiting.withColumn("row_cell", cell(1, "member_cells")).withColumn("pivot_cell", every("pivot_cells")).select(*grid, "id", "label")
     lone = waiting.filter("label <> largest").withColumn("pivot_cell", cell(2, "pivot_cells")).withColumn("row_cell", every("member_cells")).select(*grid, "id", "label")
-    found = held.join(sets, "id").groupBy(*grid).cogroup(lone.join(sets, "id").groupBy(*grid)).applyInPandas(meet(threshold, weighted), "a long, b long")
+    own = lambda df: df.select(*[F.col(c).alias(c) for c in df.columns])  # noqa: E731  the sides share their origin
+    found = own(held.join(sets, "id")).groupBy(*grid).cogroup(own(lone.join(sets, "id")).groupBy(*grid)).applyInPandas(meet(threshold, weighted), "a long, b long")
     rest, _ = staged(found.distinct(), "near-links")
     labels, _ = components(star.unionByName(rest))
     out = prints.join(classes.select("f1", "f2", "class"), ["f1", "f2"]).select("id", "class")
