@@ -7,9 +7,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .classifier import quality_classifier
 from .common import shared_dir, table
 from .line_dedup import line_dedup
+from .mixing import schedule
 from .near_dup import near_duplicates
+from .pieces import encode_documents
 from .quality_rules import quality_rules
 from .topk_search import exact_topk
 from .warc import page_records, read_warc, write_warc
@@ -29,11 +32,24 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"), dropout=0.1)
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"), drop=("text",))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("quality", 6).alias("quality"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = schedule(table(spark, sf_dir, "documents"), max_repeats=2.0)
+    return out.select(F.col("id").alias("doc_id"), "source", "tokens", "pass", F.round("position", 9).alias("position"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_warc(table(spark, sf_dir, "pages"), path, min_bytes=0)
@@ -44,7 +60,10 @@ QUERIES = {
     "op1_topk_search": op1_topk_search,
     "op2_near_dedup": op2_near_dedup,
     "op3_line_dedup": op3_line_dedup,
+    "op4_pieces": op4_pieces,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_quality_rules": op6_quality_rules,
+    "op7_mixing": op7_mixing,
     "op9_warc": op9_warc,
 }
 
