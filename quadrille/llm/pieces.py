@@ -18,6 +18,8 @@ MARK = "▁"
 MASK = (1 << 64) - 1
 #: Segmentations kept per task, and the longest stretch of text that is kept.
 KEPT, KEPT_CHARS = 150_000, 48
+#: Stretches merged in step, and characters of text worked off together.
+STEP, TOGETHER = 4096, 1 << 20
 
 
 def default_model() -> str:
@@ -37,6 +39,27 @@ class Vocabulary:
     surface: list[bytes]
     stretch: re.Pattern = field(default=None)
 
+    def __post_init__(self) -> None:
+        """Tables for merging many stretches at once: symbols are pieces, or characters that only pieces hold."""
+        symbols = dict(self.ids)
+        for p in list(self.ids):
+            for c in p:
+                symbols.setdefault(c, len(self.scores) + len(symbols))
+        pairs = {}
+        for p, i in self.ids.items():
+            for k in range(1, len(p)):
+                a, b = symbols.get(p[:k]), symbols.get(p[k:])
+                if a is not None and b is not None:
+                    pairs[(a << 32) | b] = i
+        self.keys = np.array(sorted(pairs), np.int64)
+        self.merged = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
+        self.cost = np.append(-np.array(self.scores, float), np.inf)
+        self.symbol_of = np.full(0x110000, -1, np.int64)
+        for s, i in symbols.items():
+            if len(s) == 1:
+                self.symbol_of[ord(s)] = i
+        self.symbol_of[ord(" ")], self.symbol_of[ord(MARK)] = self.symbol_of[ord(MARK)], -1
+
     @classmethod
     def load(cls, model_file: str) -> Vocabulary:
         import sentencepiece
@@ -108,6 +131,73 @@ class Vocabulary:
                     out.append(piece)
         return out
 
+    def segment_all(self, stretches: list[str], dropout: float, keys: np.ndarray) -> list[bytes]:
+        """``segment`` of many short stretches in step: each step merges the best candidate of every stretch that has one.
+
+        A skipped candidate stays skipped by its hash, so the agenda's order is that of the best one left.
+        """
+        size = np.array([len(s) for s in stretches])
+        n, width = len(stretches), int(size.max()) + 1
+        chars = np.frombuffer("".join(stretches).encode("utf-32-le", "surrogatepass"), np.uint32)
+        place = np.arange(len(chars)) - np.repeat(np.cumsum(size) - size, size)
+        row = np.repeat(np.arange(n), size)
+        symbol = np.full((n, width), -1, np.int64)
+        symbol[row, place] = self.symbol_of[chars]
+        keys = keys + np.bincount(row, chars * (place + 1.0), n).astype(np.uint64)
+        after = np.tile(np.arange(1, width + 1), (n, 1))
+        after[np.arange(n), size - 1] = width - 1  # the last column is an end with symbol -1
+        before = np.tile(np.arange(-1, width - 1), (n, 1))
+        piece = np.full((n, width), -1, np.int64)
+        cost = np.full((n, width), np.inf)
+        alive = np.zeros((n, width), bool)
+        alive[row, place] = True
+        limit = np.uint64(int(dropout * 2**32))
+
+        def propose(r: np.ndarray, i: np.ndarray) -> None:
+            a, b = symbol[r, i], symbol[r, after[r, i]]
+            key = (a << 32) | b
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            made = np.where((a >= 0) & (b >= 0) & (self.keys[at] == key), self.merged[at], -1)
+            if limit:
+                x = keys[r] + i.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + made.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+                for _ in range(2):
+                    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+                made = np.where((x >> np.uint64(32)) < limit, -1, made)
+            piece[r, i], cost[r, i] = made, self.cost[made]
+
+        propose(row, place)
+        live = np.arange(n)
+        while len(live):
+            i = cost[live].argmin(axis=1)
+            some = cost[live, i] < np.inf
+            live, i = live[some], i[some]
+            j = after[live, i]
+            symbol[live, i] = piece[live, i]
+            alive[live, j], cost[live, j] = False, np.inf
+            k = after[live, j]
+            after[live, i] = k
+            before[live, k] = i
+            propose(live, i)
+            h = before[live, i]
+            left = h >= 0
+            propose(live[left], h[left])
+        flat = symbol[alive].astype(np.int32)
+        ends = np.cumsum(alive.sum(axis=1))
+        known = np.ones(n, bool)
+        np.logical_and.at(known, np.nonzero(alive)[0], (flat >= 0) & (flat < len(self.scores)))
+        raw, out = flat.tobytes(), []
+        for w, (e, c, fine) in enumerate(zip((ends * 4).tolist(), (alive.sum(axis=1) * 4).tolist(), known.tolist(), strict=True)):
+            out.append(raw[e - c : e] if fine else self.spelled(stretches[w], alive[w], symbol[w]))
+        return out
+
+    def spelled(self, stretch: str, alive: np.ndarray, symbol: np.ndarray) -> bytes:
+        """The ids of a stretch some of whose characters are no pieces."""
+        out: list[int] = []
+        for i in np.flatnonzero(alive):
+            s = int(symbol[i])
+            out += [s] if 0 <= s < len(self.scores) else [self.byte_ids[b] for b in stretch[i].encode("utf-8", "surrogatepass")]
+        return np.array(out, np.int32).tobytes()
+
     def decode(self, ids: Iterator[int]) -> str:
         surface = self.surface
         return b"".join([surface[i] for i in ids])[1:].decode("utf-8", "surrogatepass")
@@ -121,25 +211,42 @@ class Encoder:
         self.variants = variants if dropout else 1
         self.kept: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
 
-    def encode(self, text: str, doc: int) -> np.ndarray:
-        stretches = self.vocabulary.stretch.findall(" " + text) if text else []
-        if self.variants == 1:
-            turns = [0] * len(stretches)
-        else:
+    def key(self, variant: int) -> int:
+        return (self.seed * 0xBF58476D1CE4E5B9 + (variant + 1) * 0x94D049BB133111EB) & MASK
+
+    def encode_all(self, texts: list[str], docs: list[int]) -> list[np.ndarray]:
+        """The ids of each text. What is not kept yet is segmented for all texts together."""
+        vocabulary, kept = self.vocabulary, self.kept
+        split, wanted = [], [set() for _ in range(self.variants)]
+        for text, doc in zip(texts, docs, strict=True):
+            stretches = vocabulary.stretch.findall(" " + text) if text else []
             place = np.arange(len(stretches), dtype=np.uint64) + np.uint64((doc * 0x9E3779B97F4A7C15 + self.seed) & MASK)
-            turns = (mix(place) % np.uint64(self.variants)).tolist()
-        kept, out = self.kept, []
-        for s, v in zip(stretches, turns, strict=True):
-            known = kept[v].get(s)
-            if known is None:
-                key = (self.seed * 0xBF58476D1CE4E5B9 + (v + 1) * 0x94D049BB133111EB + sum(ord(c) * (k + 1) for k, c in enumerate(s))) & MASK
-                known = np.array(self.vocabulary.segment(s, self.dropout, key), np.int32).tobytes()
-                if len(s) <= KEPT_CHARS:
-                    if len(kept[v]) >= KEPT:
-                        kept[v].clear()
-                    kept[v][s] = known
-            out.append(known)
-        return np.frombuffer(b"".join(out), np.int32)
+            turns = (mix(place) % np.uint64(self.variants)).tolist() if self.variants > 1 else [0] * len(stretches)
+            split.append((stretches, turns))
+            for s, v in zip(stretches, turns, strict=True):
+                if s not in kept[v]:
+                    wanted[v].add(s)
+        for v, missing in enumerate(wanted):
+            if len(kept[v]) + len(missing) > KEPT:
+                kept[v].clear()
+                missing = {s for stretches, turns in split for s, t in zip(stretches, turns, strict=True) if t == v}
+            short = sorted((s for s in missing if len(s) <= KEPT_CHARS), key=len)
+            for a in range(0, len(short), STEP):
+                part = short[a : a + STEP]
+                kept[v].update(zip(part, vocabulary.segment_all(part, self.dropout, np.full(len(part), self.key(v), np.uint64)), strict=True))
+            for s in missing:
+                if len(s) > KEPT_CHARS:
+                    key = (self.key(v) + sum(ord(c) * (k + 1) for k, c in enumerate(s))) & MASK
+                    kept[v][s] = np.array(vocabulary.segment(s, self.dropout, key), np.int32).tobytes()
+        out = [np.frombuffer(b"".join([kept[v][s] for s, v in zip(*x, strict=True)]), np.int32) for x in split]
+        for v, missing in enumerate(wanted):
+            for s in missing:
+                if len(s) > KEPT_CHARS:
+                    del kept[v][s]
+        return out
+
+    def encode(self, text: str, doc: int) -> np.ndarray:
+        return self.encode_all([text], [doc])[0]
 
 
 def encode_documents(docs: DataFrame, model_file: str | None = None, dropout: float = 0.1, seed: int = 1, variants: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -164,14 +271,17 @@ def encode_documents(docs: DataFrame, model_file: str | None = None, dropout: fl
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(vocabulary.value, dropout, seed, variants)
         for part in parts:
-            ids, fine = [], []
-            for doc, text in zip(part["known"], part["text"], strict=True):
-                if text is None:
-                    ids.append(None)
-                    fine.append(True)
-                else:
-                    ids.append(encoder.encode(text, int(doc)))
-                    fine.append(encoder.vocabulary.decode(ids[-1].tolist()) == text)
+            texts, docs, ids = part["text"].tolist(), part["known"].tolist(), []
+            at = 0
+            while at < len(texts):
+                end, size = at, 0
+                while end < len(texts) and (end == at or size < TOGETHER):
+                    size += len(texts[end] or "")
+                    end += 1
+                ids += encoder.encode_all([x or "" for x in texts[at:end]], [int(x) for x in docs[at:end]])
+                at = end
+            ids = [None if x is None else i for x, i in zip(texts, ids, strict=True)]
+            fine = [x is None or encoder.vocabulary.decode(i.tolist()) == x for x, i in zip(texts, ids, strict=True)]
             yield pd.DataFrame({"id": part["id"], "ids": ids, "n_tokens": [0 if x is None else len(x) for x in ids], "lossless": fine})
 
     i = F.col(f"`{id_col}`").cast("long")
