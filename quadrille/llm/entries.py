@@ -14,6 +14,7 @@ from .mixing import schedule
 from .near_dup import near_duplicates
 from .pieces import encode_documents
 from .quality_rules import quality_rules
+from .repeats import remove_repeats
 from .topk_search import exact_topk
 from .warc import page_records, read_warc, write_warc
 
@@ -50,6 +51,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "source", "tokens", "pass", F.round("position", 9).alias("position"))
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(table(spark, sf_dir, "documents"), length=400)
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_warc(table(spark, sf_dir, "pages"), path, min_bytes=0)
@@ -64,6 +70,7 @@ QUERIES = {
     "op5_quality_classifier": op5_quality_classifier,
     "op6_quality_rules": op6_quality_rules,
     "op7_mixing": op7_mixing,
+    "op8_repeats": op8_repeats,
     "op9_warc": op9_warc,
 }
 
