@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .classifier import quality_classifier
 from .common import shared_dir, table
+from .extraction import extract
 from .line_dedup import line_dedup
 from .mixing import schedule
 from .near_dup import near_duplicates
@@ -62,6 +63,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_records(read_warc(spark, path)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES = {
     "op1_topk_search": op1_topk_search,
     "op2_near_dedup": op2_near_dedup,
@@ -72,6 +77,7 @@ QUERIES = {
     "op7_mixing": op7_mixing,
     "op8_repeats": op8_repeats,
     "op9_warc": op9_warc,
+    "op10_extraction": op10_extraction,
 }
 
 _BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
