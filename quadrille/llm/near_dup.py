@@ -103,10 +103,17 @@ def similarity(xs: bytes, xc: bytes, ys: bytes, yc: bytes, weighted: bool) -> fl
 
 
 def meet(threshold: float, weighted: bool):
-    """Tasks: links between the members and the pivots of a cell, one for each member and component it links to."""
+    """Tasks: links between the members and the pivots of a cell, as many as it takes to connect what they connect."""
+
+    def root(of: dict[int, int], x: int) -> int:
+        while of.setdefault(x, x) != x:
+            of[x] = of[of[x]]
+            x = of[x]
+        return x
 
     def run(members: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int]] = []
+        joined: dict[int, int] = {}
         if len(members) and len(pivots):
             sets = [np.frombuffer(x, np.uint64) for x in pivots["shingles"]]
             sizes = np.array([len(x) for x in sets])
@@ -132,12 +139,10 @@ def meet(threshold: float, weighted: bool):
                 sure = other & ~uneven & (shared / (total + mass - shared) >= threshold - 1e-12)
                 # Where counts differ, the sum of the smaller shares bounds the similarity.
                 bound = np.bincount(by, np.minimum(a / total, b / mass[by]), len(sets)) if uneven.any() else shared
-                linked: set[int] = set()
                 for j in [*np.flatnonzero(sure), *np.flatnonzero(other & uneven & (bound >= threshold - 1e-9))]:
-                    if labels[j] in linked:
-                        continue
-                    if sure[j] or similarity(ms, mc, pivots["shingles"].iloc[j], pivots["counts"].iloc[j], weighted) >= threshold - 1e-12:
-                        linked.add(labels[j])
+                    x, y = root(joined, label), root(joined, labels[j])
+                    if x != y and (sure[j] or similarity(ms, mc, pivots["shingles"].iloc[j], pivots["counts"].iloc[j], weighted) >= threshold - 1e-12):
+                        joined[x] = y
                         out.append((min(mid, ids[j]), max(mid, ids[j])))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
