@@ -69,7 +69,8 @@ def train(doc: np.ndarray, bucket: np.ndarray, value: np.ndarray, target: np.nda
 def quality_classifier(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: list[Rule] | None = None, sample_rows: int = 4000, threshold: float = 0.5) -> DataFrame:
     """(id, label_posterior, score, kept) of every document, one row per row of ``docs``.
 
-    Overlapping heuristic labellers vote or abstain on every whole text; a label
+    Overlapping heuristic labellers (by default all quality rules but that on length,
+    which says nothing about wording) vote or abstain on every whole text; a label
     model estimates their accuracies over all documents by expectation-maximisation.
     A linear scorer over hashed byte trigrams is trained on the posteriors of the
     ``sample_rows`` documents with the smallest hashes of id and text (that bound is
@@ -78,7 +79,7 @@ def quality_classifier(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Null text counts as empty; an empty text has one feature, the blank. Repeated
     rows score alike. A null id is allowed. An empty table gives no rows.
     """
-    rules = default_rules() if rules is None else rules
+    rules = [r for r in default_rules() if r.name != "length"] if rules is None else rules
     spark = docs.sparkSession
     base = packed(docs, id_col, text_col).select("__id", "__text")
     # Texts are measured once; what is kept of them is their votes.

@@ -6,65 +6,96 @@ whatever the size of the corpus, so what reaches the driver is bounded.
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
+from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Outcomes of a vote, in the order of a rate's three entries.
+OUTCOMES = (1, 0, -1)
+GOOD, OTHER, EXPERT = (0.9, 0.08, 0.02), (0.8, 0.1, 0.1), (0.02, 0.08, 0.9)
+
+Rates = tuple[float, float, float]
+
 
 @dataclass(frozen=True)
 class LabelModel:
-    """prior: P(good). right[j]: (P(votes +1 | good), P(votes -1 | bad)) of rule j, when it votes."""
+    """shares[0] is P(good), shares[j + 1] that of the bad documents of the kind rule j is there for.
+
+    rates[y][i] are the probabilities that rule i votes +1, abstains or votes -1 on
+    a document of class y: the accuracies of the rules.
+    """
+
+    shares: list[float]
+    rates: list[list[Rates]]
 
-    prior: float
-    right: list[tuple[float, float]]
+    def weights(self, votes: tuple[int, ...]) -> list[float]:
+        logs = [math.log(p) + sum(math.log(r[1 - v]) for r, v in zip(rates, votes, strict=True)) for p, rates in zip(self.shares, self.rates, strict=True)]
+        top = max(logs)
+        return [math.exp(x - top) for x in logs]
 
-    def log_odds(self, votes: list[Column]) -> Column:
-        odds = F.lit(math.log(self.prior / (1 - self.prior)))
-        for v, (g, b) in zip(votes, self.right, strict=True):
-            odds = odds + F.when(v > 0, math.log(g / (1 - b))).when(v < 0, math.log((1 - g) / b)).otherwise(0.0)
-        return odds
+    def quality(self, votes: tuple[int, ...]) -> float:
+        """P(good | votes)."""
+        w = self.weights(votes)
+        return w[0] / sum(w)
 
     def posterior(self, votes: list[Column]) -> Column:
-        """P(good | votes) of each row."""
-        return 1 / (1 + F.exp(-self.log_odds(votes)))
+        """``quality`` of each row, looked up by its pattern."""
+        table = [self.quality(p[::-1]) for p in product((-1, 0, 1), repeat=len(votes))]
+        return F.element_at(F.from_json(F.lit(json.dumps(table)), "array<double>"), pattern(votes) + 1)
+
+
+def pattern(votes: list[Column]) -> Column:
+    """The number of a combination of votes, digit j to base 3 being that of rule j."""
+    return sum(((v + 1) * 3**j for j, v in enumerate(votes)), F.lit(0)).cast("int")
 
 
 def pattern_counts(df: DataFrame, votes: list[Column]) -> list[tuple[tuple[int, ...], int]]:
     """How many rows show each combination of votes (at most 3^len(votes) of them)."""
-    names = [f"__v{j}" for j in range(len(votes))]
-    rows = df.select(*[v.cast("int").alias(n) for v, n in zip(votes, names, strict=True)]).groupBy(*names).count().collect()
-    return sorted((tuple(r[n] for n in names), r["count"]) for r in rows)
+    rows = df.select(pattern(votes).alias("__pattern")).groupBy("__pattern").count().collect()
+    return sorted((tuple(r["__pattern"] // 3**j % 3 - 1 for j in range(len(votes))), r["count"]) for r in rows)
+
+
+def held(rates: list[float], least: int) -> Rates:
+    """The rates, with at least one half for outcome ``least``."""
+    if rates[least] >= 0.5:
+        return tuple(rates)
+    rest = 1 - rates[least]
+    return tuple(0.5 if i == least else 0.5 * r / rest for i, r in enumerate(rates))
 
 
-def fit(patterns: list[tuple[tuple[int, ...], int]], k: int, start: float = 0.85, prior: float = 0.8, rounds: int = 200, smooth: float = 1.0) -> LabelModel:
+def fit(patterns: list[tuple[tuple[int, ...], int]], k: int, prior: float = 0.8, rounds: int = 300, smooth: float = 2.0) -> LabelModel:
     """Expectation-maximisation over counted vote patterns.
 
-    Abstentions carry no evidence. Rates are smoothed by ``smooth`` pseudo-counts
-    at ``start`` and kept in [0.5, 0.995], so no rule may turn against its meaning.
-    With no rows, the starting values come back.
+    Documents are good, or bad in the way that one of the rules is there to find;
+    given that class the rules vote or abstain independently. The classes start from
+    GOOD, OTHER and EXPERT, which weigh as ``smooth`` pseudo-documents. The rule of a
+    bad kind keeps at least half of its votes against it, so a kind can't drift into
+    a variety of good documents. With no rows the starting values come back.
     """
-    p, right = prior, [(start, start)] * k
+    start = [[GOOD] * k] + [[EXPERT if i == j else OTHER for i in range(k)] for j in range(k)]
+    first = [prior] + [(1 - prior) / k] * k
     total = sum(n for _, n in patterns)
+    model = LabelModel(first, start)
     for _ in range(rounds if total else 0):
-        good = 0.0
-        won, cast = [[0.0, 0.0] for _ in range(k)], [[0.0, 0.0] for _ in range(k)]
+        mass = [0.0] * (k + 1)
+        seen = [[[0.0] * 3 for _ in range(k)] for _ in range(k + 1)]
         for votes, n in patterns:
-            odds = math.log(p / (1 - p))
-            for v, (g, b) in zip(votes, right, strict=True):
-                odds += math.log(g / (1 - b)) if v > 0 else math.log((1 - g) / b) if v < 0 else 0.0
-            q = n / (1 + math.exp(-max(-500.0, min(500.0, odds))))
-            good += q
-            for j, v in enumerate(votes):
-                if v:
-                    cast[j][0] += q
-                    cast[j][1] += n - q
-                    won[j][0] += q * (v > 0)
-                    won[j][1] += (n - q) * (v < 0)
-        before = (p, right)
-        p = min(0.999, max(0.001, (good + smooth * prior) / (total + smooth)))
-        right = [tuple(min(0.995, max(0.5, (won[j][s] + smooth * start) / (cast[j][s] + smooth))) for s in (0, 1)) for j in range(k)]
-        if abs(p - before[0]) < 1e-10 and all(abs(x - y) < 1e-10 for a, b in zip(right, before[1], strict=True) for x, y in zip(a, b, strict=True)):
+            w = model.weights(votes)
+            scale = n / sum(w)
+            for y, x in enumerate(w):
+                mass[y] += x * scale
+                for i, v in enumerate(votes):
+                    seen[y][i][1 - v] += x * scale
+        shares = [(m + smooth * p) / (total + smooth) for m, p in zip(mass, first, strict=True)]
+        rates = [[tuple((s + smooth * a) / (sum(row) + smooth) for s, a in zip(row, prior_row, strict=True)) for row, prior_row in zip(seen[y], start[y], strict=True)] for y in range(k + 1)]
+        for j in range(k):
+            rates[j + 1][j] = held(list(rates[j + 1][j]), 2)
+        moved = max((abs(a - b) for a, b in zip(shares, model.shares, strict=True)), default=0.0)
+        model = LabelModel(shares, rates)
+        if moved < 1e-9:
             break
-    return LabelModel(p, right)
+    return model

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS, WS_RUN, barrier, packed, staged, unpacked
+from .common import UPPER, WS, WS_RUN, barrier, packed, staged, unpacked
 from .label_model import fit, pattern_counts
 
 SYMBOLS = "#*$%&|<>"
@@ -18,18 +18,19 @@ COMMON_FORMS = sorted({form for w in STOPWORDS for form in (w, w.capitalize())})
 
 @dataclass(frozen=True)
 class Rule:
-    """A rule votes +1 below ``good`` (above, if good > bad), -1 beyond ``bad``, else abstains."""
+    """A rule votes +1 below ``good`` (above, if good > bad), -1 beyond ``bad``, else abstains, as it does on texts of fewer than ``least_words``."""
 
     name: str
     measure: Column
     good: float
     bad: float
+    least_words: int = 20
 
     def vote(self) -> Column:
         low = self.good <= self.bad
         plus = self.measure <= self.good if low else self.measure >= self.good
         minus = self.measure >= self.bad if low else self.measure <= self.bad
-        return F.when(plus, 1).when(minus, -1).otherwise(0)
+        return F.when(F.col("n_words") < self.least_words, 0).when(plus, 1).when(minus, -1).otherwise(0)
 
 
 def ratio(a: str, b: str) -> Column:
@@ -39,12 +40,13 @@ def ratio(a: str, b: str) -> Column:
 def default_rules() -> list[Rule]:
     """Thresholds are those of common web-text filters; the gaps between them are abstentions."""
     return [
-        Rule("length", F.col("n_words"), 80, 50),
+        Rule("length", F.col("n_words"), 80, 49, least_words=0),
         Rule("symbols", ratio("n_symbols", "n_words"), 0.05, 0.1),
-        Rule("repeats", ratio("n_repeat_words", "n_words"), 0.15, 0.3),
-        Rule("lines", ratio("n_dup_lines", "n_text_lines"), 0.1, 0.3),
+        Rule("repeats", ratio("n_repeat_words", "n_words"), 0.3, 0.5),
+        Rule("lines", ratio("n_dup_lines", "n_text_lines"), 0.3, 0.6),
         Rule("stopwords", ratio("n_stopwords", "n_words"), 0.12, 0.04),
         Rule("word_length", F.abs(ratio("word_chars", "n_words") - 6.0), 2.5, 4.5),
+        Rule("capitals", ratio("n_capitals", "word_chars"), 0.1, 0.3),
     ]
 
 
@@ -75,6 +77,7 @@ def measures(df: DataFrame, text: str = "__text") -> DataFrame:
         "n_text_lines": F.size("__lines"),
         "n_dup_lines": F.size("__lines") - F.size(F.array_distinct("__lines")),
         "n_repeat_words": covered,
+        "n_capitals": F.char_length(text) - F.char_length(F.translate(text, UPPER, "")),
         "n_stopwords": F.size(F.filter("__words", lambda w: w.isin(COMMON_FORMS))),
     }
     return barrier(df, **{k: v.cast("long") for k, v in made.items()}).drop("__words", "__lines", "__starts")
@@ -101,7 +104,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     judged, _ = staged(judged.withColumn("__rec", F.struct(*[F.col("__rec").getField(c).alias(c) for c in carried.columns])), "rules")
     votes = [r.vote() for r in rules]
     model = fit(pattern_counts(judged, votes), len(rules))
-    names = ["n_words", "word_chars", "n_symbols", "n_text_lines", "n_dup_lines", "n_repeat_words", "n_stopwords"]
+    names = ["n_words", "word_chars", "n_symbols", "n_text_lines", "n_dup_lines", "n_repeat_words", "n_capitals", "n_stopwords"]
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     quality = model.posterior(votes)
     made = {n: F.col(n) for n in names} | {"base_failed": failed, "quality": quality, "kept": ~failed & (quality >= threshold)}
