@@ -14,26 +14,23 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Outcomes of a vote, in the order of a rate's three entries.
-OUTCOMES = (1, 0, -1)
-GOOD, OTHER, EXPERT = (0.9, 0.08, 0.02), (0.8, 0.1, 0.1), (0.02, 0.08, 0.9)
-
-Rates = tuple[float, float, float]
+#: Starting rates of a +1 among a rule's votes: on good documents, on bad ones of another rule's kind, on those of its own.
+GOOD, OTHER, EXPERT = 0.97, 0.85, 0.05
 
 
 @dataclass(frozen=True)
 class LabelModel:
     """shares[0] is P(good), shares[j + 1] that of the bad documents of the kind rule j is there for.
 
-    rates[y][i] are the probabilities that rule i votes +1, abstains or votes -1 on
-    a document of class y: the accuracies of the rules.
+    plus[y][i] is the probability that rule i, where it votes on a document of class
+    y, votes +1: the accuracies of the rules. Abstentions carry no evidence.
     """
 
     shares: list[float]
-    rates: list[list[Rates]]
+    plus: list[list[float]]
 
     def weights(self, votes: tuple[int, ...]) -> list[float]:
-        logs = [math.log(p) + sum(math.log(r[1 - v]) for r, v in zip(rates, votes, strict=True)) for p, rates in zip(self.shares, self.rates, strict=True)]
+        logs = [math.log(p) + sum(math.log(r if v > 0 else 1 - r) for r, v in zip(rates, votes, strict=True) if v) for p, rates in zip(self.shares, self.plus, strict=True)]
         top = max(logs)
         return [math.exp(x - top) for x in logs]
 
@@ -59,22 +56,15 @@ def pattern_counts(df: DataFrame, votes: list[Column]) -> list[tuple[tuple[int,
     return sorted((tuple(r["__pattern"] // 3**j % 3 - 1 for j in range(len(votes))), r["count"]) for r in rows)
 
 
-def held(rates: list[float], least: int) -> Rates:
-    """The rates, with at least one half for outcome ``least``."""
-    if rates[least] >= 0.5:
-        return tuple(rates)
-    rest = 1 - rates[least]
-    return tuple(0.5 if i == least else 0.5 * r / rest for i, r in enumerate(rates))
-
-
 def fit(patterns: list[tuple[tuple[int, ...], int]], k: int, prior: float = 0.8, rounds: int = 300, smooth: float = 2.0) -> LabelModel:
     """Expectation-maximisation over counted vote patterns.
 
     Documents are good, or bad in the way that one of the rules is there to find;
-    given that class the rules vote or abstain independently. The classes start from
-    GOOD, OTHER and EXPERT, which weigh as ``smooth`` pseudo-documents. The rule of a
-    bad kind keeps at least half of its votes against it, so a kind can't drift into
-    a variety of good documents. With no rows the starting values come back.
+    given that class, the rules that vote do so independently. The classes start from
+    GOOD, OTHER and EXPERT, which weigh as ``smooth`` pseudo-documents. A rule votes
+    +1 on at least half of the good documents and -1 on at least half of those of its
+    own kind, so no class can turn against its meaning. With no rows the starting
+    values come back.
     """
     start = [[GOOD] * k] + [[EXPERT if i == j else OTHER for i in range(k)] for j in range(k)]
     first = [prior] + [(1 - prior) / k] * k
@@ -82,20 +72,23 @@ def fit(patterns: list[tuple[tuple[int, ...], int]], k: int, prior: float = 0.8,
     model = LabelModel(first, start)
     for _ in range(rounds if total else 0):
         mass = [0.0] * (k + 1)
-        seen = [[[0.0] * 3 for _ in range(k)] for _ in range(k + 1)]
+        won, cast = ([[0.0] * k for _ in range(k + 1)] for _ in range(2))
         for votes, n in patterns:
             w = model.weights(votes)
             scale = n / sum(w)
             for y, x in enumerate(w):
                 mass[y] += x * scale
                 for i, v in enumerate(votes):
-                    seen[y][i][1 - v] += x * scale
+                    if v:
+                        cast[y][i] += x * scale
+                        won[y][i] += x * scale * (v > 0)
         shares = [(m + smooth * p) / (total + smooth) for m, p in zip(mass, first, strict=True)]
-        rates = [[tuple((s + smooth * a) / (sum(row) + smooth) for s, a in zip(row, prior_row, strict=True)) for row, prior_row in zip(seen[y], start[y], strict=True)] for y in range(k + 1)]
+        plus = [[(won[y][i] + smooth * start[y][i]) / (cast[y][i] + smooth) for i in range(k)] for y in range(k + 1)]
+        plus[0] = [max(0.5, r) for r in plus[0]]
         for j in range(k):
-            rates[j + 1][j] = held(list(rates[j + 1][j]), 2)
-        moved = max((abs(a - b) for a, b in zip(shares, model.shares, strict=True)), default=0.0)
-        model = LabelModel(shares, rates)
+            plus[j + 1][j] = min(0.5, plus[j + 1][j])
+        moved = max(abs(a - b) for a, b in zip(shares, model.shares, strict=True))
+        model = LabelModel(shares, plus)
         if moved < 1e-9:
             break
     return model
