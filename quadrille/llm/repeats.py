@@ -1,9 +1,9 @@
 """Removal of long byte strings that occur elsewhere in the corpus, exactly.
 
-Strings of ``length`` bytes are named the way prefix doubling names them, by pairs
-of shorter names at growing offsets, and positions leave as soon as their name is
-unique. So that a corpus of n bytes doesn't sort n rows in every round, only anchors
-go through Spark: the positions that are the least gram of some window of WINDOW
+As in prefix doubling, positions are named by ever longer surroundings and leave as
+soon as their name is unique; but the names are hashes of the bytes, not ranks of
+pairs, so two rounds take the place of a sort at every offset. And so that a corpus
+of n bytes doesn't move n rows, only anchors go through Spark: the positions that are the least gram of some window of WINDOW
 grams. Every string of ``length`` bytes holds an anchor whose choice depends on that
 string alone, so equal strings meet at equal anchors.
 """
@@ -24,6 +24,8 @@ from .text import BASE, INVERSE, SLICE, mix, powers
 GRAM = 16
 #: Groups with more different surroundings than this are matched row by row instead of in a task.
 GROUP = 4096
+#: Groups up to this size share a bin of about BIN_ROWS rows.
+SMALL_GROUP, BIN_ROWS = 64, 2000
 
 
 def window_size(length: int) -> int:
@@ -80,14 +82,15 @@ def anchored(data: bytes, length: int) -> Iterator[tuple[np.ndarray, ...]]:
 
 
 def match_group(rows: pd.DataFrame, length: int) -> pd.DataFrame:
-    """Of strings around equal contexts, the starts of those found at least twice, for the anchors seen once."""
+    """Of strings around equal contexts, the starts of those found at least twice, for the anchors seen once; ``rows`` holds whole contexts."""
     held = [strings(row, length) for row in rows.itertuples(index=False)]
     start = np.concatenate([h[0] for h in held])
     owner = np.repeat(np.arange(len(held)), [len(h[0]) for h in held])
     offset = rows["pos"].to_numpy()[owner] - start
     name = np.concatenate([h[1] for h in held])
-    order = np.lexsort((name, offset))
-    same = (name[order][1:] == name[order][:-1]) & (offset[order][1:] == offset[order][:-1])
+    context = rows["c"].to_numpy()[owner]
+    order = np.lexsort((name, offset, context))
+    same = (name[order][1:] == name[order][:-1]) & (offset[order][1:] == offset[order][:-1]) & (context[order][1:] == context[order][:-1])
     found = np.zeros(len(name), bool)
     found[order[1:][same]] = found[order[:-1][same]] = True
     found &= rows["n"].to_numpy()[owner] == 1
@@ -181,7 +184,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     one = packed.select("did", "th", "z").join(wanted, ["did", "th"]).dropDuplicates(["did", "th"])
     parts, _ = staged(one.mapInPandas(fetch, "c long, kinds long, n long, did long, th long, pos int, lo int, hi int, rest binary"), "repeat-edges")
     spans = "did long, th long, a int, b int"
-    small = parts.filter(F.col("kinds") <= GROUP).groupBy("c").applyInPandas(lambda rows: match_group(rows, length), spans)
+    match = lambda rows: match_group(rows, length)
+    # Small groups are matched many at a time.
+    bins = max(1, parts.count() // BIN_ROWS)
+    binned = parts.filter(F.col("kinds") <= SMALL_GROUP).groupBy(F.pmod("c", F.lit(bins))).applyInPandas(match, spans)
+    small = binned.unionByName(parts.filter((F.col("kinds") > SMALL_GROUP) & (F.col("kinds") <= GROUP)).groupBy("c").applyInPandas(match, spans))
 
     def single(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
