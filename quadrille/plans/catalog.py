@@ -2,5 +2,185 @@
 
 from __future__ import annotations
 
-QUERIES = {}
-ORACLE_SQL = {}
+from pyspark.sql import functions as F
+
+from quadrille.functions import geometry as G
+from quadrille.operators import attributes as T
+from quadrille.operators import rasters as R
+from quadrille.operators import spatial as S
+from quadrille.plans import fixtures as X
+
+# SQL of the fixtures.
+ZONES = "zones AS (SELECT lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS geoid, CAST(n_nationkey % 5 AS DOUBLE) * 200 AS x1, CAST(n_nationkey // 5 AS DOUBLE) * 200 AS y1 FROM nation)"
+FEATURES = "features AS (SELECT p_partkey AS fid, p_size AS s, p_retailprice AS v, CAST((p_partkey * 37) % 1000 AS DOUBLE) AS x1, CAST((p_partkey * 91) % 1000 AS DOUBLE) AS y1 FROM part)"
+OVERLAP = "overlap AS (SELECT geoid, fid, v, s, (least(z.x1 + 200, f.x1 + s) - greatest(z.x1, f.x1)) * (least(z.y1 + 200, f.y1 + s) - greatest(z.y1, f.y1)) AS a, greatest(z.x1, f.x1) AS ox1, least(z.x1 + 200, f.x1 + s) AS ox2, greatest(z.y1, f.y1) AS oy1, least(z.y1 + 200, f.y1 + s) AS oy2 FROM zones z JOIN features f ON f.x1 < z.x1 + 200 AND f.x1 + s > z.x1 AND f.y1 < z.y1 + 200 AND f.y1 + s > z.y1)"
+PIXELS = "pixels AS (SELECT CAST(event_id // 100 AS INTEGER) AS r, CAST(event_id % 100 AS INTEGER) AS c, CASE WHEN event_type <> 'error' THEN value END AS v, event_type FROM events WHERE event_id < 10000)"
+OWNERS = "owners AS (SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 7 = 1 THEN 'UNK' WHEN c_custkey % 7 = 2 THEN 'PVT' ELSE 'FED' END AS m, CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 5 = 1 THEN 'PVT' ELSE 'STAT' END AS o, CASE WHEN c_custkey % 11 = 0 THEN 'DOD' END AS mn, CASE WHEN c_custkey % 13 = 0 THEN 'MIL' END AS d, CASE WHEN c_custkey % 3 = 0 THEN 'XA' WHEN c_custkey % 3 = 1 THEN 'UK' END AS a FROM customer)"
+
+QUERIES, ORACLE_SQL = {}, {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+@query(f"WITH {ZONES}, {FEATURES}, {OVERLAP} SELECT z.geoid, round(coalesce(sum(v * a / (s * s)), 0), 4) AS allocated FROM zones z LEFT JOIN overlap o USING (geoid) GROUP BY z.geoid")
+def areal_allocation(spark, d):
+    out = S.allocate(X.zones(spark, d), X.features(spark, d), "geoid", T.finite_nonzero(F.col("p_retailprice")), X.CELL)
+    return out.select("geoid", F.round("allocated", 4).alias("allocated"))
+
+
+@query(f"WITH {ZONES}, {FEATURES}, {OVERLAP} SELECT z.geoid, round(coalesce(sum(a), 0) / 1e4, 6) AS intersect_area_ha FROM zones z LEFT JOIN overlap o USING (geoid) GROUP BY z.geoid")
+def overlay_area(spark, d):
+    out = S.overlay_area(X.zones(spark, d), X.features(spark, d), "geoid", X.CELL)
+    return out.select("geoid", F.round("intersect_area_ha", 6).alias("intersect_area_ha"))
+
+
+@query(f"WITH {ZONES}, {FEATURES} SELECT z.geoid, round(coalesce(sum(least(z.x1 + 200, f.x1 + s) - greatest(z.x1, f.x1)), 0) / 1000, 6) AS intersect_length_km FROM zones z LEFT JOIN features f ON f.x1 < z.x1 + 200 AND f.x1 + s > z.x1 AND f.y1 + 0.5 > z.y1 AND f.y1 + 0.5 < z.y1 + 200 GROUP BY z.geoid")
+def overlay_length(spark, d):
+    out = S.overlay_length(X.zones(spark, d), X.lines(spark, d), "geoid", X.CELL)
+    return out.select("geoid", F.round("intersect_length_km", 6).alias("intersect_length_km"))
+
+
+@query(f"""WITH {ZONES}, {FEATURES}, {OVERLAP}, xs AS (SELECT geoid, x, lead(x) OVER (PARTITION BY geoid ORDER BY x) AS x2 FROM (SELECT DISTINCT geoid, unnest([ox1, ox2]) AS x FROM overlap)),
+cells AS (SELECT DISTINCT o.geoid, xs.x, xs.x2, o.oy1, o.oy2 FROM overlap o JOIN xs ON xs.geoid = o.geoid AND xs.x >= o.ox1 AND xs.x2 <= o.ox2),
+runs AS (SELECT *, max(oy2) OVER (PARTITION BY geoid, x ORDER BY oy1, oy2 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM cells),
+areas AS (SELECT geoid, sum((x2 - x) * greatest(0, oy2 - greatest(oy1, coalesce(top, oy1)))) AS a FROM runs GROUP BY geoid)
+SELECT areas.geoid, round(areas.a, 3) AS area, min(fid) AS first_fid FROM areas JOIN overlap ON areas.geoid = overlap.geoid GROUP BY ALL""")
+def cut_and_dissolve(spark, d):
+    out = S.dissolve(X.zones(spark, d), X.features(spark, d), "geoid", X.CELL)
+    return out.select("geoid", F.round(G.area(F.col("geom")), 3).alias("area"), "first_fid")
+
+
+@query(f"WITH {ZONES}, {FEATURES} SELECT count(*) AS pairs, CAST(sum(fid) AS BIGINT) AS fids FROM zones z JOIN features f ON f.x1 <= z.x1 + 200 AND f.x1 + s >= z.x1 AND f.y1 <= z.y1 + 200 AND f.y1 + s >= z.y1")
+def spatial_join(spark, d):
+    pairs = S.spatial_join(X.zones(spark, d), X.features(spark, d), X.CELL, exact=True)
+    return pairs.agg(F.count("*").alias("pairs"), F.sum("r.fid").alias("fids"))
+
+
+@query("SELECT fid, round(s * s / 2.0, 6) AS area, CAST(4 AS BIGINT) AS points FROM (SELECT p_partkey AS fid, p_size AS s FROM part)")
+def triangle_overlay(spark, d):
+    """Triangles cut by the squares that hold them, repaired, and through well-known binary and back."""
+    pairs = X.triangles(spark, d).alias("t").join(X.features(spark, d).alias("b"), "fid")
+    cut = pairs.select("fid", G.from_wkb(G.to_wkb(G.repaired(G.intersection("t.geom", "b.geom")))).alias("geom"))
+    return cut.select("fid", F.round(G.area(F.col("geom")), 6).alias("area"), G.n_points(F.col("geom")).alias("points"))
+
+
+@query("SELECT p_partkey AS fid, CASE WHEN (p_partkey * 37) % 1000 > 500 OR (p_partkey * 91) % 1000 > 500 THEN 'outside' WHEN (p_partkey * 37) % 1000 = 500 OR (p_partkey * 91) % 1000 = 500 THEN 'no_area' ELSE 'ok' END AS status, round(CASE WHEN (p_partkey * 37) % 1000 < 500 AND (p_partkey * 91) % 1000 < 500 THEN CAST(least(500, (p_partkey * 37) % 1000 + p_size) - (p_partkey * 37) % 1000 AS DOUBLE) * (least(500, (p_partkey * 91) % 1000 + p_size) - (p_partkey * 91) % 1000) ELSE 0 END, 4) AS area FROM part")
+def clip_to_boundary(spark, d):
+    edge = spark.range(1).select(G.box(*[F.lit(v) for v in (0, 0, 500, 500)]).alias("geom"))
+    out = S.clip(X.features(spark, d), edge, tolerance=0.1)
+    return out.select("fid", "status", F.round(G.area(F.col("geom")), 4).alias("area"))
+
+
+@query(f"WITH {OWNERS} SELECT count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS keys FROM owners WHERE NOT (coalesce(a = 'XA', false) OR coalesce(o = 'PVT', false) OR coalesce(mn = 'DOD', false) OR coalesce(d = 'MIL', false)) AND (coalesce(m = 'FED', false) OR (coalesce(m = 'UNK', false) AND coalesce(o = 'STAT', false)))")
+def public_lands(spark, d):
+    k = F.col("c_custkey")
+    coded = X.table(spark, d, "customer").select(
+        k, F.when(k % 7 == 0, None).when(k % 7 == 1, "UNK").when(k % 7 == 2, "PVT").otherwise("FED").alias("Mang_Type"), F.when(k % 5 == 0, None).when(k % 5 == 1, "PVT").otherwise("STAT").alias("Own_Type"),
+        F.when(k % 11 == 0, "DOD").alias("Mang_Name"), F.lit(None).cast("string").alias("Own_Name"), F.when(k % 13 == 0, "MIL").alias("Des_Tp"), F.when(k % 3 == 0, "XA").when(k % 3 == 1, "UK").alias("Pub_Access"),
+    )
+    return coded.filter(T.is_public()).agg(F.count("*").alias("n"), F.sum("c_custkey").alias("keys"))
+
+
+@query("""WITH f AS (SELECT p_partkey AS fid, [390, 436, 460, 466, 537, 999][p_size % 6 + 1] AS ftype, p_partkey % 2 AS area FROM part)
+SELECT CASE WHEN area = 1 THEN 'NHDArea' ELSE 'NHDWaterbody' END AS source_layer, CASE ftype WHEN 390 THEN 'LakePond' WHEN 436 THEN 'Reservoir' WHEN 466 THEN 'SwampMarsh' WHEN 460 THEN 'StreamRiver' ELSE 'AreaOfComplexChannels' END AS feature_type, count(*) AS n, CAST(sum(fid) AS BIGINT) AS fids
+FROM f WHERE (area = 0 AND ftype IN (390, 436, 466)) OR (area = 1 AND ftype IN (460, 537)) GROUP BY ALL""")
+def water_features(spark, d):
+    codes = F.array(*[F.lit(c) for c in (390, 436, 460, 466, 537, 999)])
+    f = X.table(spark, d, "part").select(F.col("p_partkey").alias("fid"), F.get(codes, F.col("p_size") % 6).alias("ftype"))
+    out = T.water_features({"NHDWaterbody": f.filter("fid % 2 = 0"), "NHDArea": f.filter("fid % 2 = 1")})
+    return out.groupBy("source_layer", "feature_type").agg(F.count("*").alias("n"), F.sum("fid").alias("fids"))
+
+
+@query("SELECT l_orderkey, CAST(arg_max(l_partkey, (l_linenumber, l_partkey, l_suppkey, l_shipdate)) AS BIGINT) AS l_partkey FROM lineitem GROUP BY l_orderkey")
+def last_by_key(spark, d):
+    rows = X.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    return T.last_by_key(rows, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]).select("l_orderkey", "l_partkey")
+
+
+@query("SELECT l_linenumber, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS nth FROM lineitem) WHERE nth > 1 GROUP BY ALL")
+def repeated_keys(spark, d):
+    return T.repeated_keys(X.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), "l_orderkey", "l_linenumber").groupBy("l_linenumber").agg(F.count("*").alias("n"))
+
+
+@query("""WITH RECURSIVE r AS (SELECT p_brand, p_partkey, p_size, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS n FROM part),
+w AS (SELECT p_brand, n, p_partkey, CASE WHEN p_size >= 100 THEN 0 ELSE p_size END AS acc, 0 AS batch, CAST(p_size >= 100 AS INTEGER) AS up FROM r WHERE n = 1
+UNION ALL SELECT r.p_brand, r.n, r.p_partkey, CASE WHEN w.acc + r.p_size >= 100 THEN 0 ELSE w.acc + r.p_size END, w.batch + w.up, CAST(w.acc + r.p_size >= 100 AS INTEGER) FROM w JOIN r ON r.p_brand = w.p_brand AND r.n = w.n + 1)
+SELECT p_partkey, CAST(batch AS BIGINT) AS batch FROM w""")
+def vertex_batches(spark, d):
+    return T.batches(X.table(spark, d, "part").select("p_brand", "p_partkey", "p_size"), "p_brand", "p_partkey", "p_size", 100).select("p_partkey", "batch")
+
+
+@query("""WITH f AS (SELECT 'job' || CAST(o_custkey % 20 AS VARCHAR) AS job, o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '_%Y%m%d_%H%M%S') ELSE strftime(o_orderdate, '_%Y_%m_%d_%H_%M_%S') END AS tail, o_orderdate AS ts FROM orders)
+SELECT job, arg_max(job || tail, (ts, o_orderkey, job || tail)) AS stem FROM f GROUP BY job""")
+def newest_files(spark, d):
+    k, ts = F.col("o_orderkey"), F.col("o_orderdate")
+    tail = F.when(k % 2 == 0, F.date_format(ts, "_yyyyMMdd_HHmmss")).otherwise(F.date_format(ts, "_yyyy_MM_dd_HH_mm_ss"))
+    return T.newest(X.table(spark, d, "orders").select(F.concat(F.lit("job"), (F.col("o_custkey") % 20).cast("string"), tail).alias("stem"), k.alias("mtime")))
+
+
+@query("SELECT lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS geoid, n_name, CAST(n_nationkey AS DOUBLE) AS m1, CAST(n_nationkey + 1 AS DOUBLE) AS m2, CAST(100 * (n_nationkey + 1) AS DOUBLE) * 0.25 AS area_ha_nlcd_forests FROM nation")
+def combine_tables(spark, d):
+    z = X.table(spark, d, "nation").select(F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("geoid"), "n_name", F.col("n_nationkey").cast("double").alias("k"))
+    masks = z.select("geoid", "n_name", (100 * (F.col("k") + 1)).alias("area_ha_valid_reclassified_NLCD2023_forests_x"), F.lit(0.25).alias("proportion_valid_nonzero_reclassified_NLCD2023_forests_x"))
+    out = T.combine([("a", z.select("geoid", "n_name", F.col("k").alias("m1"))), ("b", z.select("geoid", "n_name", (F.col("k") + 1).alias("m2"))), ("masks", masks)], "geoid")
+    return T.class_areas(out, ["forests", "wetlands"])
+
+
+@query(f"""WITH {ZONES}, {PIXELS} SELECT geoid, count(*) FILTER (WHERE r IS NOT NULL) AS total_count, count(v) AS valid_count, round(coalesce(sum(v), 0), 4) AS sum, round(avg(v), 6) AS mean, round(stddev_pop(v), 5) AS stdev, round(count(v) * 0.01, 6) AS area_ha_valid, round((count(*) FILTER (WHERE r IS NOT NULL)) * 0.01, 6) AS area_ha_total, round((count(*) FILTER (WHERE v <> 0)) / CASE WHEN count(v) > 0 THEN count(v) END, 6) AS proportion_valid_nonzero
+FROM zones LEFT JOIN (SELECT g.r, g.c, v FROM (SELECT i // 100 AS r, i % 100 AS c FROM range(10000) t(i)) g LEFT JOIN pixels USING (r, c)
+WHERE (g.r // 32, g.c // 32) IN (SELECT (r // 32, c // 32) FROM pixels)) p ON (c + 0.5) * 10 >= x1 AND (c + 0.5) * 10 < x1 + 200 AND (r + 0.5) * 10 >= y1 AND (r + 0.5) * 10 < y1 + 200 GROUP BY geoid""")
+def zonal_stats(spark, d):
+    """A zone's total counts the pixels of the tiles that exist."""
+    out = R.zonal_stats(X.raster(spark, d), X.zones(spark, d), X.grid(), "geoid")
+    digits = {"sum": 4, "mean": 6, "stdev": 5, "area_ha_valid": 6, "area_ha_total": 6, "proportion_valid_nonzero": 6}
+    return out.select(*[F.round(c, digits[c]).alias(c) if c in digits else c for c in out.columns])
+
+
+@query(f"WITH {PIXELS} SELECT m.mask, count(*) FILTER (WHERE v = m.one) AS ones, count(*) FILTER (WHERE v IN (m.one, m.zero)) - count(*) FILTER (WHERE v = m.one) AS zeros FROM (SELECT CAST(event_id_class AS INTEGER) AS v FROM (SELECT (r * 7 + c) % 5 AS event_id_class FROM pixels)) CROSS JOIN (VALUES ('forests', 1, 0), ('wetlands', 3, 2)) m(mask, one, zero) GROUP BY m.mask")
+def reclass_masks(spark, d):
+    classes = X.pixels(spark, d).withColumn("value", ((F.col("row") * 7 + F.col("col")) % 5).cast("double"))
+    out = R.reclassify(R.tiles_of(classes, X.grid()), {"forests": {1: 1, 0: 0}, "wetlands": {3: 1, 2: 0}})
+    count = lambda v: F.sum(F.size(F.filter("data", lambda x: x == v))).cast("long")
+    return out.groupBy("mask").agg(count(1).alias("ones"), count(0).alias("zeros"))
+
+
+@query(f"""WITH {FEATURES}, hit AS (SELECT r, c, arg_max(v, fid) AS v FROM features f JOIN (SELECT i // 100 AS r, i % 100 AS c FROM range(10000) t(i)) g
+ON (c + 0.5) * 10 >= x1 AND (c + 0.5) * 10 < x1 + s AND (r + 0.5) * 10 >= y1 AND (r + 0.5) * 10 < y1 + s GROUP BY r, c)
+SELECT count(*) AS burnt, round(sum(v) * 0.01, 4) AS total, round(coalesce(sum(v) FILTER (WHERE (r + c) % 2 = 0), 0) * 0.01, 4) AS masked_total FROM hit""")
+def value_raster(spark, d):
+    """Polygons burnt into a raster, masked, and their totals side by side."""
+    grid = X.grid()
+    burnt = R.burn(X.features(spark, d), grid, "p_retailprice", "fid")
+    tiles = R.tiles_of(burnt, grid)
+    mask = R.tiles_of(spark.range(10000).select((F.col("id") / 100).cast("int").alias("row"), (F.col("id") % 100).cast("int").alias("col")).withColumn("value", ((F.col("row") + F.col("col")) % 2 == 0).cast("int")), grid)
+    count = tiles.agg(F.sum(F.size(F.filter("data", lambda x: x.isNotNull()))).cast("long").alias("burnt"))
+    totals = R.weighted_total(tiles, grid).select(F.round("total", 4).alias("total"))
+    return count.crossJoin(F.broadcast(totals)).crossJoin(F.broadcast(R.weighted_total(R.masked(tiles, mask), grid).select(F.round("total", 4).alias("masked_total"))))
+
+
+ALBERS = f"{G.A} * sqrt({G.CONST} - {G.CONE} * q) / {G.CONE}"
+
+
+@query(f"""WITH p AS (SELECT c_custkey, CAST(-120 + c_custkey % 50 AS DOUBLE) AS lon, CAST(25 + c_custkey % 24 AS DOUBLE) AS lat FROM customer),
+s AS (SELECT *, sin(radians(lat)) AS s FROM p), q AS (SELECT *, {1 - G.E2} * (s / (1 - {G.E2} * s * s) - ln((1 - {G.E} * s) / (1 + {G.E} * s)) / (2 * {G.E})) AS q FROM s)
+SELECT c_custkey, round({ALBERS} * sin({G.CONE} * radians(lon + 96)), 4) AS x, round({G.RHO0} - {ALBERS} * cos({G.CONE} * radians(lon + 96)), 4) AS y, round(lon, 7) AS lon, round(lat, 7) AS lat FROM q""")
+def albers_points(spark, d):
+    k = F.col("c_custkey")
+    p = X.table(spark, d, "customer").select(k, (k % 50 - 120).cast("double").alias("lon"), (k % 24 + 25).cast("double").alias("lat"))
+    x, y = G.albers(F.col("lon"), F.col("lat"))
+    p = p.select(k, x.alias("x"), y.alias("y"))
+    lon, lat = G.albers_inverse(F.col("x"), F.col("y"))
+    return p.select(k, F.round("x", 4).alias("x"), F.round("y", 4).alias("y"), F.round(lon, 7).alias("lon"), F.round(lat, 7).alias("lat"))
+
+
+@query("SELECT p_partkey AS fid, round(p_size * p_size / 10000.0, 8) AS area_ha FROM part")
+def vector_area(spark, d):
+    return X.features(spark, d).select("fid", F.round(G.area_ha(F.col("geom"), F.lit(5070)), 8).alias("area_ha"))
