@@ -139,7 +139,8 @@ FROM zones LEFT JOIN (SELECT g.r, g.c, v FROM (SELECT i // 100 AS r, i % 100 AS
 WHERE (g.r // 32, g.c // 32) IN (SELECT (r // 32, c // 32) FROM pixels)) p ON (c + 0.5) * 10 >= x1 AND (c + 0.5) * 10 < x1 + 200 AND (r + 0.5) * 10 >= y1 AND (r + 0.5) * 10 < y1 + 200 GROUP BY geoid""")
 def zonal_stats(spark, d):
     """A zone's total counts the pixels of the tiles that exist."""
-    out = R.zonal_stats(X.raster(spark, d), X.zones(spark, d), X.grid(), "geoid")
+    grid = X.event_grid(spark, d)
+    out = R.zonal_stats(X.raster(spark, d, grid), X.event_zones(spark, d, grid), grid, "geoid")
     digits = {"sum": 4, "mean": 6, "stdev": 5, "area_ha_valid": 6, "area_ha_total": 6, "proportion_valid_nonzero": 6}
     return out.select(*[F.round(c, digits[c]).alias(c) if c in digits else c for c in out.columns])
 
@@ -147,7 +148,7 @@ def zonal_stats(spark, d):
 @query(f"WITH {PIXELS} SELECT m.mask, count(*) FILTER (WHERE v = m.one) AS ones, count(*) FILTER (WHERE v IN (m.one, m.zero)) - count(*) FILTER (WHERE v = m.one) AS zeros FROM (SELECT CAST(event_id_class AS INTEGER) AS v FROM (SELECT (r * 7 + c) % 5 AS event_id_class FROM pixels)) CROSS JOIN (VALUES ('forests', 1, 0), ('wetlands', 3, 2)) m(mask, one, zero) GROUP BY m.mask")
 def reclass_masks(spark, d):
     classes = X.pixels(spark, d).withColumn("value", ((F.col("row") * 7 + F.col("col")) % 5).cast("double"))
-    out = R.reclassify(R.tiles_of(classes, X.grid()), {"forests": {1: 1, 0: 0}, "wetlands": {3: 1, 2: 0}})
+    out = R.reclassify(R.tiles_of(classes, X.event_grid(spark, d)), {"forests": {1: 1, 0: 0}, "wetlands": {3: 1, 2: 0}})
     count = lambda v: F.sum(F.size(F.filter("data", lambda x: x == v))).cast("long")
     return out.groupBy("mask").agg(count(1).alias("ones"), count(0).alias("zeros"))
 
@@ -160,7 +161,7 @@ def value_raster(spark, d):
     grid = X.grid()
     burnt = R.burn(X.features(spark, d), grid, "p_retailprice", "fid")
     tiles = R.tiles_of(burnt, grid)
-    mask = R.tiles_of(spark.range(10000).select((F.col("id") / 100).cast("int").alias("row"), (F.col("id") % 100).cast("int").alias("col")).withColumn("value", ((F.col("row") + F.col("col")) % 2 == 0).cast("int")), grid)
+    mask = R.tiles_of(spark.range(grid.width * grid.height).select(F.floor(F.col("id") / grid.width).cast("int").alias("row"), (F.col("id") % grid.width).cast("int").alias("col")).withColumn("value", ((F.col("row") + F.col("col")) % 2 == 0).cast("int")), grid)
     count = tiles.agg(F.sum(F.size(F.filter("data", lambda x: x.isNotNull()))).cast("long").alias("burnt"))
     totals = R.weighted_total(tiles, grid).select(F.round("total", 4).alias("total"))
     return count.crossJoin(F.broadcast(totals)).crossJoin(F.broadcast(R.weighted_total(R.masked(tiles, mask), grid).select(F.round("total", 4).alias("masked_total"))))

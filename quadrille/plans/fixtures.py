@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,11 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """25 squares of side 200 with text keys."""
+def zones(spark: SparkSession, sf_dir: str, height: float = 200.0) -> DataFrame:
+    """25 boxes of width 200 with text keys."""
     n = F.col("n_nationkey")
-    x, y = (n % 5) * 200.0, F.floor(n / 5) * 200.0
-    return table(spark, sf_dir, "nation").select(F.lpad(n.cast("string"), 3, "0").alias("geoid"), "n_name", G.box(x, y, x + 200, y + 200).alias("geom"))
+    x, y = (n % 5) * 200.0, F.floor(n / 5) * height
+    return table(spark, sf_dir, "nation").select(F.lpad(n.cast("string"), 3, "0").alias("geoid"), "n_name", G.box(x, y, x + 200, y + height).alias("geom"))
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,14 +45,26 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def grid() -> Grid:
+    """The square that features lie in."""
     return Grid(0.0, 0.0, 10.0, 10.0, 100, 100, 32)
 
 
+def event_grid(spark: SparkSession, sf_dir: str) -> Grid:
+    """100 columns and a row for every 100 events, 100 rows at least."""
+    last = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
+    return replace(grid(), height=max(100, (-1 if last is None else last) // 100 + 1))
+
+
+def event_zones(spark: SparkSession, sf_dir: str, grid: Grid) -> DataFrame:
+    """The zones, as high as it takes for five of them to span the grid."""
+    return zones(spark, sf_dir, grid.height * grid.dy / 5)
+
+
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first events as a raster of 100 x 100; errors are no data."""
-    e = table(spark, sf_dir, "events").filter("event_id < 10000")
+    """Every event as a pixel of ``event_grid``; errors are no data."""
+    e = table(spark, sf_dir, "events")
     return e.select(F.floor(F.col("event_id") / 100).cast("int").alias("row"), (F.col("event_id") % 100).cast("int").alias("col"), F.when(F.col("event_type") != "error", F.col("value")).alias("value"), "event_type")
 
 
-def raster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tiles_of(pixels(spark, sf_dir), grid())
+def raster(spark: SparkSession, sf_dir: str, grid: Grid) -> DataFrame:
+    return tiles_of(pixels(spark, sf_dir), grid)
