@@ -16,8 +16,10 @@ from .text import mix
 
 MARK = "▁"
 MASK = (1 << 64) - 1
-#: Segmentations kept per task, and the longest stretch of text that is kept.
+#: Runs of merges kept per task, and the longest stretch of text of which runs are kept.
 KEPT, KEPT_CHARS = 150_000, 48
+#: Factors of position and piece in the hash that skips a candidate.
+AT, PIECE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 #: Stretches merged in step, and characters of text worked off together.
 STEP, TOGETHER = 4096, 1 << 20
 
@@ -29,6 +31,14 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def draws(at: np.ndarray, piece: np.ndarray) -> np.ndarray:
+    return at.astype(np.uint64) * np.uint64(AT) + piece.astype(np.uint64) * np.uint64(PIECE)
+
+
+def content(stretch: str) -> int:
+    return sum(ord(c) * (k + 1) for k, c in enumerate(stretch))
+
+
 @dataclass
 class Vocabulary:
     """Pieces and merge scores of a model; small and of fixed size, so it can be broadcast."""
@@ -109,9 +119,9 @@ class Vocabulary:
             if symbols[i] != a or j < 0 or symbols[j] != b:
                 continue
             if limit:
-                x = (key + i * 0x9E3779B97F4A7C15 + piece * 0xD6E8FEB86659FD93) & MASK
-                x = ((x ^ (x >> 32)) * 0xD6E8FEB86659FD93) & MASK
-                x = ((x ^ (x >> 32)) * 0xD6E8FEB86659FD93) & MASK
+                x = (key + i * AT + piece * PIECE) & MASK
+                x = ((x ^ (x >> 32)) * PIECE) & MASK
+                x = ((x ^ (x >> 32)) * PIECE) & MASK
                 if x >> 32 < limit:
                     continue
             symbols[i], symbols[j] = a + b, None
@@ -131,10 +141,11 @@ class Vocabulary:
                     out.append(piece)
         return out
 
-    def segment_all(self, stretches: list[str], dropout: float, keys: np.ndarray) -> list[bytes]:
-        """``segment`` of many short stretches in step: each step merges the best candidate of every stretch that has one.
+    def segment_all(self, stretches: list[str], skipped: list[tuple[int, ...]]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The runs of many short stretches in step: each step merges the best candidate of every stretch that has one.
 
-        A skipped candidate stays skipped by its hash, so the agenda's order is that of the best one left.
+        ``skipped`` has, for each stretch, the candidates left out, as ``position * AT + piece * PIECE``.
+        Returns the ids, how many merges each run made, and those merges in the same form, run by run.
         """
         size = np.array([len(s) for s in stretches])
         n, width = len(stretches), int(size.max()) + 1
@@ -143,7 +154,6 @@ class Vocabulary:
         row = np.repeat(np.arange(n), size)
         symbol = np.full((n, width), -1, np.int64)
         symbol[row, place] = self.symbol_of[chars]
-        keys = keys + np.bincount(row, chars * (place + 1.0), n).astype(np.uint64)
         after = np.tile(np.arange(1, width + 1), (n, 1))
         after[np.arange(n), size - 1] = width - 1  # the last column is an end with symbol -1
         before = np.tile(np.arange(-1, width - 1), (n, 1))
@@ -151,18 +161,18 @@ class Vocabulary:
         cost = np.full((n, width), np.inf)
         alive = np.zeros((n, width), bool)
         alive[row, place] = True
-        limit = np.uint64(int(dropout * 2**32))
+        most = max(map(len, skipped))
+        # Piece -1 at position 0 stands for nothing.
+        out_of = np.array([x + (-PIECE & MASK,) * (most - len(x)) for x in skipped], np.uint64).reshape(n, most)
+        steps: list[tuple[np.ndarray, np.ndarray]] = []
 
         def propose(r: np.ndarray, i: np.ndarray) -> None:
             a, b = symbol[r, i], symbol[r, after[r, i]]
             key = (a << 32) | b
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             made = np.where((a >= 0) & (b >= 0) & (self.keys[at] == key), self.merged[at], -1)
-            if limit:
-                x = keys[r] + i.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + made.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-                for _ in range(2):
-                    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-                made = np.where((x >> np.uint64(32)) < limit, -1, made)
+            if most:
+                made = np.where((out_of[r] == draws(i, made)[:, None]).any(axis=1), -1, made)
             piece[r, i], cost[r, i] = made, self.cost[made]
 
         propose(row, place)
@@ -172,6 +182,7 @@ class Vocabulary:
             some = cost[live, i] < np.inf
             live, i = live[some], i[some]
             j = after[live, i]
+            steps.append((live, draws(i, piece[live, i])))
             symbol[live, i] = piece[live, i]
             alive[live, j], cost[live, j] = False, np.inf
             k = after[live, j]
@@ -188,7 +199,8 @@ class Vocabulary:
         raw, out = flat.tobytes(), []
         for w, (e, c, fine) in enumerate(zip((ends * 4).tolist(), (alive.sum(axis=1) * 4).tolist(), known.tolist(), strict=True)):
             out.append(raw[e - c : e] if fine else self.spelled(stretches[w], alive[w], symbol[w]))
-        return out
+        of, made = (np.concatenate(x) for x in zip((np.zeros(0, np.int64), np.zeros(0, np.uint64)), *steps, strict=True))
+        return out, np.bincount(of, minlength=n), made[np.argsort(of, kind="stable")]
 
     def spelled(self, stretch: str, alive: np.ndarray, symbol: np.ndarray) -> bytes:
         """The ids of a stretch some of whose characters are no pieces."""
@@ -204,59 +216,110 @@ class Vocabulary:
 
 
 class Encoder:
-    """Encodes whole texts; equal stretches with equal variants are segmented once while they are kept."""
+    """Encodes whole texts; every occurrence of a stretch has skips of its own.
 
-    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int, variants: int):
-        self.vocabulary, self.dropout, self.seed = vocabulary, dropout, seed
-        self.variants = variants if dropout else 1
-        self.kept: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+    What an occurrence becomes depends only on which of the merges that its run comes
+    to are skipped. So runs are kept as trees: the root of a stretch skips nothing, and
+    the child (run, k) also skips the k-th merge of its parent. An occurrence draws for
+    all merges of a run, and goes on to a child at the first that it skips.
+    """
 
-    def key(self, variant: int) -> int:
-        return (self.seed * 0xBF58476D1CE4E5B9 + (variant + 1) * 0x94D049BB133111EB) & MASK
+    def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int):
+        self.vocabulary, self.limit, self.dropout, self.seed = vocabulary, np.uint64(int(dropout * 2**32)), dropout, seed
+        self.clear()
+
+    def clear(self) -> None:
+        self.roots: dict[str, int] = {}
+        self.children: dict[int, int] = {}
+        self.stretches: list[str] = []
+        self.skipped: list[tuple[int, ...]] = []
+        self.ids: list[bytes] = []
+        self.content = np.zeros(0, np.uint64)
+        self.start = np.zeros(1, np.int64)
+        self.made = np.zeros(0, np.uint64)
+
+    def grow(self, stretches: list[str], skipped: list[tuple[int, ...]]) -> np.ndarray:
+        """Make runs and return their numbers."""
+        first, order = len(self.ids), sorted(range(len(stretches)), key=lambda k: len(stretches[k]))
+        counts, made = [], []
+        for a in range(0, len(order), STEP):
+            part = order[a : a + STEP]
+            ids, count, merges = self.vocabulary.segment_all([stretches[k] for k in part], [skipped[k] for k in part])
+            self.ids += ids
+            counts.append(count)
+            made.append(merges)
+        self.stretches += [stretches[k] for k in order]
+        self.skipped += [skipped[k] for k in order]
+        self.content = np.append(self.content, np.array([content(stretches[k]) for k in order], np.uint64))
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(np.concatenate(counts))])
+        self.made = np.concatenate([self.made, *made])
+        out = np.empty(len(order), np.int64)
+        out[order] = np.arange(first, first + len(order))
+        return out
+
+    def keys(self, doc: int, n: int) -> np.ndarray:
+        """A key for each stretch of a document, by the seed, the document and the place of the stretch."""
+        base = mix(mix(np.array([self.seed & MASK], np.uint64)) + np.uint64((doc * AT) & MASK))
+        return mix(base + np.arange(n, dtype=np.uint64))
+
+    def settled(self, run: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """From the root of each occurrence to the run that its skips lead to."""
+        going = np.arange(len(run))
+        while self.limit and len(going):
+            at = run[going]
+            n = self.start[at + 1] - self.start[at]
+            ends = np.cumsum(n)
+            k = np.arange(ends[-1]) - np.repeat(ends - n, n)
+            x = np.repeat(keys[going], n) + self.made[np.repeat(self.start[at], n) + k]
+            for _ in range(2):
+                x = (x ^ (x >> np.uint64(32))) * np.uint64(PIECE)
+            hit = np.flatnonzero((x >> np.uint64(32)) < self.limit)
+            of = np.searchsorted(ends, hit, side="right")
+            first = np.append(True, of[1:] != of[:-1])[: len(of)]
+            hit, of = hit[first], of[first]
+            going = going[of]
+            branch, back = np.unique(at[of] * KEPT_CHARS + k[hit], return_inverse=True)
+            branch = branch.tolist()
+            fresh = [b for b in branch if b not in self.children]
+            if fresh:
+                parents = [divmod(b, KEPT_CHARS) for b in fresh]
+                made = self.grow([self.stretches[p] for p, _ in parents], [(*self.skipped[p], int(self.made[self.start[p] + j])) for p, j in parents])
+                self.children.update(zip(fresh, made.tolist(), strict=True))
+            run[going] = np.array([self.children[b] for b in branch], np.int64)[back]
+        return run
 
     def encode_all(self, texts: list[str], docs: list[int]) -> list[np.ndarray]:
-        """The ids of each text. What is not kept yet is segmented for all texts together."""
-        vocabulary, kept = self.vocabulary, self.kept
-        split, wanted = [], [set() for _ in range(self.variants)]
-        for text, doc in zip(texts, docs, strict=True):
-            stretches = vocabulary.stretch.findall(" " + text) if text else []
-            place = np.arange(len(stretches), dtype=np.uint64) + np.uint64((doc * 0x9E3779B97F4A7C15 + self.seed) & MASK)
-            turns = (mix(place) % np.uint64(self.variants)).tolist() if self.variants > 1 else [0] * len(stretches)
-            split.append((stretches, turns))
-            for s, v in zip(stretches, turns, strict=True):
-                if s not in kept[v]:
-                    wanted[v].add(s)
-        for v, missing in enumerate(wanted):
-            if len(kept[v]) + len(missing) > KEPT:
-                kept[v].clear()
-                missing = {s for stretches, turns in split for s, t in zip(stretches, turns, strict=True) if t == v}
-            short = sorted((s for s in missing if len(s) <= KEPT_CHARS), key=len)
-            for a in range(0, len(short), STEP):
-                part = short[a : a + STEP]
-                kept[v].update(zip(part, vocabulary.segment_all(part, self.dropout, np.full(len(part), self.key(v), np.uint64)), strict=True))
-            for s in missing:
-                if len(s) > KEPT_CHARS:
-                    key = (self.key(v) + sum(ord(c) * (k + 1) for k, c in enumerate(s))) & MASK
-                    kept[v][s] = np.array(vocabulary.segment(s, self.dropout, key), np.int32).tobytes()
-        out = [np.frombuffer(b"".join([kept[v][s] for s, v in zip(*x, strict=True)]), np.int32) for x in split]
-        for v, missing in enumerate(wanted):
-            for s in missing:
-                if len(s) > KEPT_CHARS:
-                    del kept[v][s]
-        return out
+        """The ids of each text. Runs that are not kept yet are made for all texts together."""
+        if len(self.ids) > KEPT:
+            self.clear()
+        split = [self.vocabulary.stretch.findall(" " + text) if text else [] for text in texts]
+        stretches = [s for x in split for s in x]
+        keys = np.concatenate([np.zeros(0, np.uint64), *[self.keys(doc, len(x)) for x, doc in zip(split, docs, strict=True)]])
+        short = np.array([len(s) <= KEPT_CHARS for s in stretches], bool)
+        fresh = list(dict.fromkeys(s for s in stretches if s not in self.roots and len(s) <= KEPT_CHARS))
+        if fresh:
+            self.roots.update(zip(fresh, self.grow(fresh, [()] * len(fresh)).tolist(), strict=True))
+        run = np.array([self.roots.get(s, -1) for s in stretches], np.int64)
+        run[short] = self.settled(run[short], keys[short] + self.content[run[short]])
+        ids = [self.ids[r] if r >= 0 else b"" for r in run.tolist()]
+        for k in np.flatnonzero(~short).tolist():
+            key = (int(keys[k]) + content(stretches[k])) & MASK
+            ids[k] = np.array(self.vocabulary.segment(stretches[k], self.dropout, key), np.int32).tobytes()
+        ends = np.cumsum([len(x) for x in split]).tolist()
+        return [np.frombuffer(b"".join(ids[e - len(x) : e]), np.int32) for x, e in zip(split, ends, strict=True)]
 
     def encode(self, text: str, doc: int) -> np.ndarray:
         return self.encode_all([text], [doc])[0]
 
 
-def encode_documents(docs: DataFrame, model_file: str | None = None, dropout: float = 0.1, seed: int = 1, variants: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_documents(docs: DataFrame, model_file: str | None = None, dropout: float = 0.1, seed: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids, n_tokens, lossless) of every whole text, one row per row of ``docs``.
 
     Segmentation is by merges of the model's pieces; each candidate merge is
-    skipped with probability ``dropout`` by a hash of the seed, the variant, the
-    stretch (a word with the spaces before it), the position and the piece. The
-    occurrences of a stretch are dealt to ``variants`` segmentations by a hash of
-    seed, document and place, so results are the same on every run. With
+    skipped with probability ``dropout`` by a hash of the seed, the document, the
+    place of the stretch (a word with the spaces before it) in it, the stretch, the
+    position and the piece. So every occurrence has draws of its own, and results
+    are the same on every run. With
     ``dropout`` 0 the pieces are the model's own. Characters outside the
     vocabulary, and the mark U+2581 itself, are spelled in bytes, so decoding
     gives back every text exactly; ``lossless`` says that it did.
@@ -269,20 +332,20 @@ def encode_documents(docs: DataFrame, model_file: str | None = None, dropout: fl
     vocabulary = spark.sparkContext.broadcast(Vocabulary.load(model_file or default_model()))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(vocabulary.value, dropout, seed, variants)
+        encoder = Encoder(vocabulary.value, dropout, seed)
         for part in parts:
-            texts, docs, ids = part["text"].tolist(), part["known"].tolist(), []
+            texts, docs = part["text"].tolist(), part["known"].tolist()
             at = 0
             while at < len(texts):
                 end, size = at, 0
                 while end < len(texts) and (end == at or size < TOGETHER):
                     size += len(texts[end] or "")
                     end += 1
-                ids += encoder.encode_all([x or "" for x in texts[at:end]], [int(x) for x in docs[at:end]])
+                some = texts[at:end]
+                ids = [None if x is None else i for x, i in zip(some, encoder.encode_all([x or "" for x in some], [int(x) for x in docs[at:end]]), strict=True)]
+                fine = [x is None or encoder.vocabulary.decode(i.tolist()) == x for x, i in zip(some, ids, strict=True)]
+                yield pd.DataFrame({"id": part["id"].iloc[at:end].array, "ids": ids, "n_tokens": [0 if x is None else len(x) for x in ids], "lossless": fine})
                 at = end
-            ids = [None if x is None else i for x, i in zip(texts, ids, strict=True)]
-            fine = [x is None or encoder.vocabulary.decode(i.tolist()) == x for x, i in zip(texts, ids, strict=True)]
-            yield pd.DataFrame({"id": part["id"], "ids": ids, "n_tokens": [0 if x is None else len(x) for x in ids], "lossless": fine})
 
     i = F.col(f"`{id_col}`").cast("long")
     rows = docs.select(i.cast("string").alias("id"), F.coalesce(i, F.lit(0)).alias("known"), F.col(f"`{text_col}`").alias("text"))
