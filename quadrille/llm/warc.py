@@ -115,10 +115,11 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     Tasks emit each magic line with the offset of the record said to follow;
     pointer jumping from offset 0 keeps the reachable ones, so magic lines inside
     payloads make no records: their segments are joined back into the payload.
+    The segments are staged, as their numbers hold for one scan only.
     Returns file, off, head (string) and block (binary). An archive with no valid
     record yields nothing. What follows a broken link of a chain is left out.
     """
-    segs = segments(spark, path)
+    segs, _ = staged(segments(spark, path), "warc-segments")
     cands, _ = staged(candidates(segs), "warc-candidates")
     real = reachable(cands.select("file", "off", "next").filter(F.col("off") >= 0))
     marked = cands.join(real.withColumn("start", F.col("off")), ["file", "off"], "left")
