@@ -154,6 +154,13 @@ def repaired(geom: pd.Series) -> pd.Series:
     return pd.Series([None if g is None else flat(K.even_odd(r)) if K.crossings(r := rings_of(g)) else g for g in geom], dtype=object)
 
 
+@F.udf(RINGS_TYPE)
+def united(parts: list) -> list:
+    """The union of an array of polygons; what is alone stays."""
+    some = [p for p in parts if len(p)]
+    return some[0] if len(some) == 1 else [r.tolist() for r in flat(K.union([rings_of(p) for p in some]))] if some else []
+
+
 def simplified(geom: Column, tolerance: float, preserve: bool = True) -> Column:
     @F.pandas_udf(RINGS_TYPE)
     def run(g: pd.Series) -> pd.Series:

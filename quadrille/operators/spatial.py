@@ -97,20 +97,21 @@ def dissolve(zones: DataFrame, features: DataFrame, key: str, cell: float, order
     return united.groupBy(key).agg(F.flatten(F.collect_list("geom")).alias("geom")).join(first, key)
 
 
-def clip(features: DataFrame, boundary: DataFrame, tolerance: float = 15.0) -> DataFrame:
-    """All columns of ``features``, ``geom`` cut to the boundary, and ``status``.
+def clip(features: DataFrame, boundary: DataFrame, tolerance: float = 15.0, cell: float = 50_000.0, bins: int = 16) -> DataFrame:
+    """All columns of ``features``, ``geom`` cut to the union of all rows of the boundary, and ``status``.
 
-    Repair, thin, cut; the boundary is a layer like any other and joined by cells
-    elsewhere, so here it has one row of bounded size, which is broadcast. Status:
-    empty, outside (by box), no_area or ok.
+    Repair, thin, cut by each boundary polygon that a feature meets, unite in two
+    small steps. Status: empty, outside (by the boxes of all rows), no_area or ok.
+    Equal rows are worked off once.
     """
-    edge = F.broadcast(boundary.limit(1).select(F.col("geom").alias("__edge")))
-    boxed = features.crossJoin(edge).withColumn("__b", G.bounds(F.col("geom"))).withColumn("__e", G.bounds(F.col("__edge")))
-    apart = (F.col("__b.maxx") < F.col("__e.minx")) | (F.col("__b.minx") > F.col("__e.maxx")) | (F.col("__b.maxy") < F.col("__e.miny")) | (F.col("__b.miny") > F.col("__e.maxy"))
-    early = F.when(G.is_empty(F.col("geom")), "empty").when(apart, "outside")
-    staged = boxed.withColumn("__early", early)
-    cut = G.intersection(G.simplified(G.repaired(F.when(F.col("__early").isNull(), F.col("geom"))), tolerance), F.col("__edge"))
-    out = staged.withColumn("__cut", cut)
-    status = F.coalesce("__early", F.when(G.area(F.col("__cut")) > 0, "ok").otherwise("no_area"))
-    kept = [F.col(f"`{c}`") for c in features.columns if c not in ("geom", "status")]
-    return out.select(*kept, F.when(status == "ok", F.col("__cut")).alias("geom"), status.alias("status"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in features.columns])
+    rows = features.groupBy(whole.alias("row")).agg(F.count("*").alias("n"))
+    pairs = spatial_join(rows.select("row", "n", F.col("row.geom").alias("geom")), boundary.select(G.repaired(F.col("geom")).alias("geom")), cell)
+    cut = pairs.select("l.row", "l.n", F.pmod(F.xxhash64("r.geom"), F.lit(bins)).alias("bin"), G.intersection(G.simplified(G.repaired(F.col("l.geom")), tolerance), F.col("r.geom")).alias("geom"))
+    shares = cut.groupBy("row", "n", "bin").agg(G.united(F.collect_list("geom")).alias("geom")).drop("bin")
+    every = shares.unionByName(rows.withColumn("geom", F.lit(None).cast(G.RINGS)))
+    out = every.groupBy("row", "n").agg(F.count("geom").alias("met"), G.united(F.collect_list("geom")).alias("cut"))
+    status = F.when(G.is_empty(F.col("row.geom")), "empty").when(F.col("met") == 0, "outside").when(G.area(F.col("cut")) > 0, "ok").otherwise("no_area")
+    kept = [F.col("row").getField(c).alias(c) for c in features.columns if c not in ("geom", "status")]
+    out = out.withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    return out.select(*kept, F.when(status == "ok", F.col("cut")).alias("geom"), status.alias("status"))

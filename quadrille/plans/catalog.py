@@ -75,7 +75,7 @@ def triangle_overlay(spark, d):
 @query("SELECT p_partkey AS fid, CASE WHEN (p_partkey * 37) % 1000 > 500 OR (p_partkey * 91) % 1000 > 500 THEN 'outside' WHEN (p_partkey * 37) % 1000 = 500 OR (p_partkey * 91) % 1000 = 500 THEN 'no_area' ELSE 'ok' END AS status, round(CASE WHEN (p_partkey * 37) % 1000 < 500 AND (p_partkey * 91) % 1000 < 500 THEN CAST(least(500, (p_partkey * 37) % 1000 + p_size) - (p_partkey * 37) % 1000 AS DOUBLE) * (least(500, (p_partkey * 91) % 1000 + p_size) - (p_partkey * 91) % 1000) ELSE 0 END, 4) AS area FROM part")
 def clip_to_boundary(spark, d):
     edge = spark.range(1).select(G.box(*[F.lit(v) for v in (0, 0, 500, 500)]).alias("geom"))
-    out = S.clip(X.features(spark, d), edge, tolerance=0.1)
+    out = S.clip(X.features(spark, d), edge, tolerance=0.1, cell=X.CELL)
     return out.select("fid", "status", F.round(G.area(F.col("geom")), 4).alias("area"))
 
 
