@@ -72,7 +72,8 @@ def schedule(docs: DataFrame, max_repeats: float | None = 2.0, target_entropy: f
     No task holds a source: windows run over blocks of about ``block_docs``
     documents, and over the totals of a source's blocks. A null source is a
     source. Rows that repeat id, text and source move as one. Documents without
-    words cost nothing. A null id is allowed. An empty table gives no rows.
+    words cost nothing and are in every whole pass, at position 1 if all words
+    of the budget go before. A null id is allowed. An empty table gives no rows.
     """
     base = packed(docs, id_col, text_col)
     words = F.size(F.filter(F.split("__text", WS_RUN, -1), lambda w: w != ""))
@@ -100,7 +101,8 @@ def schedule(docs: DataFrame, max_repeats: float | None = 2.0, target_entropy: f
     placed = rows.withColumn("inner", F.coalesce(F.sum("mass").over(inside), F.lit(0))).join(offsets, "cell")
     before = F.col("pass") * F.col("source_tokens") + F.col("offset") + F.col("inner")
     spent = F.col("repeats") * F.col("source_tokens")
-    shown = placed.filter((before < spent) | ((F.col("source_tokens") == 0) & (F.col("pass") == 0)))
+    wordless = (F.col("tokens") == 0) & (F.col("pass") < F.floor("repeats"))
+    shown = placed.filter((before < spent) | wordless | ((F.col("source_tokens") == 0) & (F.col("pass") == 0)))
     position = F.coalesce(before / F.nullif(spent, F.lit(0.0)), F.lit(0.0))
     return shown.select("id", "text_hash", "source", "tokens", F.col("pass").cast("int").alias("pass"), position.alias("position"))
 
