@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from contextlib import suppress
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,33 +23,72 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the session names it.
 
-    Where the session names none (tests on one machine), one is made and set.
+    Where the session names none, a local one (tests on one machine) makes and sets
+    one; on a cluster that is an error, since a machine's own folder is lost with it.
     """
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not context.master.partition("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="quadrille-")
         context.setCheckpointDir(named)
     return named.rstrip("/")
 
 
+_left: dict[str, SparkSession] = {}
+
+
 def staged(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     """Write ``df`` to the shared folder and read it back; also its path.
 
-    This cuts the lineage, and what was computed survives lost executors.
+    This cuts the lineage, and what was computed survives lost executors. What an
+    operator doesn't remove by itself, since its result still reads it, goes with
+    ``release``, at the end of the program at the latest.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    _left[path] = spark
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
 def unstage(spark: SparkSession, path: str) -> None:
     """Remove a staged table that nothing reads any more."""
+    _left.pop(path, None)
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+@atexit.register
+def release() -> None:
+    """Remove all that is still staged; results that read it can't be computed afterwards."""
+    for path, spark in list(_left.items()):
+        with suppress(Exception):  # the session may be over
+            unstage(spark, path)
+
+
+#: No more keys than this can be hot, so they may be broadcast and salted.
+HOT_KEYS, SALTS = 1000, 64
+
+
+def met(rows: DataFrame, found: DataFrame, keys: list[str], by: list[str], count: str = "n") -> DataFrame:
+    """``rows`` joined with ``found`` on ``keys``, where one key may hold any share of the rows.
+
+    ``found`` (best staged) has one row per key, with the number of that key's rows in
+    ``count``, which goes. Keys of over a HOT_KEYS-th of all those rows, of which there
+    are fewer than HOT_KEYS, are dealt out to SALTS tasks each, by a hash of ``by``.
+    """
+    total = found.agg(F.sum(count)).first()[0] or 0
+    hot = found.filter(F.col(count) > total // HOT_KEYS)
+    salts = F.explode(F.sequence(F.lit(0), F.when(F.col(count) > total // HOT_KEYS, SALTS - 1).otherwise(0))).alias("__salt")
+    spread = F.broadcast(hot.select(*[F.col(k).alias(f"__hot_{k}") for k in keys]))
+    same = [F.col(k) == F.col(f"__hot_{k}") for k in keys]
+    dealt = rows.join(spread, same, "left").withColumn("__salt", F.when(F.col(f"__hot_{keys[0]}").isNotNull(), F.pmod(F.xxhash64(*by), F.lit(SALTS))).otherwise(0).cast("int"))
+    dealt = dealt.drop(*[f"__hot_{k}" for k in keys])
+    return dealt.join(found.select(*[c for c in found.columns if c != count], salts), [*keys, "__salt"]).drop("__salt")
+
+
 def barrier(df: DataFrame, **columns: Column) -> DataFrame:
     """Add columns that are evaluated once a row, however often they are used.
 

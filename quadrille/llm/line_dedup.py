@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS, lower_ascii, packed, unpacked
+from .common import WS, lower_ascii, met, packed, staged, unpacked
 
 
 def line_key(line: Column) -> Column:
@@ -21,8 +21,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text replaced, and ``n_lines`` (before) and ``n_dropped`` (long).
 
     Keys travel as 128 hash bits. Documents of a key are counted by partial
-    aggregates (a hot line is one row per task); the kept text never enters the
-    key shuffle, and a skewed key in the join back can be split by AQE.
+    aggregates (a hot line is one row per task); the keys to drop are staged, and in
+    the join back the few that hold a large share of all lines are salted. The kept
+    text never enters the key shuffle.
 
     Null or empty text is one empty line. A row whose id is null neither counts
     as a document nor loses lines. Rows that repeat an id count as the same
@@ -36,13 +37,14 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select("__id", "__th", "__pos", F.xxhash64("__key").alias("__h1"), F.xxhash64(F.lit(7), "__key").alias("__h2"))
     )
     if max_docs == 1:
-        found = keyed.groupBy("__h1", "__h2").agg(F.min("__id").alias("__first"), F.max("__id").alias("__last"))
+        found = keyed.groupBy("__h1", "__h2").agg(F.min("__id").alias("__first"), F.max("__id").alias("__last"), F.count("*").alias("__n"))
         found = found.filter(F.col("__first") != F.col("__last")).drop("__last")
     else:
-        found = keyed.groupBy("__h1", "__h2", "__id").agg(F.lit(1).alias("__one")).groupBy("__h1", "__h2").agg(F.min("__id").alias("__first"), F.count("*").alias("__docs"))
+        found = keyed.groupBy("__h1", "__h2", "__id").agg(F.count("*").alias("__n")).groupBy("__h1", "__h2").agg(F.min("__id").alias("__first"), F.count("*").alias("__docs"), F.sum("__n").alias("__n"))
         found = found.filter(F.col("__docs") > max_docs).drop("__docs")
+    found, _ = staged(found, "line-keys")
     drops = (
-        keyed.join(found, ["__h1", "__h2"])
+        met(keyed, found, ["__h1", "__h2"], ["__id", "__pos"], "__n")
         .filter(F.col("__id") != F.col("__first"))
         .groupBy("__id", "__th")
         .agg(F.sort_array(F.collect_set("__pos")).alias("__drops"))

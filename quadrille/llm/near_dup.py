@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +41,12 @@ def prob_minhash(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, docs:
     return signature.reshape(docs, slots)
 
 
+def word_sequence(text: str) -> tuple[int, int]:
+    """128 bits of a cryptographic hash of a text's words, A-Z folded, in order."""
+    words = b" ".join(text.encode("utf-8", "surrogatepass").lower().split())
+    return struct.unpack("<qq", hashlib.blake2b(words, digest_size=16).digest())
+
+
 def fingerprints(size: int, bands: int, rows: int, weighted: bool, seed: int):
     """Tasks: of each document two hashes of its word sequence and the bands of its signature."""
 
@@ -47,18 +55,14 @@ def fingerprints(size: int, bands: int, rows: int, weighted: bool, seed: int):
             texts = part["__text"].tolist()
             for a, b, bounds, words in batches(texts):
                 n = np.diff(bounds)
-                place = np.arange(len(words)) - np.repeat(bounds[:-1], n)
-                sums = []
-                for salt in (1, 2):
-                    x = np.concatenate([[0], np.cumsum(mix(words * ODD + mix(place.astype(np.uint64) + np.uint64(salt << 40))), dtype=np.uint64)]).astype(np.uint64)
-                    sums.append(mix(x[bounds[1:]] - x[bounds[:-1]] + n.astype(np.uint64) * ODD))
+                same = np.array([word_sequence(x) for x in texts[a:b]], np.int64)
                 doc, element, count = distinct(*shingled(bounds, words, size))
                 sig = prob_minhash(doc, element, count.astype(float) if weighted else np.ones(len(doc)), b - a, bands * rows, seed) if len(doc) else np.zeros((b - a, bands * rows), np.uint64)
                 key = np.zeros((b - a, bands), np.uint64)
                 for r in range(rows):
                     key = mix(key * ODD + sig.reshape(b - a, bands, rows)[:, :, r])
                 key = mix(key + np.arange(1, bands + 1, dtype=np.uint64)[None, :] * ODD).view(np.int64)
-                yield pd.DataFrame({"id": part["__id"].to_numpy()[a:b], "f1": sums[0].view(np.int64), "f2": sums[1].view(np.int64), "keys": [key[i] if n[i] else key[i][:0] for i in range(b - a)]})
+                yield pd.DataFrame({"id": part["__id"].to_numpy()[a:b], "f1": same[:, 0], "f2": same[:, 1], "keys": [key[i] if n[i] else key[i][:0] for i in range(b - a)]})
 
     return run
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import staged
-from .text import BASE, INVERSE, SLICE, mix, powers
+from .text import FIELDS, ODD, SLICE, mix, stretch_hash, summed
 
 GRAM = 16
 #: Groups with more different surroundings than this are matched row by row instead of in a task.
@@ -33,23 +33,24 @@ def window_size(length: int) -> int:
     return (length - GRAM) // 3
 
 
-def sums(part: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(part) + 1, np.uint64)
-    np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers(len(part), BASE, "up"), out=out[1:])
-    return out
+def sums(part: np.ndarray) -> list[np.ndarray]:
+    return [summed(part, *field) for field in FIELDS]
 
 
-def named(total: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return mix((total[end] - total[start]) * powers(len(total), INVERSE, "down")[start] + (end - start).astype(np.uint64))
+def gram_order(part: np.ndarray) -> np.ndarray:
+    """A number for the 16 bytes from each place on, by which the least of a window is chosen."""
+    x = part.astype(np.uint64)
+    for n in (1, 2, 4):
+        x = x[:-n] | (x[n:] << np.uint64(8 * n))
+    return mix(x[:-8] * ODD + x[8:])
 
 
-def anchors(part: np.ndarray, total: np.ndarray, window: int) -> np.ndarray:
+def anchors(part: np.ndarray, window: int) -> np.ndarray:
     """Positions that are the rightmost least gram of some window of grams."""
     n = len(part) - GRAM + 1
     if n < window:
         return np.zeros(0, np.int64)
-    at = np.arange(n)
-    low = (named(total, at, at + GRAM) >> np.uint64(24) << np.uint64(24)) | (np.uint64((1 << 24) - 1) - at.astype(np.uint64))
+    low = (gram_order(part) >> np.uint64(24) << np.uint64(24)) | (np.uint64((1 << 24) - 1) - np.arange(n, dtype=np.uint64))
     span = 1
     while span < window:
         step = min(span, window - span)
@@ -70,14 +71,14 @@ def anchored(data: bytes, length: int) -> Iterator[tuple[np.ndarray, ...]]:
         base, end = max(0, s - 4 * w), min(n, s + SLICE + length + 4 * w)
         part = buffer[base:end]
         total = sums(part)
-        pos = anchors(part, total, w)
+        pos = anchors(part, w)
         before = np.concatenate([[-(1 << 30)], pos[:-1]])
         lo = np.maximum(before - w + 1, -base)
         hi = np.minimum(pos - w, n - length - base)
         mine = (pos + base >= s) & (pos + base < s + SLICE) & (lo <= hi) & (pos - w >= 0) & (pos + GRAM + w <= len(part))
         pos, lo, hi = pos[mine], lo[mine], hi[mine]
-        context = named(total, pos - w, pos + GRAM + w)
-        whole = mix(named(total, lo, hi + length) + ((pos - lo).astype(np.uint64) << np.uint64(32)) + (pos - hi).astype(np.uint64))
+        context = stretch_hash(total, pos - w, pos + GRAM + w)
+        whole = mix(stretch_hash(total, lo, hi + length) + ((pos - lo).astype(np.uint64) << np.uint64(32)) + (pos - hi).astype(np.uint64))
         yield context.view(np.int64), whole.view(np.int64), pos + base, lo + base, hi + base
 
 
@@ -113,7 +114,7 @@ def strings(row, length: int) -> tuple[np.ndarray, np.ndarray]:
     size = length - GRAM - 2 * window_size(length)
     start = np.arange(row.lo, row.hi + 1)
     at = start - row.lo
-    return start, named(sums(rest), at, at + size)
+    return start, stretch_hash(sums(rest), at, at + size)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400) -> DataFrame:

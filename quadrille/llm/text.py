@@ -14,9 +14,6 @@ _blank = np.zeros(256, bool)
 _blank[[0x20, *range(0x09, 0x0E)]] = True
 _fold = np.arange(256, dtype=np.uint8)
 _fold[65:91] += 32
-_powers: dict[str, np.ndarray] = {}
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (splitmix64)."""
     x = x.astype(np.uint64, copy=True)
@@ -28,18 +25,45 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def powers(n: int, base: int, name: str) -> np.ndarray:
-    """base^0 to base^(n-1), modulo 2^64; kept between calls."""
-    have = _powers.get(name)
-    if have is None or len(have) < n:
-        have = np.full(max(n, SLICE + 2), np.uint64(base))
-        have[0] = 1
-        _powers[name] = have = np.multiply.accumulate(have)
-    return have[:n]
+#: Two primes under 2^31 and a seeded base for each: a word's number modulo each is its hash. Fixed values.
+FIELDS = ((2147483647, 1168430377), (2147483629, 803981251))
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def powers(n: int, prime: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """base^0 to base^(n-1) modulo ``prime``, and their inverses; kept between calls."""
+    have = _powers.get(prime)
+    if have is None or len(have[0]) < n:
+        have = tuple(_table(max(n, SLICE + 2), prime, b) for b in (base, pow(base, -1, prime)))
+        _powers[prime] = have
+    return have[0][:n], have[1][:n]
+
+
+def _table(n: int, prime: int, base: int) -> np.ndarray:
+    out, size, step = np.ones(n, np.uint64), 1, base
+    while size < n:
+        more = min(size, n - size)
+        out[size : size + more] = out[:more] * np.uint64(step) % np.uint64(prime)
+        size, step = size + more, step * step % prime
+    return out
+
+
+def summed(part: np.ndarray, prime: int, base: int) -> np.ndarray:
+    """Running sums of (byte + 1) * base^place, right modulo ``prime``: every 2^24 of them, which add up to less than 2^63, they are reduced."""
+    out, up = np.zeros(len(part) + 1, np.uint64), powers(len(part), prime, base)[0]
+    for a in range(0, len(part), 1 << 24):
+        some = (part[a : a + (1 << 24)].astype(np.uint64) + np.uint64(1)) * up[a : a + (1 << 24)]
+        out[a + 1 : a + 1 + len(some)] = out[a] % np.uint64(prime) + np.cumsum(some)
+    return out
 
 
-BASE = 0x9DDFEA08EB382D69
-INVERSE = pow(BASE, -1, 1 << 64)
+def stretch_hash(sums: list[np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit names of the stretches [start, end) by ``sums`` over all FIELDS: equal for equal bytes, else as random."""
+    out = (end - start).astype(np.uint64) * ODD
+    for total, (prime, base) in zip(sums, FIELDS, strict=True):
+        p = np.uint64(prime)
+        out = mix(out + (total[end] % p + p - total[start] % p) % p * powers(len(total), prime, base)[1][start] % p)
+    return out
 
 
 def hashed_words(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -60,11 +84,9 @@ def hashed_words(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         word = np.concatenate([[False], ~_blank[part], [False]])
         edges = np.flatnonzero(word[1:] != word[:-1])
         s, e = edges[::2], edges[1::2]
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum((_fold[part].astype(np.uint64) + np.uint64(1)) * powers(len(part), BASE, "up"), out=sums[1:])
-        h = (sums[e] - sums[s]) * powers(len(part) + 1, INVERSE, "down")[s]
+        folded = _fold[part]
         starts.append(s + at)
-        hashes.append(mix(h + (e - s).astype(np.uint64) * ODD))
+        hashes.append(stretch_hash([summed(folded, *field) for field in FIELDS], s, e))
         at = end
     if not starts:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)

@@ -74,7 +74,7 @@ def test_topk(spark):
     rng = random.Random(2)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(8)]) for i in range(200)] + [(300, None), (301, [1.0, None]), (302, [math.nan] * 8), (None, [1.0] * 8)]
     q = {i: [math.floor(256 * x) for x in v] for i, v in rows[:200]}
-    got = exact_topk(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 50 == 0, block_rows=64, query_rows=2)
+    got = exact_topk(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 50 == 0, block_bytes=1024, least_blocks=3)
     want = {(a, k + 1, b, s) for a in q if a % 50 == 0 for k, (s, b) in enumerate(sorted(((sum(x * y for x, y in zip(q[a], q[b])), b) for b in q if b != a), key=lambda p: (-p[0], p[1]))[:5])}
     assert {tuple(r) for r in got.collect()} == want
 
