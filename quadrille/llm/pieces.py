@@ -6,6 +6,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -16,12 +17,14 @@ from .text import mix
 
 MARK = "▁"
 MASK = (1 << 64) - 1
-#: Runs of merges kept per task, and the longest stretch of text of which runs are kept.
-KEPT, KEPT_CHARS = 150_000, 48
+#: Characters of the stretches whose runs of merges a task keeps, and the longest stretch of which it does.
+KEPT, KEPT_CHARS = 2_000_000, 48
 #: Factors of position and piece in the hash that skips a candidate.
 AT, PIECE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 #: Stretches merged in step, and characters of text worked off together.
-STEP, TOGETHER = 4096, 1 << 20
+STEP, TOGETHER = 8192, 1 << 20
+#: The rank of no candidate.
+NONE = (1 << 31) - 1
 
 
 def default_model() -> str:
@@ -35,8 +38,28 @@ def draws(at: np.ndarray, piece: np.ndarray) -> np.ndarray:
     return at.astype(np.uint64) * np.uint64(AT) + piece.astype(np.uint64) * np.uint64(PIECE)
 
 
-def content(stretch: str) -> int:
-    return sum(ord(c) * (k + 1) for k, c in enumerate(stretch))
+def skips(x: np.ndarray, limit: int) -> np.ndarray:
+    """Whether the hash of each of ``x`` is under ``limit``."""
+    for _ in range(2):
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(PIECE)
+    return (x >> np.uint64(32)) < np.uint64(limit)
+
+
+def code_points(stretches: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All characters, and each one's stretch and place in it."""
+    size = np.fromiter(map(len, stretches), np.int64, len(stretches))
+    chars = np.frombuffer("".join(stretches).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return chars, np.repeat(np.arange(len(size)), size), np.arange(len(chars)) - np.repeat(np.cumsum(size) - size, size)
+
+
+def content(stretches: list[str]) -> np.ndarray:
+    """A number for the characters of each stretch."""
+    chars, row, place = code_points(stretches)
+    return np.bincount(row, chars * (place + 1.0), len(stretches)).astype(np.uint64)
+
+
+def key_of(key: np.uint64, stretch: str) -> int:
+    return (int(key) + int(content([stretch])[0])) & MASK
 
 
 @dataclass
@@ -61,15 +84,39 @@ class Vocabulary:
                 a, b = symbols.get(p[:k]), symbols.get(p[k:])
                 if a is not None and b is not None:
                     pairs[(a << 32) | b] = i
-        self.keys = np.array(sorted(pairs), np.int64)
-        self.merged = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
-        self.cost = np.append(-np.array(self.scores, float), np.inf)
-        self.symbol_of = np.full(0x110000, -1, np.int64)
+        # What two symbols merge to, in a sparse table: a pair stands at its hash or up to ``reach`` places on.
+        self.bits = max(16, 4 + len(pairs).bit_length())
+        self.table, self.merged = np.full((1 << self.bits) + 64, -1, np.int64), np.full((1 << self.bits) + 64, -1, np.int32)
+        keys = np.array(list(pairs), np.int64)
+        self.reach = 0
+        for at, key, made in zip(self.place(keys).tolist(), pairs, pairs.values(), strict=True):
+            k = at
+            while self.table[k] >= 0:
+                k += 1
+            self.table[k], self.merged[k], self.reach = key, made, max(self.reach, k - at)
+        # The rank of each piece, the best score first; the last one stands for no candidate.
+        self.cost = np.append(np.unique(-np.array(self.scores, float), return_inverse=True)[1], NONE).astype(np.int32)
+        self.symbol_of = np.full(0x110000, -1, np.int32)
         for s, i in symbols.items():
             if len(s) == 1:
                 self.symbol_of[ord(s)] = i
         self.symbol_of[ord(" ")], self.symbol_of[ord(MARK)] = self.symbol_of[ord(MARK)], -1
 
+    def place(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(AT)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def pieces_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The pieces that pairs of symbols merge to, -1 for none."""
+        key = (a.astype(np.int64) << 32) | b
+        at = self.place(key)
+        made = np.where(self.table[at] == key, self.merged[at], np.int32(-1))
+        for k in range(1, self.reach + 1):
+            rest = np.flatnonzero((made < 0) & (self.table[at + k - 1] >= 0))
+            hit = rest[self.table[at[rest] + k] == key[rest]]
+            made[hit] = self.merged[at[hit] + k]
+        made[(a < 0) | (b < 0)] = -1
+        return made
+
     @classmethod
     def load(cls, model_file: str) -> Vocabulary:
         import sentencepiece
@@ -141,50 +188,43 @@ class Vocabulary:
                     out.append(piece)
         return out
 
-    def segment_all(self, stretches: list[str], skipped: list[tuple[int, ...]]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    def segment_all(self, stretches: list[str], keys: np.ndarray | None, limit: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """The runs of many short stretches in step: each step merges the best candidate of every stretch that has one.
 
-        ``skipped`` has, for each stretch, the candidates left out, as ``position * AT + piece * PIECE``.
-        Returns the ids, how many merges each run made, and those merges in the same form, run by run.
+        With ``keys`` (one a stretch) candidates whose draw is under ``limit`` are no candidates, as in ``segment``.
+        Returns the ids, how many merges each run made, and those merges as ``draws``, run by run.
         """
-        size = np.array([len(s) for s in stretches])
+        chars, row, place = code_points(stretches)
+        size = np.bincount(row)
         n, width = len(stretches), int(size.max()) + 1
-        chars = np.frombuffer("".join(stretches).encode("utf-32-le", "surrogatepass"), np.uint32)
-        place = np.arange(len(chars)) - np.repeat(np.cumsum(size) - size, size)
-        row = np.repeat(np.arange(n), size)
-        symbol = np.full((n, width), -1, np.int64)
+        symbol = np.full((n, width), -1, np.int32)
         symbol[row, place] = self.symbol_of[chars]
-        after = np.tile(np.arange(1, width + 1), (n, 1))
+        after = np.tile(np.arange(1, width + 1, dtype=np.int32), (n, 1))
         after[np.arange(n), size - 1] = width - 1  # the last column is an end with symbol -1
-        before = np.tile(np.arange(-1, width - 1), (n, 1))
-        piece = np.full((n, width), -1, np.int64)
-        cost = np.full((n, width), np.inf)
+        before = np.tile(np.arange(-1, width - 1, dtype=np.int32), (n, 1))
+        piece = np.full((n, width), -1, np.int32)
+        cost = np.full((n, width), NONE, np.int32)
         alive = np.zeros((n, width), bool)
         alive[row, place] = True
-        most = max(map(len, skipped))
-        # Piece -1 at position 0 stands for nothing.
-        out_of = np.array([x + (-PIECE & MASK,) * (most - len(x)) for x in skipped], np.uint64).reshape(n, most)
         steps: list[tuple[np.ndarray, np.ndarray]] = []
 
         def propose(r: np.ndarray, i: np.ndarray) -> None:
-            a, b = symbol[r, i], symbol[r, after[r, i]]
-            key = (a << 32) | b
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            made = np.where((a >= 0) & (b >= 0) & (self.keys[at] == key), self.merged[at], -1)
-            if most:
-                made = np.where((out_of[r] == draws(i, made)[:, None]).any(axis=1), -1, made)
+            made = self.pieces_of(symbol[r, i], symbol[r, after[r, i]])
+            if keys is not None:
+                some = np.flatnonzero(made >= 0)
+                made[some[skips(keys[r[some]] + draws(i[some], made[some]), limit)]] = -1
             piece[r, i], cost[r, i] = made, self.cost[made]
 
         propose(row, place)
         live = np.arange(n)
         while len(live):
             i = cost[live].argmin(axis=1)
-            some = cost[live, i] < np.inf
+            some = cost[live, i] < NONE
             live, i = live[some], i[some]
             j = after[live, i]
             steps.append((live, draws(i, piece[live, i])))
             symbol[live, i] = piece[live, i]
-            alive[live, j], cost[live, j] = False, np.inf
+            alive[live, j], cost[live, j] = False, NONE
             k = after[live, j]
             after[live, i] = k
             before[live, k] = i
@@ -218,93 +258,75 @@ class Vocabulary:
 class Encoder:
     """Encodes whole texts; every occurrence of a stretch has skips of its own.
 
-    What an occurrence becomes depends only on which of the merges that its run comes
-    to are skipped. So runs are kept as trees: the root of a stretch skips nothing, and
-    the child (run, k) also skips the k-th merge of its parent. An occurrence draws for
-    all merges of a run, and goes on to a child at the first that it skips.
+    An occurrence that skips none of the merges of its stretch's plain run comes out
+    as that run does, and runs are kept; the others are merged each by itself.
     """
 
     def __init__(self, vocabulary: Vocabulary, dropout: float, seed: int):
-        self.vocabulary, self.limit, self.dropout, self.seed = vocabulary, np.uint64(int(dropout * 2**32)), dropout, seed
+        self.vocabulary, self.limit, self.dropout, self.seed = vocabulary, int(dropout * 2**32), dropout, seed
         self.clear()
 
     def clear(self) -> None:
         self.roots: dict[str, int] = {}
-        self.children: dict[int, int] = {}
-        self.stretches: list[str] = []
-        self.skipped: list[tuple[int, ...]] = []
         self.ids: list[bytes] = []
+        self.chars = 0
         self.content = np.zeros(0, np.uint64)
         self.start = np.zeros(1, np.int64)
         self.made = np.zeros(0, np.uint64)
 
-    def grow(self, stretches: list[str], skipped: list[tuple[int, ...]]) -> np.ndarray:
-        """Make runs and return their numbers."""
-        first, order = len(self.ids), sorted(range(len(stretches)), key=lambda k: len(stretches[k]))
-        counts, made = [], []
+    def merged(self, stretches: list[str], keys: np.ndarray | None) -> Iterator[tuple[list[int], list[bytes], np.ndarray, np.ndarray]]:
+        """``segment_all`` of stretches of like length at a time, with their places."""
+        order = sorted(range(len(stretches)), key=lambda k: len(stretches[k]))
         for a in range(0, len(order), STEP):
             part = order[a : a + STEP]
-            ids, count, merges = self.vocabulary.segment_all([stretches[k] for k in part], [skipped[k] for k in part])
+            yield part, *self.vocabulary.segment_all([stretches[k] for k in part], None if keys is None else keys[part], self.limit)
+
+    def keep(self, stretches: list[str]) -> None:
+        """Make the plain runs of new stretches."""
+        for part, ids, count, made in self.merged(stretches, None):
+            some = [stretches[k] for k in part]
+            self.roots.update(zip(some, range(len(self.ids), len(self.ids) + len(some)), strict=True))
             self.ids += ids
-            counts.append(count)
-            made.append(merges)
-        self.stretches += [stretches[k] for k in order]
-        self.skipped += [skipped[k] for k in order]
-        self.content = np.append(self.content, np.array([content(stretches[k]) for k in order], np.uint64))
-        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(np.concatenate(counts))])
-        self.made = np.concatenate([self.made, *made])
-        out = np.empty(len(order), np.int64)
-        out[order] = np.arange(first, first + len(order))
-        return out
+            self.chars += sum(map(len, some))
+            self.content = np.append(self.content, content(some))
+            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(count)])
+            self.made = np.concatenate([self.made, made])
 
     def keys(self, doc: int, n: int) -> np.ndarray:
         """A key for each stretch of a document, by the seed, the document and the place of the stretch."""
         base = mix(mix(np.array([self.seed & MASK], np.uint64)) + np.uint64((doc * AT) & MASK))
         return mix(base + np.arange(n, dtype=np.uint64))
 
-    def settled(self, run: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """From the root of each occurrence to the run that its skips lead to."""
-        going = np.arange(len(run))
-        while self.limit and len(going):
-            at = run[going]
-            n = self.start[at + 1] - self.start[at]
-            ends = np.cumsum(n)
-            k = np.arange(ends[-1]) - np.repeat(ends - n, n)
-            x = np.repeat(keys[going], n) + self.made[np.repeat(self.start[at], n) + k]
-            for _ in range(2):
-                x = (x ^ (x >> np.uint64(32))) * np.uint64(PIECE)
-            hit = np.flatnonzero((x >> np.uint64(32)) < self.limit)
-            of = np.searchsorted(ends, hit, side="right")
-            first = np.append(True, of[1:] != of[:-1])[: len(of)]
-            hit, of = hit[first], of[first]
-            going = going[of]
-            branch, back = np.unique(at[of] * KEPT_CHARS + k[hit], return_inverse=True)
-            branch = branch.tolist()
-            fresh = [b for b in branch if b not in self.children]
-            if fresh:
-                parents = [divmod(b, KEPT_CHARS) for b in fresh]
-                made = self.grow([self.stretches[p] for p, _ in parents], [(*self.skipped[p], int(self.made[self.start[p] + j])) for p, j in parents])
-                self.children.update(zip(fresh, made.tolist(), strict=True))
-            run[going] = np.array([self.children[b] for b in branch], np.int64)[back]
-        return run
+    def skipping(self, run: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Which occurrences skip a merge of their plain run."""
+        n = self.start[run + 1] - self.start[run]
+        ends = np.cumsum(n)
+        if not self.limit or not len(run) or not ends[-1]:
+            return np.zeros(0, np.int64)
+        k = np.arange(ends[-1]) + np.repeat(self.start[run] - ends + n, n)
+        hit = np.flatnonzero(skips(np.repeat(keys, n) + self.made[k], self.limit))
+        return np.unique(np.searchsorted(ends, hit, side="right"))
 
     def encode_all(self, texts: list[str], docs: list[int]) -> list[np.ndarray]:
         """The ids of each text. Runs that are not kept yet are made for all texts together."""
-        if len(self.ids) > KEPT:
+        if self.chars > KEPT:
             self.clear()
         split = [self.vocabulary.stretch.findall(" " + text) if text else [] for text in texts]
         stretches = [s for x in split for s in x]
         keys = np.concatenate([np.zeros(0, np.uint64), *[self.keys(doc, len(x)) for x, doc in zip(split, docs, strict=True)]])
-        short = np.array([len(s) <= KEPT_CHARS for s in stretches], bool)
-        fresh = list(dict.fromkeys(s for s in stretches if s not in self.roots and len(s) <= KEPT_CHARS))
-        if fresh:
-            self.roots.update(zip(fresh, self.grow(fresh, [()] * len(fresh)).tolist(), strict=True))
-        run = np.array([self.roots.get(s, -1) for s in stretches], np.int64)
-        run[short] = self.settled(run[short], keys[short] + self.content[run[short]])
+        run = np.fromiter(map(self.roots.get, stretches, repeat(-1)), np.int64, len(stretches))
+        new = np.flatnonzero(run < 0).tolist()
+        self.keep([s for s in dict.fromkeys(stretches[k] for k in new) if len(s) <= KEPT_CHARS])
+        run[new] = [self.roots.get(stretches[k], -1) for k in new]
         ids = [self.ids[r] if r >= 0 else b"" for r in run.tolist()]
-        for k in np.flatnonzero(~short).tolist():
-            key = (int(keys[k]) + content(stretches[k])) & MASK
-            ids[k] = np.array(self.vocabulary.segment(stretches[k], self.dropout, key), np.int32).tobytes()
+        short = np.flatnonzero(run >= 0)
+        keys[short] += self.content[run[short]]
+        drawn = short[self.skipping(run[short], keys[short])]
+        for part, made, _, _ in self.merged([stretches[k] for k in drawn.tolist()], keys[drawn]):
+            for k, x in zip(drawn[part].tolist(), made, strict=True):
+                ids[k] = x
+        for k in np.flatnonzero(run < 0).tolist():
+            ids[k] = np.array(self.vocabulary.segment(stretches[k], self.dropout, key_of(keys[k], stretches[k])), np.int32).tobytes()
         ends = np.cumsum([len(x) for x in split]).tolist()
         return [np.frombuffer(b"".join(ids[e - len(x) : e]), np.int32) for x, e in zip(split, ends, strict=True)]
 
