@@ -72,8 +72,8 @@ def release() -> None:
 HOT_KEYS, SALTS = 1000, 64
 
 
-def met(rows: DataFrame, found: DataFrame, keys: list[str], by: list[str], count: str = "n") -> DataFrame:
-    """``rows`` joined with ``found`` on ``keys``, where one key may hold any share of the rows.
+def met(rows: DataFrame, found: DataFrame, keys: list[str], by: list[str], count: str = "n", how: str = "inner") -> DataFrame:
+    """``rows`` joined (``how``: inner or left) with ``found`` on ``keys``, where one key may hold any share of the rows.
 
     ``found`` (best staged) has one row per key, with the number of that key's rows in
     ``count``, which goes. Keys of over a HOT_KEYS-th of all those rows, of which there
@@ -86,7 +86,7 @@ def met(rows: DataFrame, found: DataFrame, keys: list[str], by: list[str], count
     same = [F.col(k) == F.col(f"__hot_{k}") for k in keys]
     dealt = rows.join(spread, same, "left").withColumn("__salt", F.when(F.col(f"__hot_{keys[0]}").isNotNull(), F.pmod(F.xxhash64(*by), F.lit(SALTS))).otherwise(0).cast("int"))
     dealt = dealt.drop(*[f"__hot_{k}" for k in keys])
-    return dealt.join(found.select(*[c for c in found.columns if c != count], salts), [*keys, "__salt"]).drop("__salt")
+    return dealt.join(found.select(*[c for c in found.columns if c != count], salts), [*keys, "__salt"], how).drop("__salt")
 
 
 def barrier(df: DataFrame, **columns: Column) -> DataFrame:

@@ -54,7 +54,8 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents"), length=400)
-    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    left = F.make_valid_utf8(F.col("kept").cast("string"))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), left.alias("text"), F.octet_length("kept").cast("long").alias("n_kept"))
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,13 @@
-"""Removal of long byte strings that occur elsewhere in the corpus, exactly.
-
-As in prefix doubling, positions are named by ever longer surroundings and leave as
-soon as their name is unique; but the names are hashes of the bytes, not ranks of
-pairs, so two rounds take the place of a sort at every offset. And so that a corpus
-of n bytes doesn't move n rows, only anchors go through Spark: the positions that are the least gram of some window of WINDOW
-grams. Every string of ``length`` bytes holds an anchor whose choice depends on that
-string alone, so equal strings meet at equal anchors.
+"""Removal of long byte strings that occur elsewhere in the corpus, exactly, by prefix doubling.
+
+Spark sorts pairs of ranks of positions at growing offsets and ranks the pairs anew;
+positions whose pair is unique leave, and what is ranked is soon longer than the
+threshold. So that a corpus of n bytes doesn't move n rows, the positions are anchors:
+the least gram of some window of grams. Every string of ``length`` bytes holds an anchor
+whose choice depends on that string alone, so equal strings meet at equal anchors. The
+first symbol of an anchor is the bytes around it, 272 of them for a length of 400; so
+the offsets are one anchor, and then the first anchor that takes the pair past the
+threshold.
 """
 
 from __future__ import annotations
@@ -15,13 +17,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import met, staged, unstage
 from .text import FIELDS, ODD, SLICE, mix, stretch_hash, summed
 
 GRAM = 16
+#: Marks that a task gathers before it passes them on.
+MARKS = 1 << 17
 #: Groups with more different surroundings than this are matched row by row instead of in a task.
 GROUP = 4096
 #: Groups up to this size share a bin of about BIN_ROWS rows.
@@ -59,11 +63,26 @@ def anchors(part: np.ndarray, window: int) -> np.ndarray:
     return np.unique((np.uint64((1 << 24) - 1) - (low & np.uint64((1 << 24) - 1))).astype(np.int64))
 
 
-def anchored(data: bytes, length: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(context, whole, pos, lo, hi) of a document's anchors: an anchor answers for the strings that start in [lo, hi].
+#: Bits of each distance that a mark packs into one number.
+BITS = 20
+#: Symbols of the places where a document starts and ends.
+START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
-    ``context`` names the anchor's surroundings that all those strings hold, ``whole``
-    all bytes of those strings. Long documents are worked off in slices.
+
+def packed_gaps(back: np.ndarray, ahead: np.ndarray, low: np.ndarray) -> np.ndarray:
+    return (back.astype(np.int64) << (2 * BITS)) | (ahead.astype(np.int64) << BITS) | low.astype(np.int64)
+
+
+def anchored(data: bytes, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(symbol, pos, gaps) of a document's anchors, and of its start and end.
+
+    An anchor answers for the strings of which it is the first anchor a window or more
+    from their start: they start in [lo, hi], past the anchor before it (or at the
+    start) up to a window before it (or at the last string). ``symbol`` names the
+    surroundings that all those strings hold. ``gaps`` packs the distances back to the
+    anchor before (or the start), ahead to the first anchor whose surroundings reach
+    past all those strings (or the end), and back to ``hi``. Long documents are worked
+    off in slices.
     """
     w, n = window_size(length), len(data)
     buffer = np.frombuffer(data, np.uint8)
@@ -75,11 +94,66 @@ def anchored(data: bytes, length: int) -> Iterator[tuple[np.ndarray, ...]]:
         before = np.concatenate([[-(1 << 30)], pos[:-1]])
         lo = np.maximum(before - w + 1, -base)
         hi = np.minimum(pos - w, n - length - base)
-        mine = (pos + base >= s) & (pos + base < s + SLICE) & (lo <= hi) & (pos - w >= 0) & (pos + GRAM + w <= len(part))
-        pos, lo, hi = pos[mine], lo[mine], hi[mine]
-        context = stretch_hash(total, pos - w, pos + GRAM + w)
-        whole = mix(stretch_hash(total, lo, hi + length) + ((pos - lo).astype(np.uint64) << np.uint64(32)) + (pos - hi).astype(np.uint64))
-        yield context.view(np.int64), whole.view(np.int64), pos + base, lo + base, hi + base
+        good = (lo <= hi) & (pos - w >= 0) & (pos + GRAM + w <= len(part))
+        pos, before, hi = pos[good], before[good], hi[good]
+        if not len(pos):
+            continue
+        first, last = base == 0, end == n
+        at = np.searchsorted(pos, pos + length - GRAM - 2 * w)
+        ahead = np.where(at < len(pos), pos[np.minimum(at, len(pos) - 1)], pos[-1] + 1) - pos
+        back = np.where(before < w, pos + 1 if first else 0, pos - before)
+        mine = (pos + base >= s) & (pos + base < s + SLICE)
+        symbol = stretch_hash(total, pos - w, pos + GRAM + w)[mine]
+        place, gaps = pos[mine] + base, packed_gaps(back[mine], ahead[mine], (pos - hi)[mine])
+        if first and mine[0]:
+            symbol = np.append(symbol, mix(stretch_hash(total, np.array([0]), pos[:1] + GRAM + w) + START))
+            place, gaps = np.append(place, -1), np.append(gaps, 0)
+        if last and mine[-1]:
+            symbol = np.append(symbol, mix(stretch_hash(total, pos[-1:] - w, np.array([len(part)])) + END))
+            place, gaps = np.append(place, pos[-1] + 1 + base), np.append(gaps, 0)
+        yield symbol.view(np.int64), place, gaps
+
+
+def in_order(reach: int):
+    """Tasks: beside each anchor's rank those of the anchors ``back`` and ``ahead``, out of rows in the order of documents; -1 where that one has left.
+
+    A document may run over many batches, so what lies within ``reach`` of the end of one is seen again with the next.
+    """
+
+    def beside(rows: pd.DataFrame) -> pd.DataFrame:
+        did, th, pos, gaps, rank = (rows[c].to_numpy() for c in ("did", "th", "pos", "gaps", "rank"))
+        new = np.ones(len(rows), bool)
+        new[1:] = (did[1:] != did[:-1]) | (th[1:] != th[:-1])
+        place = (np.cumsum(new) << 33) + pos
+        mask, found = (1 << BITS) - 1, {}
+        for c, distance in (("prior", -(gaps >> (2 * BITS))), ("later", (gaps >> BITS) & mask)):
+            at = np.minimum(np.searchsorted(place, place + distance), len(place) - 1)
+            found[c] = np.where((place[at] == place + distance) & (distance != 0), rank[at], -1)
+        return rows.assign(**found)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for part in parts:
+            rows = part.assign(fresh=True)
+            if held is not None:
+                rows = pd.concat([held, rows], ignore_index=True)
+            if not len(rows):
+                continue
+            did, th, pos, fresh = (rows[c].to_numpy() for c in ("did", "th", "pos", "fresh"))
+            same = (did == did[-1]) & (th == th[-1])
+            due = fresh & ~(same & (pos > pos[-1] - reach))
+            yield beside(rows)[due & (rows["gaps"].to_numpy() != 0)].drop(columns="fresh")
+            held = rows.assign(fresh=fresh & ~due)[same & (pos > pos[-1] - 2 * reach)]
+        if held is not None and len(held):
+            yield beside(held)[held["fresh"].to_numpy() & (held["gaps"].to_numpy() != 0)].drop(columns="fresh")
+
+    return run
+
+
+def ranked(rows: DataFrame, keys: list[str], tag: str, *extra: Column) -> DataFrame:
+    """(keys, rank, n, extra) of the keys that are found more than once, ``rank`` being their place in sorted order."""
+    often = rows.groupBy(*keys).agg(F.count("*").alias("n"), *extra).filter("n > 1")
+    return staged(often.orderBy(*keys).withColumn("rank", F.monotonically_increasing_id()), tag)[0]
 
 
 def match_group(rows: pd.DataFrame, length: int) -> pd.DataFrame:
@@ -124,42 +198,68 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     else in the corpus, the same document included; strings are judged on the input.
     ``kept`` is binary: the cut may split a character.
 
-    Anchors whose context is unique leave in the first round. Of the others, those
-    whose whole surroundings are repeated are settled by that; what is left, the
-    edges of repeats, is compared string by string among equal contexts. Hot contexts
-    are counted by partial aggregates, and only different surroundings of a context
-    meet: in one task up to GROUP of them, beyond that as rows of single strings.
+    Anchors are ranked by the bytes around them; unique ones leave. Then pairs of
+    ranks are ranked: each anchor's with that of the anchor before it, and that rank
+    with that of the first anchor whose surroundings reach past all strings that the
+    anchor answers for. Those strings are repeated where the last rank is. What is
+    left, the edges of repeats, is compared string by string among equal surroundings.
+    Ranks are sorted out of partial counts, keys of many positions are salted in the
+    joins back, and only different surroundings of an anchor meet: in one task up to
+    GROUP of them, beyond that as rows of single strings.
 
     Null or empty text is no bytes. Rows that repeat id and text are documents of
     their own, so both lose what they share. A null id is allowed. Any number of
     bytes in a text is worked off in slices.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    spark = docs.sparkSession
     base = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text"))
     base = base.select("id", F.coalesce("id", F.lit(-(2**63))).alias("did"), F.xxhash64("text").alias("th"), "text")
 
     def locate(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["symbol", "did", "th", "pos", "gaps"]
         for part in parts:
-            rows: list[tuple] = []
+            rows, held = [], 0
             for did, th, text in zip(part["did"], part["th"], part["text"], strict=True):
-                for c, z, p, lo, hi in anchored(text.encode("utf-8", "surrogatepass"), length):
-                    rows.append((c, z, np.full(len(c), did), np.full(len(c), th), p, lo, hi))
-                    if len(rows) >= 2000:
+                for c, p, g in anchored(text.encode("utf-8", "surrogatepass"), length):
+                    rows.append((c, np.full(len(c), did), np.full(len(c), th), p, g))
+                    held += len(c)
+                    if held >= MARKS:
                         yield pd.DataFrame(dict(zip(names, map(np.concatenate, zip(*rows, strict=True)), strict=True)))
-                        rows = []
+                        rows, held = [], 0
             if rows:
                 yield pd.DataFrame(dict(zip(names, map(np.concatenate, zip(*rows, strict=True)), strict=True)))
 
-    names = ["c", "z", "did", "th", "pos", "lo", "hi"]
-    marks = base.filter(F.octet_length("text") >= length).select("did", "th", "text").mapInPandas(locate, "c long, z long, did long, th long, pos int, lo int, hi int")
-    marks, _ = staged(marks, "repeat-anchors")
-    shared = marks.groupBy("c").agg(F.count("*").alias("seen")).filter("seen > 1").select("c")
-    marks, _ = staged(marks.join(shared, "c"), "repeat-shared")
-    # Surroundings: how often each is found, and one place of it.
-    around, _ = staged(marks.groupBy("c", "z").agg(F.count("*").alias("n"), F.min(F.struct("did", "th", "pos", "lo", "hi")).alias("at")), "repeat-around")
-    settled = marks.join(around.filter("n > 1").select("c", "z"), ["c", "z"]).select("did", "th", F.col("lo").alias("a"), (F.col("hi") + length).alias("b"))
-    edges = around.groupBy("c").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 AND least = 1").select("c", "kinds")
-    open_ = around.join(edges, "c").select("c", "kinds", "n", "at.*")
+    w, mask = window_size(length), (1 << BITS) - 1
+    marks = base.filter(F.octet_length("text") >= length).select("did", "th", "text").mapInPandas(locate, "symbol long, did long, th long, pos int, gaps long")
+    marks, marks_path = staged(marks, "repeat-anchors")
+    place = ["did", "th", "pos"]
+    # Round 0: ranks of the surroundings, and beside each those of the anchors that its pairs take.
+    known = met(marks, ranked(marks, ["symbol"], "repeat-ranks"), ["symbol"], place, "n").drop("symbol")
+    lined = known.repartition("did", "th").sortWithinPartitions("did", "th", "pos")
+    seen, seen_path = staged(lined.mapInPandas(in_order(2 * length), "did long, th long, pos int, gaps long, rank long, prior long, later long"), "repeat-places")
+    unstage(spark, marks_path)
+    gap, ahead = F.shiftright("gaps", 2 * BITS), F.shiftright("gaps", BITS).bitwiseAND(mask)
+    # A place one of whose anchors has left is unique: it keeps a number of its own, which no rank is, in place of one.
+    alone = lambda salt: -1 - F.pmod(F.xxhash64(F.lit(salt), *place), F.lit(1 << 62))
+    seen = seen.select(*place, "gaps", F.col("rank").alias("c"), F.when((F.col("prior") < 0) | (F.col("later") < 0), alone(1)).otherwise(F.col("prior")).alias("prior"), "later", gap.alias("gap"))
+    # Round 1: with the anchor before. Round 2: with the anchor ahead, past the threshold.
+    pair = ["prior", "gap", "c"]
+    one = met(seen, ranked(seen.filter("prior >= 0"), pair, "repeat-ranks"), pair, place, "n", "left")
+    one, one_path = staged(one.select(*place, "gaps", "c", F.coalesce("rank", alone(2)).alias("prior"), "later", ahead.alias("gap")), "repeat-pairs")
+    unstage(spark, seen_path)
+    pair = ["prior", "gap", "later"]
+    ranks = ranked(one.filter("prior >= 0"), pair, "repeat-ranks", F.min("c").alias("c"), F.min(F.struct(*place, "gaps")).alias("at"))
+    two, _ = staged(met(one, ranks.select(*pair, "rank", "n"), pair, place, "n", "left").select(*place, "gaps", "c", "rank"), "repeat-pairs")
+    unstage(spark, one_path)
+    back, low = F.shiftright("gaps", 2 * BITS), F.col("gaps").bitwiseAND(mask)
+    lo, hi = F.greatest(F.col("pos") - back - w + 1, F.lit(0)).cast("int"), (F.col("pos") - low).cast("int")
+    settled = two.filter("rank IS NOT NULL").select("did", "th", lo.alias("a"), (hi + length).alias("b"))
+    # Different surroundings of equal anchors: those that are unique, and one place of each that is not.
+    around = two.filter("rank IS NULL").select("c", F.lit(1).cast("long").alias("n"), *place, "gaps").unionByName(ranks.select("c", "n", "at.*"))
+    edges = around.groupBy("c").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 AND least = 1")
+    edges, _ = staged(edges.select("c", "kinds", F.col("kinds").alias("rows")), "repeat-kinds")
+    open_ = met(around, edges, ["c"], place, "rows").select("c", "kinds", "n", *place, lo.alias("lo"), hi.alias("hi"))
     wanted = open_.groupBy("did", "th").agg(F.collect_list(F.struct("c", "kinds", "n", "pos", "lo", "hi")).alias("places"))
 
     def squeeze(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -169,7 +269,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     # Texts are shuffled compressed, which halves what the two joins move.
     packed = base.select(F.col("id").cast("string").alias("name"), "did", "th", "text").mapInPandas(squeeze, "name string, did long, th long, z binary")
-    w = window_size(length)
 
     def fetch(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unpack = zstandard.ZstdDecompressor()

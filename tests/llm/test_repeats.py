@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+from quadrille.llm import repeats
 from quadrille.llm.repeats import remove_repeats
 
 SCHEMA = "doc_id long, text string, extra string"
@@ -40,3 +41,41 @@ def test_matches_brute_force(spark):
 
 def test_empty_table(spark):
     assert remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def corpus(spark):
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcdef ") for _ in range(n))
+    shared = [word(n) for n in (150, 400)]
+    texts = [word(rng.randint(0, 150)) + rng.choice(shared) + word(rng.randint(0, 90)) for _ in range(120)]
+    texts += [texts[3], "ab" * 900 + word(2000) + "ab" * 700, shared[1] * 3]
+    return texts, spark.createDataFrame([(k, t, "e") for k, t in enumerate(texts)], SCHEMA).repartition(3)
+
+
+def same(got, texts):
+    return [(bytes(r["kept"]), r["n_bytes"], r["n_removed"], r["n_spans"]) for r in sorted(got, key=lambda r: r["id"])] == brute([t.encode() for t in texts], 100)
+
+
+def test_groups_matched_row_by_row(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "GROUP", 6)
+    monkeypatch.setattr(repeats, "SMALL_GROUP", 3)
+    texts, docs = corpus(spark)
+    assert same(remove_repeats(docs, length=100).collect(), texts)
+
+
+def test_documents_over_many_batches(spark):
+    texts, docs = corpus(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        assert same(remove_repeats(docs, length=100).collect(), texts)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_slices_of_a_long_document(monkeypatch):
+    rng = random.Random(1)
+    data = "".join(rng.choice("abc") for _ in range(20_000)).encode() + b"z" * 3000
+    marks = lambda: sorted(m for c, p, g in repeats.anchored(data, 400) for m in zip(p.tolist(), c.tolist(), g.tolist()))
+    whole = marks()
+    monkeypatch.setattr(repeats, "SLICE", 1500)
+    assert marks() == whole and whole[0][0] == -1 and len({m[0] for m in whole}) == len(whole)
