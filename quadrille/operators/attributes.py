@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 # Codes of the protected-area inventory; fixed values.
 NO_ACCESS, PRIVATE_OWNERS, MILITARY_NAMES, MILITARY_TYPES = ["XA"], ["PVT"], ["DOD", "DOE"], ["MIL"]
-PUBLIC_MANAGERS, PUBLIC_OWNERS = ["FED", "STAT", "LOC", "DIST", "JNT"], ["LOC", "DIST", "FED", "JNT", "STAT"]
+PUBLIC_MANAGERS, PUBLIC_OWNERS = ["FED", "STAT", "LOC", "DIST", "JNT", "TERR"], ["LOC", "DIST", "FED", "JNT", "STAT"]
 # Feature types of the hydrography layers; fixed values.
 WATER_TYPES = {"NHDWaterbody": {390: "LakePond", 436: "Reservoir", 466: "SwampMarsh"}, "NHDArea": {460: "StreamRiver", 537: "AreaOfComplexChannels"}}
 
@@ -27,6 +31,12 @@ def is_public(manager: str = "Mang_Type", owner: str = "Own_Type", manager_name:
     return ~shut & (one_of(c(manager), PUBLIC_MANAGERS) | (one_of(c(manager), ["UNK"]) & one_of(c(owner), PUBLIC_OWNERS)))
 
 
+def land_products(df: DataFrame) -> DataFrame:
+    """All rows as land_type ``all`` and, out of the same scan, the public ones once more as ``public``."""
+    kinds = F.when(is_public(), F.array(F.lit("all"), F.lit("public"))).otherwise(F.array(F.lit("all")))
+    return df.select("*", F.explode(kinds).alias("land_type"))
+
+
 def water_features(layers: dict[str, DataFrame]) -> DataFrame:
     """Rows of the allowed types of each layer, with source_layer and feature_type."""
     parts = []
@@ -60,18 +70,42 @@ def repeated_keys(df: DataFrame, key: str, order: str) -> DataFrame:
 def batches(df: DataFrame, group: str, order: str, weight: str, limit: int) -> DataFrame:
     """Add ``batch``: rows in order, a new batch once the weights of one reach ``limit`` (a row weighs 1 at least).
 
-    An ordered fold in each group; groups are layers' partitions, so they are dealt out.
+    A fold over the sorted rows of each partition that carries one batch's sum from one
+    Arrow batch to the next, so a task's memory doesn't grow with a group. The rows of
+    one group pass through one task, since each batch starts where the last one ends.
     """
-    state = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).cast("long").alias("batch"), F.array().cast("array<struct<o:bigint,b:bigint>>").alias("out"))
-
-    def step(s: Column, x: Column) -> Column:
-        total = s["sum"] + F.greatest(x["w"], F.lit(1).cast("long"))
-        full = total >= limit
-        return F.struct(F.when(full, 0).otherwise(total).cast("long").alias("sum"), (s["batch"] + full.cast("long")).alias("batch"), F.concat(s["out"], F.array(F.struct(x["o"].alias("o"), s["batch"].alias("b")))).alias("out"))
-
-    rows = F.array_sort(F.collect_list(F.struct(F.col(order).cast("long").alias("o"), F.col(weight).cast("long").alias("w"))))
-    dealt = df.groupBy(group).agg(F.aggregate(rows, state, step).alias("s")).select(group, F.inline("s.out"))
-    return df.join(dealt.select(group, F.col("o").alias(order), F.col("b").alias("batch")), [group, order])
+    schema = StructType([*df.schema.fields, StructField("batch", LongType())])
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism)
+
+    def fold(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, total, batch = None, 0, 0
+        for part in parts:
+            if not len(part):
+                continue
+            groups = part[group].to_numpy()
+            w = np.maximum(part[weight].fillna(1).to_numpy(np.int64), 1)
+            out = np.zeros(len(part), np.int64)
+            cuts = [0, *(np.flatnonzero(groups[1:] != groups[:-1]) + 1).tolist(), len(part)]
+            for a, e in zip(cuts[:-1], cuts[1:], strict=True):
+                if at is None or groups[a] != at[0]:
+                    at, total, batch = (groups[a],), 0, 0
+                sums = np.cumsum(w[a:e])
+                before = -total
+                while a < e:
+                    full = int(np.searchsorted(sums, before + limit)) + cuts_start(sums, e) + 1
+                    end = min(full, e)
+                    out[a:end] = batch
+                    if full <= e:
+                        before, total, batch = int(sums[end - 1 - cuts_start(sums, e)]), 0, batch + 1
+                    else:
+                        total = int(sums[-1]) - before
+                    a = end
+            yield part.assign(batch=out)
+
+    def cuts_start(sums: np.ndarray, end: int) -> int:
+        return end - len(sums)
+
+    return df.repartition(tasks, group).sortWithinPartitions(group, order).mapInPandas(fold, schema)
 
 
 STAMP = r"(\d{8}_\d{6}|\d{4}(_\d{2}){5})$"

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: A class raster has one byte or two a pixel, so no table is longer.
+MOST_CLASSES = 65536
+
 
 @dataclass(frozen=True)
 class Grid:
@@ -26,66 +33,123 @@ class Grid:
 
 
 def tiles_of(pixels: DataFrame, grid: Grid) -> DataFrame:
-    """Tiles out of (row, col, value); pixels that are not there hold no data. A group is one tile of bounded size."""
+    """Tiles out of (row, col, value); pixels that are not there hold no data. A group is one tile of bounded size.
+
+    Of several values for one pixel the largest counts. Entries are sorted and the gaps
+    between them filled, so the work is linear in a tile's pixels.
+    """
     b = grid.block
     at = lambda c: F.floor(F.col(c) / b) * b
-    put = F.map_from_entries(F.collect_list(F.struct(((F.col("row") - F.col("yoff")) * F.col("w") + F.col("col") - F.col("xoff")).cast("int").alias("k"), F.col("value").alias("v"))))
     placed = pixels.withColumn("xoff", at("col").cast("int")).withColumn("yoff", at("row").cast("int"))
     placed = placed.withColumn("w", F.least(F.lit(b), grid.width - F.col("xoff"))).withColumn("h", F.least(F.lit(b), grid.height - F.col("yoff")))
-    made = placed.groupBy("xoff", "yoff", "w", "h").agg(put.alias("m"))
-    return made.select("xoff", "yoff", "w", "h", F.transform(F.sequence(F.lit(0), F.col("w") * F.col("h") - 1), lambda k: F.try_element_at("m", k)).alias("data"))
+    k = ((F.col("row") - F.col("yoff")) * F.col("w") + F.col("col") - F.col("xoff")).cast("int")
+    made = placed.groupBy("xoff", "yoff", "w", "h").agg(F.array_sort(F.collect_list(F.struct(k.alias("k"), F.col("value").alias("v")))).alias("e"))
+    made = made.withColumn("e", F.filter("e", lambda x, i: F.coalesce(F.get("e", i + 1)["k"] != x["k"], F.lit(True))))
+    kind = dict(pixels.dtypes)["value"]
+    none = lambda n: F.array_repeat(F.lit(None).cast(kind), n.cast("int"))
+    filled = F.flatten(F.transform("e", lambda x, i: F.concat(none(x["k"] - F.when(i > 0, F.get("e", i - 1)["k"]).otherwise(-1) - 1), F.array(x["v"]))))
+    return made.select("xoff", "yoff", "w", "h", F.concat(filled, none(F.col("w") * F.col("h") - 1 - F.element_at("e", -1)["k"])).alias("data"))
 
 
 def spans(features: DataFrame, grid: Grid, carry: list[str]) -> DataFrame:
-    """(carry, row, c0, c1): runs of pixels whose centres are inside a polygon, by crossings of each pixel row."""
+    """(carry, row, c0, c1): runs of pixels whose centres are inside a polygon, by crossings of each pixel row.
+
+    Each edge gives its crossings with the pixel rows that it spans; sorted by row and
+    place, every two of a polygon's crossings bound a run.
+    """
     def edges(r: Column) -> Column:
         return F.transform(F.sequence(F.lit(0), (F.size(r) / 2).cast("int") - 2), lambda i: F.slice(r, 2 * i + 1, 4))
 
-    flat = features.select(*carry, F.flatten(F.transform("geom", edges)).alias("e")).filter(F.size("e") > 0)
-    ys = F.transform("e", lambda s: (s[1] - grid.y0) / grid.dy)
-    first, last = F.greatest(F.ceil(F.array_min(ys) - 0.5), F.lit(0).cast("long")), F.least(F.ceil(F.array_max(ys) - 0.5) - 1, F.lit(grid.height - 1).cast("long"))
-    rows = flat.withColumn("f", first).withColumn("l", last).filter("f <= l").withColumn("row", F.explode(F.sequence("f", "l")))
-    yc = F.lit(grid.y0) + (F.col("row") + 0.5) * grid.dy
-    over = F.filter("e", lambda s: (s[1] <= yc) != (s[3] <= yc))
-    xs = F.array_sort(F.transform(over, lambda s: (s[0] + (yc - s[1]) * (s[2] - s[0]) / (s[3] - s[1]) - grid.x0) / grid.dx))
-    pairs = F.transform(F.sequence(F.lit(0), (F.size("x") / 2).cast("int") - 1), lambda i: F.struct(F.greatest(F.ceil(F.get("x", 2 * i) - 0.5), F.lit(0).cast("long")).alias("c0"), F.least(F.ceil(F.get("x", 2 * i + 1) - 0.5) - 1, F.lit(grid.width - 1).cast("long")).alias("c1")))
-    return rows.withColumn("x", xs).filter(F.size("x") >= 2).select(*carry, "row", F.inline(pairs)).filter("c0 <= c1")
+    def crossings(s: Column) -> Column:
+        y1, y2 = (s[1] - grid.y0) / grid.dy - 0.5, (s[3] - grid.y0) / grid.dy - 0.5
+        first = F.greatest(F.ceil(F.least(y1, y2)), F.lit(0).cast("long"))
+        last = F.least(F.ceil(F.greatest(y1, y2)) - 1, F.lit(grid.height - 1).cast("long"))
+        x = lambda r: (s[0] + (r - y1) / (y2 - y1) * (s[2] - s[0]) - grid.x0) / grid.dx
+        return F.when(first <= last, F.transform(F.sequence(first, last), lambda r: F.struct(r.alias("row"), x(r).alias("x")))).otherwise(F.array().cast("array<struct<row:bigint,x:double>>"))
+
+    flat = features.filter(F.size("geom") > 0).select(*carry, F.array_sort(F.flatten(F.transform(F.flatten(F.transform(F.filter("geom", lambda r: F.size(r) >= 4), edges)), crossings))).alias("x"))
+    c0 = lambda i: F.greatest(F.ceil(F.get("x", 2 * i)["x"] - 0.5), F.lit(0).cast("long"))
+    c1 = lambda i: F.least(F.ceil(F.get("x", 2 * i + 1)["x"] - 0.5) - 1, F.lit(grid.width - 1).cast("long"))
+    pairs = F.transform(F.sequence(F.lit(0), (F.size("x") / 2).cast("int") - 1), lambda i: F.struct(F.get("x", 2 * i)["row"].alias("row"), c0(i).alias("c0"), c1(i).alias("c1")))
+    return flat.filter(F.size("x") >= 2).select(*carry, F.inline(pairs)).filter("c0 <= c1")
+
+
+def dealt(runs: DataFrame, grid: Grid) -> DataFrame:
+    """Runs cut at tile borders: (xoff, yoff, w, h) added, rows and columns counted within the tile."""
+    b = grid.block
+    runs = runs.withColumn("yoff", (F.floor(F.col("row") / b) * b).cast("int")).withColumn("bx", F.explode(F.sequence(F.floor(F.col("c0") / b), F.floor(F.col("c1") / b))))
+    runs = runs.withColumn("xoff", (F.col("bx") * b).cast("int")).drop("bx")
+    runs = runs.withColumn("w", F.least(F.lit(b), grid.width - F.col("xoff"))).withColumn("h", F.least(F.lit(b), grid.height - F.col("yoff")))
+    a, e = F.greatest("c0", "xoff") - F.col("xoff"), F.least(F.col("c1"), F.col("xoff") + F.col("w") - 1) - F.col("xoff")
+    return runs.withColumn("row", (F.col("row") - F.col("yoff")).cast("int")).withColumn("c0", a.cast("int")).withColumn("c1", e.cast("int"))
 
 
 def burn(features: DataFrame, grid: Grid, value: str, order: str) -> DataFrame:
-    """(row, col, value): pixels covered by polygons, the last polygon in ``order`` winning."""
-    pixels = spans(features, grid, [value, order]).withColumn("col", F.explode(F.sequence("c0", "c1")))
-    return pixels.groupBy("row", "col").agg(F.max_by(value, order).alias("value"))
+    """Tiles of doubles, each pixel with the value of the last polygon in ``order`` that covers it.
+
+    Runs of pixels go to their tile, of equal runs only the last one, and are painted
+    there in order; so what a tile receives is bounded by its size.
+    """
+    runs = dealt(spans(features.select("geom", F.col(value).cast("double").alias("value"), F.col(order).alias("order")), grid, ["value", "order"]), grid)
+    tile = ["xoff", "yoff", "w", "h"]
+    last = runs.groupBy(*tile, "row", "c0", "c1").agg(F.max_by("value", "order").alias("value"), F.max("order").alias("order"))
+
+    def paint(rows: pd.DataFrame) -> pd.DataFrame:
+        out = rows[tile].iloc[:1].copy()
+        data = np.full((int(out["h"].iloc[0]), int(out["w"].iloc[0])), None, object)
+        for row, c0, c1, value in rows.sort_values("order", kind="stable")[["row", "c0", "c1", "value"]].itertuples(index=False):
+            data[row, c0 : c1 + 1] = None if pd.isna(value) else value
+        out["data"] = pd.Series([data.ravel()], index=out.index, dtype=object)
+        return out
+
+    return last.groupBy(*tile).applyInPandas(paint, "xoff int, yoff int, w int, h int, data array<double>")
 
 
 def zonal_stats(tiles: DataFrame, zones: DataFrame, grid: Grid, key: str) -> DataFrame:
     """Per zone total_count, valid_count, sum, mean, stdev, area_ha_valid, area_ha_total and proportion_valid_nonzero.
 
-    Runs of pixels meet the tiles they run through and are summed as slices of a tile's
-    data, so no pixel becomes a row; then partial sums are added. Zones without pixels stay.
+    The runs of a zone in a tile meet that tile once and are summed as slices of its
+    data, so no pixel becomes a row. Tiles that are not stored hold no data, but their
+    pixels count. Deviations are summed around each part's mean and the parts merged
+    around the zone's. Zones without pixels stay: counts and sum 0, else null.
     """
-    b = grid.block
-    runs = spans(zones.select(key, "geom"), grid, [key])
-    runs = runs.withColumn("yoff", (F.floor(F.col("row") / b) * b).cast("int")).withColumn("bx", F.explode(F.sequence(F.floor(F.col("c0") / b), F.floor(F.col("c1") / b))))
-    runs = runs.withColumn("xoff", (F.col("bx") * b).cast("int"))
-    met = runs.join(tiles, ["xoff", "yoff"])
-    a, e = F.greatest("c0", "xoff"), F.least(F.col("c1"), F.col("xoff") + F.col("w") - 1)
-    part = F.slice("data", ((F.col("row") - F.col("yoff")) * F.col("w") + a - F.col("xoff") + 1).cast("int"), (e - a + 1).cast("int"))
+    runs = dealt(spans(zones.select(key, "geom"), grid, [key]), grid)
+    runs = runs.groupBy(key, "xoff", "yoff").agg(F.collect_list(F.struct("row", "c0", "c1")).alias("runs"), F.sum(F.col("c1") - F.col("c0") + 1).alias("total"))
+    met = runs.join(tiles.select("xoff", "yoff", "w", "data"), ["xoff", "yoff"], "left")
+    cut = F.flatten(F.transform("runs", lambda r: F.slice("data", r["row"] * F.col("w") + r["c0"] + 1, r["c1"] - r["c0"] + 1)))
+    valid = F.transform(F.filter(cut, lambda v: v.isNotNull() & ~F.isnan(v)), lambda v: v.cast("double"))
     add = lambda f: F.aggregate("vs", F.lit(0.0), lambda s, v: s + f(v))
-    cut = met.select(key, F.size(part).alias("n"), F.filter(part, lambda v: v.isNotNull() & ~F.isnan(v)).alias("vs"))
-    sums = cut.groupBy(key).agg(
-        F.sum("n").alias("total_count"), F.sum(F.size("vs")).alias("valid_count"), F.sum(add(lambda v: v)).alias("sum"),
-        F.sum(add(lambda v: v * v)).alias("sq"), F.sum(F.size(F.filter("vs", lambda v: v != 0))).alias("nonzero"),
+    held = F.array().cast("array<double>")
+    parts = met.select(key, "total", F.when(F.col("data").isNull(), held).otherwise(valid).alias("vs"))
+    parts = parts.select(key, "total", "vs", F.size("vs").cast("long").alias("n"), add(lambda v: v).alias("s"), F.size(F.filter("vs", lambda v: v != 0)).cast("long").alias("nonzero"))
+    parts = parts.withColumn("m", F.col("s") / F.nullif("n", F.lit(0))).withColumn("m2", add(lambda v: (v - F.col("m")) * (v - F.col("m")))).drop("vs")
+    of_zone = W.partitionBy(key)
+    parts = parts.withColumn("mean", F.sum("s").over(of_zone) / F.nullif(F.sum("n").over(of_zone), F.lit(0)))
+    off = F.col("m") - F.col("mean")
+    sums = parts.groupBy(key).agg(
+        F.sum("total").alias("total_count"), F.sum("n").alias("valid_count"), F.sum("s").alias("sum"), F.first("mean").alias("mean"),
+        F.sum(F.when(F.col("n") > 0, F.col("m2") + F.col("n") * off * off)).alias("squares"), F.sum("nonzero").alias("nonzero"),
     )
     n = F.nullif(F.col("valid_count"), F.lit(0))
     zero = F.lit(0).cast("long")
     return zones.select(key).join(sums, key, "left").select(
         key, F.coalesce("total_count", zero).alias("total_count"), F.coalesce("valid_count", zero).alias("valid_count"), F.coalesce("sum", F.lit(0.0)).alias("sum"),
-        (F.col("sum") / n).alias("mean"), F.sqrt(F.greatest(F.col("sq") / n - F.pow(F.col("sum") / n, F.lit(2)), F.lit(0.0))).alias("stdev"),
+        "mean", F.sqrt(F.col("squares") / n).alias("stdev"),
         (F.coalesce("valid_count", zero) * grid.pixel_ha).alias("area_ha_valid"), (F.coalesce("total_count", zero) * grid.pixel_ha).alias("area_ha_total"), (F.col("nonzero") / n).alias("proportion_valid_nonzero"),
     )
 
 
+def read_reclass(spark: SparkSession, path: str) -> dict[int, int]:
+    """A reclass table out of a CSV with the columns id and reclass; ids may occur once. A class table is small, so it is read whole."""
+    rows = spark.read.csv(path, header=True, inferSchema=True).select("id", "reclass").limit(MOST_CLASSES + 1).collect()
+    twice = sorted(k for k, n in Counter(r["id"] for r in rows).items() if n > 1)
+    if twice or len(rows) > MOST_CLASSES:
+        raise ValueError(f"{path}: repeated ids {twice[:10]}" if twice else f"{path}: more than {MOST_CLASSES} classes")
+    table = {r["id"]: r["reclass"] for r in rows}
+    check_table(table)
+    return table
+
+
 def check_table(table: dict[int, int]) -> None:
     if not table or set(table.values()) - {0, 1}:
         raise ValueError(f"a reclass table maps to 0 and 1, not {sorted(set(table.values()) - {0, 1})}")
@@ -115,3 +179,10 @@ def weighted_total(tiles: DataFrame, grid: Grid) -> DataFrame:
     """(total): the sum of valid, finite pixels times the pixel's hectares."""
     part = F.aggregate(F.filter("data", lambda v: v.isNotNull() & (F.abs(v) < float("inf"))), F.lit(0.0), lambda s, v: s + v)
     return tiles.agg((F.coalesce(F.sum(part), F.lit(0.0)) * grid.pixel_ha).alias("total"))
+
+
+def reconciled(raster_total: DataFrame, table_total: DataFrame) -> DataFrame:
+    """(raster_total, table_total, difference, percent): two one-row totals side by side; percent is null for a table total of 0."""
+    both = raster_total.select(F.col("total").alias("raster_total")).crossJoin(F.broadcast(table_total.select(F.col("total").alias("table_total"))))
+    off = F.col("raster_total") - F.col("table_total")
+    return both.select("raster_total", "table_total", off.alias("difference"), (off / F.nullif(F.col("table_total"), F.lit(0.0)) * 100).alias("percent"))

@@ -14,8 +14,9 @@ from quadrille.plans import fixtures as X
 ZONES = "zones AS (SELECT lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS geoid, CAST(n_nationkey % 5 AS DOUBLE) * 200 AS x1, CAST(n_nationkey // 5 AS DOUBLE) * 200 AS y1 FROM nation)"
 FEATURES = "features AS (SELECT p_partkey AS fid, p_size AS s, p_retailprice AS v, CAST((p_partkey * 37) % 1000 AS DOUBLE) AS x1, CAST((p_partkey * 91) % 1000 AS DOUBLE) AS y1 FROM part)"
 OVERLAP = "overlap AS (SELECT geoid, fid, v, s, (least(z.x1 + 200, f.x1 + s) - greatest(z.x1, f.x1)) * (least(z.y1 + 200, f.y1 + s) - greatest(z.y1, f.y1)) AS a, greatest(z.x1, f.x1) AS ox1, least(z.x1 + 200, f.x1 + s) AS ox2, greatest(z.y1, f.y1) AS oy1, least(z.y1 + 200, f.y1 + s) AS oy2 FROM zones z JOIN features f ON f.x1 < z.x1 + 200 AND f.x1 + s > z.x1 AND f.y1 < z.y1 + 200 AND f.y1 + s > z.y1)"
-PIXELS = "pixels AS (SELECT CAST(event_id // 100 AS INTEGER) AS r, CAST(event_id % 100 AS INTEGER) AS c, CASE WHEN event_type <> 'error' THEN value END AS v, event_type FROM events WHERE event_id < 10000)"
-OWNERS = "owners AS (SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 7 = 1 THEN 'UNK' WHEN c_custkey % 7 = 2 THEN 'PVT' ELSE 'FED' END AS m, CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 5 = 1 THEN 'PVT' ELSE 'STAT' END AS o, CASE WHEN c_custkey % 11 = 0 THEN 'DOD' END AS mn, CASE WHEN c_custkey % 13 = 0 THEN 'MIL' END AS d, CASE WHEN c_custkey % 3 = 0 THEN 'XA' WHEN c_custkey % 3 = 1 THEN 'UK' END AS a FROM customer)"
+PIXELS = "pixels AS (SELECT CAST(event_id // 100 AS INTEGER) AS r, CAST(event_id % 100 AS INTEGER) AS c, CASE WHEN event_type <> 'error' THEN value END AS v, event_type FROM events)"
+CODES = {"m": ["FED", "STAT", "LOC", "DIST", "JNT", "TERR", "UNK", "PVT", "NGO", None], "o": ["PVT", "LOC", "DIST", "FED", "JNT", "STAT", "UNK", None], "mn": [None, "DOD", "DOE", "NPS"], "n": ["DOE", None, "BLM", None, "DOD"], "d": [None, "MIL", "NP"], "a": ["XA", "UK", "OA", None, "RA"]}
+OWNERS = f"owners AS (SELECT c_custkey, {', '.join('[' + ', '.join('NULL' if v is None else repr(v) for v in codes) + f'][1 + (c_custkey * {step}) // 7 % {len(codes)}] AS {c}' for step, (c, codes) in zip((3, 5, 11, 13, 17, 19), CODES.items()))} FROM customer)"
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -79,14 +80,17 @@ def clip_to_boundary(spark, d):
     return out.select("fid", "status", F.round(G.area(F.col("geom")), 4).alias("area"))
 
 
-@query(f"WITH {OWNERS} SELECT count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS keys FROM owners WHERE NOT (coalesce(a = 'XA', false) OR coalesce(o = 'PVT', false) OR coalesce(mn = 'DOD', false) OR coalesce(d = 'MIL', false)) AND (coalesce(m = 'FED', false) OR (coalesce(m = 'UNK', false) AND coalesce(o = 'STAT', false)))")
+@query(f"""WITH {OWNERS}, kept AS (SELECT *, NOT (coalesce(a, '') = 'XA' OR coalesce(o, '') = 'PVT' OR coalesce(mn, '') IN ('DOD', 'DOE') OR coalesce(n, '') IN ('DOD', 'DOE') OR coalesce(d, '') = 'MIL')
+  AND (coalesce(m, '') IN ('FED', 'STAT', 'LOC', 'DIST', 'JNT', 'TERR') OR (coalesce(m, '') = 'UNK' AND coalesce(o, '') IN ('LOC', 'DIST', 'FED', 'JNT', 'STAT'))) AS public FROM owners)
+SELECT 'all' AS land_type, m AS manager, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS keys FROM kept GROUP BY m
+UNION ALL SELECT 'public', m, count(*), CAST(sum(c_custkey) AS BIGINT) FROM kept WHERE public GROUP BY m""")
 def public_lands(spark, d):
+    """Both products of one scan, by manager; every code of every list occurs."""
     k = F.col("c_custkey")
-    coded = X.table(spark, d, "customer").select(
-        k, F.when(k % 7 == 0, None).when(k % 7 == 1, "UNK").when(k % 7 == 2, "PVT").otherwise("FED").alias("Mang_Type"), F.when(k % 5 == 0, None).when(k % 5 == 1, "PVT").otherwise("STAT").alias("Own_Type"),
-        F.when(k % 11 == 0, "DOD").alias("Mang_Name"), F.lit(None).cast("string").alias("Own_Name"), F.when(k % 13 == 0, "MIL").alias("Des_Tp"), F.when(k % 3 == 0, "XA").when(k % 3 == 1, "UK").alias("Pub_Access"),
-    )
-    return coded.filter(T.is_public()).agg(F.count("*").alias("n"), F.sum("c_custkey").alias("keys"))
+    code = lambda c, step: F.get(F.array(*[F.lit(v) for v in CODES[c]]), (F.floor(k * step / 7) % len(CODES[c])).cast("int"))
+    names = {"m": "Mang_Type", "o": "Own_Type", "mn": "Mang_Name", "n": "Own_Name", "d": "Des_Tp", "a": "Pub_Access"}
+    coded = X.table(spark, d, "customer").select(k, *[code(c, step).alias(names[c]) for step, c in zip((3, 5, 11, 13, 17, 19), CODES)])
+    return T.land_products(coded).groupBy("land_type", F.col("Mang_Type").alias("manager")).agg(F.count("*").alias("n"), F.sum("c_custkey").alias("keys"))
 
 
 @query("""WITH f AS (SELECT p_partkey AS fid, [390, 436, 460, 466, 537, 999][p_size % 6 + 1] AS ftype, p_partkey % 2 AS area FROM part)
@@ -134,11 +138,14 @@ def combine_tables(spark, d):
     return T.class_areas(out, ["forests", "wetlands"])
 
 
-@query(f"""WITH {ZONES}, {PIXELS} SELECT geoid, count(*) FILTER (WHERE r IS NOT NULL) AS total_count, count(v) AS valid_count, round(coalesce(sum(v), 0), 4) AS sum, round(avg(v), 6) AS mean, round(stddev_pop(v), 5) AS stdev, round(count(v) * 0.01, 6) AS area_ha_valid, round((count(*) FILTER (WHERE r IS NOT NULL)) * 0.01, 6) AS area_ha_total, round((count(*) FILTER (WHERE v <> 0)) / CASE WHEN count(v) > 0 THEN count(v) END, 6) AS proportion_valid_nonzero
-FROM zones LEFT JOIN (SELECT g.r, g.c, v FROM (SELECT i // 100 AS r, i % 100 AS c FROM range(10000) t(i)) g LEFT JOIN pixels USING (r, c)
-WHERE (g.r // 32, g.c // 32) IN (SELECT (r // 32, c // 32) FROM pixels)) p ON (c + 0.5) * 10 >= x1 AND (c + 0.5) * 10 < x1 + 200 AND (r + 0.5) * 10 >= y1 AND (r + 0.5) * 10 < y1 + 200 GROUP BY geoid""")
+@query(f"""WITH {PIXELS}, g AS (SELECT greatest(100, coalesce(max(event_id), -1) // 100 + 1) AS h FROM events),
+zones AS (SELECT lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS geoid, n_nationkey % 5 * 200.0 AS x1, n_nationkey // 5 * h * 2.0 AS y1, h * 2.0 AS high FROM nation, g),
+cells AS (SELECT i // 100 AS r, i % 100 AS c FROM (SELECT unnest(range(h * 100)) AS i FROM g)),
+p AS (SELECT geoid, r, v FROM zones JOIN (SELECT r, c, v FROM cells LEFT JOIN pixels USING (r, c)) ON (c + 0.5) * 10 >= x1 AND (c + 0.5) * 10 < x1 + 200 AND (r + 0.5) * 10 >= y1 AND (r + 0.5) * 10 < y1 + high)
+SELECT geoid, count(r) AS total_count, count(v) AS valid_count, round(coalesce(sum(v), 0), 4) AS sum, round(avg(v), 6) AS mean, round(stddev_pop(v), 5) AS stdev, round(count(v) * CAST(0.01 AS DOUBLE), 6) AS area_ha_valid, round(count(r) * CAST(0.01 AS DOUBLE), 6) AS area_ha_total, round((count(*) FILTER (WHERE v <> 0)) / CASE WHEN count(v) > 0 THEN count(v) END, 6) AS proportion_valid_nonzero
+FROM zones LEFT JOIN p USING (geoid) GROUP BY geoid""")
 def zonal_stats(spark, d):
-    """A zone's total counts the pixels of the tiles that exist."""
+    """A zone's total counts all pixel centres inside it, with data or not."""
     grid = X.event_grid(spark, d)
     out = R.zonal_stats(X.raster(spark, d, grid), X.event_zones(spark, d, grid), grid, "geoid")
     digits = {"sum": 4, "mean": 6, "stdev": 5, "area_ha_valid": 6, "area_ha_total": 6, "proportion_valid_nonzero": 6}
@@ -159,8 +166,7 @@ SELECT count(*) AS burnt, round(sum(v) * 0.01, 4) AS total, round(coalesce(sum(v
 def value_raster(spark, d):
     """Polygons burnt into a raster, masked, and their totals side by side."""
     grid = X.grid()
-    burnt = R.burn(X.features(spark, d), grid, "p_retailprice", "fid")
-    tiles = R.tiles_of(burnt, grid)
+    tiles = R.burn(X.features(spark, d), grid, "p_retailprice", "fid")
     mask = R.tiles_of(spark.range(grid.width * grid.height).select(F.floor(F.col("id") / grid.width).cast("int").alias("row"), (F.col("id") % grid.width).cast("int").alias("col")).withColumn("value", ((F.col("row") + F.col("col")) % 2 == 0).cast("int")), grid)
     count = tiles.agg(F.sum(F.size(F.filter("data", lambda x: x.isNotNull()))).cast("long").alias("burnt"))
     totals = R.weighted_total(tiles, grid).select(F.round("total", 4).alias("total"))
