@@ -126,8 +126,38 @@ def geodesic_area(geom: Column) -> Column:
 
 
 def area_ha(geom: Column, srid: Column) -> Column:
-    """Hectares: planar in EPSG:5070, on the ellipsoid for longitude and latitude; null for any other or no system."""
-    return F.when(srid == 5070, F.abs(area(geom)) / 1e4).when(srid.isin(4326, 4269), geodesic_area(geom) / 1e4)
+    """Hectares: planar in EPSG:5070, on the ellipsoid for longitude and latitude; any other or no system is an error."""
+    known = F.when(srid == 5070, F.abs(area(geom)) / 1e4).when(srid.isin(4326, 4269), geodesic_area(geom) / 1e4)
+    return known.otherwise(F.raise_error(F.concat(F.lit("no area in the reference system "), F.coalesce(srid.cast("string"), F.lit("(none)")))).cast("double"))
+
+
+def reprojected(geom: Column, srid: int, to: int) -> Column:
+    """Polygons in longitude and latitude to EPSG:5070 or back; the same system is left alone, null stays null."""
+    degrees = (4326, 4269)
+    if srid == to or (srid in degrees and to in degrees):
+        return geom
+    if srid in degrees and to == 5070:
+        return map_points(geom, albers)
+    if srid == 5070 and to in degrees:
+        return map_points(geom, albers_inverse)
+    raise ValueError(f"no way from the reference system {srid} to {to}")
+
+
+def processing_system(srid: int | None, metres_per_unit: float | None = None) -> int:
+    """The system to work in: the source's own if it is projected in metres, else EPSG:5070."""
+    if srid is None:
+        raise ValueError("the layer has no reference system")
+    return srid if metres_per_unit is not None and abs(metres_per_unit - 1) < 1e-9 else 5070
+
+
+def exploded(df) -> object:
+    """Multi-part polygons as one row per outer ring, each with the holes inside it; column ``part`` counts them."""
+    return df.select("*", F.posexplode(parts(F.col("geom"))).alias("part", "__geom")).withColumn("geom", F.col("__geom")).drop("__geom")
+
+
+@F.pandas_udf(ArrayType(RINGS_TYPE))
+def parts(geom: pd.Series) -> pd.Series:
+    return pd.Series([[] if g is None else [flat(p) for p in wkb.polygons_of(rings_of(g))] for g in geom], dtype=object)
 
 
 def rings_of(value) -> K.Rings:
@@ -150,8 +180,8 @@ def intersects(a: pd.Series, b: pd.Series) -> pd.Series:
 
 @F.pandas_udf(RINGS_TYPE)
 def repaired(geom: pd.Series) -> pd.Series:
-    """Polygons whose edges cross become the region that an odd number of rings surround; others stay."""
-    return pd.Series([None if g is None else flat(K.even_odd(r)) if K.crossings(r := rings_of(g)) else g for g in geom], dtype=object)
+    """Valid polygons stay; see ``overlay.mended`` for others. Null where nothing is left."""
+    return pd.Series([None if g is None or not (r := K.mended(rings_of(g))) else flat(r) for g in geom], dtype=object)
 
 
 @F.udf(RINGS_TYPE)

@@ -183,6 +183,37 @@ def even_odd(rings: Rings) -> Rings:
     return overlay([rings], lambda w: w[:, 0] % 2 != 0)
 
 
+def mended(rings: Rings) -> Rings:
+    """A valid polygon: the rings themselves, where edges meet only in common ends and no outer rings overlap.
+
+    Edges that cross make the region that an odd number of rings surround; outer rings
+    that overlap without crossing are united; rings the wrong way round are turned.
+    """
+    rings = [r for r in rings if len(r) > 3]
+    if crossings(rings):
+        return even_odd(rings)
+    if sum(signed_area(r) > 0 for r in rings) == 1 and len(rings) == 1:
+        return rings
+    odd = even_odd(rings)
+    outer = union([[r] for r in rings if signed_area(r) > 0])
+    total = area(rings)
+    if total > 0 and abs(total - area(odd)) <= 1e-9 * total:
+        return rings
+    return overlay([rings], lambda w: w[:, 0] > 0) if total > 0 and outer else odd
+
+
+def straightened(rings: Rings) -> Rings:
+    """Without the vertices that lie between their neighbours on a straight line."""
+    out = []
+    for r in rings:
+        p = r[:-1]
+        before, after = p - np.roll(p, 1, axis=0), np.roll(p, -1, axis=0) - p
+        bend = (cross(before, after) != 0) | ((before * after).sum(axis=1) < 0)
+        if bend.sum() >= 3:
+            out.append(np.vstack([p[bend], p[bend][:1]]))
+    return out
+
+
 def difference_area(a: Rings, b: Rings) -> float:
     return area(overlay([a, b], lambda w: (w[:, 0] > 0) != (w[:, 1] > 0)))
 

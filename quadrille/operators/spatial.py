@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,36 +13,70 @@ from quadrille.functions import geometry as G
 from quadrille.kernel import overlay as K
 
 
+#: A geometry that covers more cells than this is dealt to coarser ones.
+MOST_CELLS, COARSER = 256, 8.0
+
+
 def spatial_join(left: DataFrame, right: DataFrame, cell: float, exact: bool = False) -> DataFrame:
-    """Pairs (l, r) of whole rows whose boxes touch (whose polygons do, if ``exact``), each once.
+    """Pairs (l, r, lb, rb) of whole rows and their boxes, which touch (whose polygons do, if ``exact``), each pair once.
 
     Boxes are dealt to square cells, which makes an equi-join that Spark can shuffle and
     split; a pair stays only in the cell of the corner that the two boxes have in common.
+    A geometry that would cover more than MOST_CELLS cells takes cells COARSER times as
+    wide, as often as it takes; a pair meets at the coarser of its two levels, so the
+    other side is dealt out once more for each level that is there, and no others.
     Both sides carry ``geom``; null and empty geometries meet nothing.
     """
 
-    def dealt(df: DataFrame, side: str) -> DataFrame:
-        rows = df.filter(~G.is_empty(F.col("geom"))).select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(side), G.bounds(F.col("geom")).alias(f"{side}b"))
-        at = lambda c: F.floor(F.col(f"{side}b.{c}") / cell)
+    def boxed(df: DataFrame, side: str) -> DataFrame:
+        rows = df.filter(~G.is_empty(F.col("geom"))).select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(side), F.inline(F.array(F.struct(G.bounds(F.col("geom")).alias(f"{side}b")))))
+        b = F.col(f"{side}b")
+        cells = ((b["maxx"] - b["minx"]) / cell + 1) * ((b["maxy"] - b["miny"]) / cell + 1)
+        return rows.withColumn(f"{side}v", F.greatest(F.lit(0), F.ceil(F.log(cells / MOST_CELLS) / math.log(COARSER**2))).cast("int"))
+
+    def dealt(rows: DataFrame, side: str, levels: list[int]) -> DataFrame:
+        own = F.col(f"{side}v")
+        if levels == [0]:
+            rows = rows.withColumn("level", F.lit(0))
+        else:
+            rows = rows.withColumn("level", F.explode(F.array_distinct(F.concat(F.array(own), F.filter(F.array(*[F.lit(v) for v in levels]), lambda v: v > own)))))
+        size = F.pow(F.lit(COARSER), F.col("level")) * cell
+        at = lambda c: F.floor(F.col(f"{side}b.{c}") / size)
         return rows.withColumn("cx", F.explode(F.sequence(at("minx"), at("maxx")))).withColumn("cy", F.explode(F.sequence(at("miny"), at("maxy"))))
 
+    a, b = boxed(left, "l"), boxed(right, "r")
+    # There are as many levels as the extent has powers of COARSER, so what comes here is a handful of numbers.
+    levels = [sorted(r[0] for r in rows.select(side).distinct().collect()) or [0] for rows, side in ((a, "lv"), (b, "rv"))]
     meets = (F.col("lb.minx") <= F.col("rb.maxx")) & (F.col("lb.maxx") >= F.col("rb.minx")) & (F.col("lb.miny") <= F.col("rb.maxy")) & (F.col("lb.maxy") >= F.col("rb.miny"))
-    first = lambda c: F.floor(F.greatest(F.col(f"lb.{c}"), F.col(f"rb.{c}")) / cell)
-    pairs = dealt(left, "l").join(dealt(right, "r"), ["cx", "cy"]).filter(meets & (F.col("cx") == first("minx")) & (F.col("cy") == first("miny")))
-    pairs = pairs.select("l", "r")
-    return pairs.filter(G.intersects("l.geom", "r.geom")) if exact else pairs
+    size = F.pow(F.lit(COARSER), F.col("level")) * cell
+    first = lambda c: F.floor(F.greatest(F.col(f"lb.{c}"), F.col(f"rb.{c}")) / size)
+    once = (F.col("level") == F.greatest("lv", "rv")) & (F.col("cx") == first("minx")) & (F.col("cy") == first("miny"))
+    pairs = dealt(a, "l", levels[1]).join(dealt(b, "r", levels[0]), ["level", "cx", "cy"]).filter(meets & once)
+    pairs = pairs.select("l", "r", "lb", "rb")
+    if not exact:
+        return pairs
+    boxes = both_boxes()
+    return pairs.filter(boxes).unionByName(pairs.filter(~boxes).filter(G.intersects("l.geom", "r.geom")))
+
+
+def both_boxes() -> Column:
+    return G.is_box(F.col("l.geom")) & G.is_box(F.col("r.geom"))
 
 
 def common(pairs: DataFrame) -> DataFrame:
-    """Add ``part``, what the polygons of a pair share; two boxes are cut without leaving the JVM."""
-    l, r = F.col("l.geom"), F.col("r.geom")
-    boxes = G.is_box(l) & G.is_box(r)
-    a, b = G.bounds(l), G.bounds(r)
+    """Add ``part``, what the polygons of a pair share, and ``area``, its area, where that is positive; two boxes are cut without leaving the JVM."""
+    a, b = F.col("lb"), F.col("rb")
     x1, y1 = (F.greatest(a[c], b[c]) for c in ("minx", "miny"))
     x2, y2 = (F.least(a[c], b[c]) for c in ("maxx", "maxy"))
-    cut = F.when((x1 < x2) & (y1 < y2), G.box(x1, y1, x2, y2)).otherwise(F.array().cast(G.RINGS))
-    general = pairs.withColumn("__part", G.intersection(F.when(~boxes, l), F.when(~boxes, r)))
-    return general.withColumn("part", F.when(boxes, cut).otherwise(F.col("__part"))).drop("__part")
+    boxes = pairs.filter(both_boxes() & (x1 < x2) & (y1 < y2)).select("*", G.box(x1, y1, x2, y2).alias("part"), ((x2 - x1) * (y2 - y1)).alias("area"))
+    others = pairs.filter(~both_boxes()).withColumn("part", G.intersection("l.geom", "r.geom")).withColumn("area", G.area(F.col("part"))).filter("area > 0")
+    return boxes.unionByName(others)
+
+
+def tasks_of(df: DataFrame) -> int:
+    """For steps whose work is in the CPU, not in bytes, by which Spark would gather them in one task."""
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
 def allocate(zones: DataFrame, features: DataFrame, key: str, value: Column, cell: float) -> DataFrame:
@@ -50,15 +87,15 @@ def allocate(zones: DataFrame, features: DataFrame, key: str, value: Column, cel
     the sums, which Spark combines before it.
     """
     usable = features.withColumn("__value", value).withColumn("__full", G.area(F.col("geom"))).filter(F.col("__value").isNotNull() & (F.col("__full") > 0))
-    shares = common(spatial_join(zones.select(key, "geom"), usable.select("geom", "__value", "__full"), cell)).withColumn("__area", G.area(F.col("part"))).filter("__area > 0")
-    sums = shares.groupBy(F.col(f"l.{key}").alias(key)).agg(F.sum(F.col("r.__value") * F.col("__area") / F.col("r.__full")).alias("allocated"))
+    shares = common(spatial_join(zones.select(key, "geom"), usable.select("geom", "__value", "__full"), cell))
+    sums = shares.groupBy(F.col(f"l.{key}").alias(key)).agg(F.sum(F.col("r.__value") * F.col("area") / F.col("r.__full")).alias("allocated"))
     return zones.select(key).join(sums, key, "left").select(key, F.coalesce("allocated", F.lit(0.0)).alias("allocated"))
 
 
 def overlay_area(zones: DataFrame, features: DataFrame, key: str, cell: float) -> DataFrame:
     """(key, intersect_area_ha); overlapping features count each."""
-    parts = common(spatial_join(zones.select(key, "geom"), features.select("geom"), cell)).withColumn("__area", G.area(F.col("part")))
-    sums = parts.groupBy(F.col(f"l.{key}").alias(key)).agg((F.sum("__area") / 1e4).alias("ha"))
+    parts = common(spatial_join(zones.select(key, "geom"), features.select("geom"), cell))
+    sums = parts.groupBy(F.col(f"l.{key}").alias(key)).agg((F.sum("area") / 1e4).alias("ha"))
     return zones.select(key).join(sums, key, "left").select(key, F.coalesce("ha", F.lit(0.0)).alias("intersect_area_ha"))
 
 
@@ -69,49 +106,153 @@ def overlay_length(zones: DataFrame, lines: DataFrame, key: str, cell: float) ->
     return zones.select(key).join(sums, key, "left").select(key, F.coalesce("km", F.lit(0.0)).alias("intersect_length_km"))
 
 
-def dissolve(zones: DataFrame, features: DataFrame, key: str, cell: float, order: str = "fid", bins: int = 16) -> DataFrame:
+#: Geometries united at a time, and those a task gathers before it passes them on.
+UNITED, GATHERED = 256, 8192
+
+
+def gathered(keys: list[str], column: str = "geom"):
+    """Tasks: fewer rows of (keys, geometry), those of a key in one task being united; so a hot key is small before it is shuffled."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, list] = {}
+        n = 0
+        for part in parts:
+            for key, geom in zip(part[keys].itertuples(index=False, name=None), part[column], strict=True):
+                some = held.setdefault(key, [])
+                some.append(G.rings_of(geom))
+                n += 1
+                if len(some) >= UNITED:
+                    n -= len(some) - 1
+                    some[:] = [K.union(some)]
+            if n >= GATHERED:
+                yield table_of(held)
+                held, n = {}, 0
+        yield table_of(held)
+
+    def table_of(held: dict[tuple, list]) -> pd.DataFrame:
+        out = pd.DataFrame(list(held), columns=keys)
+        out[column] = pd.Series([G.flat(K.union(v)) for v in held.values()], dtype=object)
+        return out
+
+    return run
+
+
+def united_by(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, geom): one union per key, over rows sorted by key, UNITED of them at a time."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, some = None, []
+        for part in parts:
+            done, geoms = [], []
+            for key, geom in zip(part[keys].itertuples(index=False, name=None), part["geom"], strict=True):
+                if key != at and some:
+                    done.append(at)
+                    geoms.append(G.flat(K.straightened(K.union(some))))
+                    some = []
+                at = key
+                some.append(G.rings_of(geom))
+                if len(some) >= UNITED:
+                    some = [K.union(some)]
+            yield made(done, geoms)
+        if some:
+            yield made([at], [G.flat(K.straightened(K.union(some)))])
+
+    def made(done: list[tuple], geoms: list) -> pd.DataFrame:
+        out = pd.DataFrame(done, columns=keys)
+        out["geom"] = pd.Series(geoms, dtype=object)
+        return out
+
+    rows = rows.select(*keys, "geom")
+    return rows.repartition(tasks_of(rows), *keys).sortWithinPartitions(*keys).mapInPandas(run, rows.schema)
+
+
+def dissolve(zones: DataFrame, features: DataFrame, key: str, cell: float, order: str = "fid", carry: tuple[str, ...] = ()) -> DataFrame:
     """(key, geom, first_fid): per zone the union of what features have inside it; zones without any go.
 
-    Unions are taken in small steps, so that no task holds a zone: pieces are cut to
-    grid tiles, united in ``bins`` random shares of a tile and then per tile; tiles
-    touch only along their borders, so a zone's rings are those of its tiles.
+    ``carry`` names columns of ``zones`` that come along. Pieces are cut to grid tiles
+    and united in steps: those of a tile within each task before any is shuffled, then
+    those of a tile, of 8 by 8 tiles, and of a zone; seams between tiles vanish. What a
+    zone's last step reads is its tiles' outlines, not its pieces.
     """
-    pieces = common(spatial_join(zones.select(key, "geom"), features.select("geom", order), cell)).filter(G.area(F.col("part")) > 0)
+    pieces = common(spatial_join(zones.select(key, "geom"), features.select("geom", order), cell))
     pieces = pieces.select(F.col(f"l.{key}").alias(key), F.col(f"r.{order}").alias("__fid"), F.col("part").alias("geom"))
-    spread = pieces.withColumn("__b", G.bounds(F.col("geom")))
-    at = lambda c: F.floor(F.col(f"__b.{c}") / cell)
+    spread = pieces.withColumn("lb", G.bounds(F.col("geom")))
+    at = lambda c: F.floor(F.col(f"lb.{c}") / cell)
     tiles = spread.withColumn("__cx", F.explode(F.sequence(at("minx"), at("maxx")))).withColumn("__cy", F.explode(F.sequence(at("miny"), at("maxy"))))
     x, y = F.col("__cx") * cell, F.col("__cy") * cell
-    tiles = tiles.select(F.struct("geom").alias("l"), F.struct(G.box(x, y, x + cell, y + cell).alias("geom")).alias("r"), key, "__cx", "__cy", "__fid")
-    cut = common(tiles).filter(F.size("part") > 0).select(key, "__cx", "__cy", F.pmod(F.xxhash64("__fid"), F.lit(bins)).alias("__bin"), F.col("part").alias("geom"))
+    tile = G.box(x, y, x + cell, y + cell)
+    tiles = tiles.select(key, "__cx", "__cy", F.struct("geom").alias("l"), "lb", F.struct(tile.alias("geom")).alias("r"), G.bounds(tile).alias("rb"))
+    place = [key, "__cx", "__cy"]
+    cut = common(tiles).select(*place, F.col("part").alias("geom"))
+    united = united_by(cut.mapInPandas(gathered(place), cut.schema), place)
+    wide = united.withColumn("__cx", F.floor(F.col("__cx") / 8)).withColumn("__cy", F.floor(F.col("__cy") / 8))
+    united = united_by(united_by(wide, place), [key])
+    first = pieces.groupBy(key).agg(F.min("__fid").alias("first_fid"))
+    return united.join(first, key).join(zones.select(key, *carry), key).select(key, "geom", "first_fid", *carry)
 
-    def unite(rows: pd.DataFrame) -> pd.DataFrame:
-        out = rows.iloc[:1].copy()
-        out["geom"] = pd.Series([G.flat(K.union([G.rings_of(g) for g in rows["geom"]]))], index=out.index, dtype=object)
-        return out
 
-    tile = [key, "__cx", "__cy"]
-    shares = cut.groupBy(*tile, "__bin").applyInPandas(unite, cut.schema)
-    united = shares.groupBy(*tile).applyInPandas(unite, cut.schema)
-    first = pieces.groupBy(key).agg(F.min("__fid").alias("first_fid"))
-    return united.groupBy(key).agg(F.flatten(F.collect_list("geom")).alias("geom")).join(first, key)
+CUT = "geom array<array<double>>, reason string"
+
+
+def cut_by(features: DataFrame, tolerance: float):
+    """Tasks: each feature repaired and thinned and cut by one boundary polygon, or the reason why that can't be done."""
+
+    @F.pandas_udf(CUT)
+    def run(geom: pd.Series, edge: pd.Series) -> pd.DataFrame:
+        out = []
+        for g, e in zip(geom, edge, strict=True):
+            try:
+                rings = K.mended(G.rings_of(g))
+                out.append((G.flat(K.intersection(K.simplify(rings, tolerance), G.rings_of(e))), None) if rings else (None, "no polygon is left after repair"))
+            except Exception as error:  # one bad feature is a row of its own, not the end of the job
+                out.append((None, f"{type(error).__name__}: {error}"))
+        return pd.DataFrame({"geom": pd.Series([g for g, _ in out], dtype=object), "reason": pd.Series([r for _, r in out], dtype=object)})
+
+    return run
+
+
+def readable(geom: Column) -> Column:
+    """Whether every ring is pairs of finite coordinates, four or more of them."""
+    return F.forall(geom, lambda r: F.coalesce(r.isNotNull() & (F.size(r) % 2 == 0) & (F.size(r) >= 8) & F.forall(r, lambda v: F.coalesce(F.abs(v) < float("inf"), F.lit(False))), F.lit(False)))
 
 
 def clip(features: DataFrame, boundary: DataFrame, tolerance: float = 15.0, cell: float = 50_000.0, bins: int = 16) -> DataFrame:
-    """All columns of ``features``, ``geom`` cut to the union of all rows of the boundary, and ``status``.
+    """All columns of ``features``, ``geom`` cut to the union of all rows of the boundary, ``status`` and ``reason``.
 
     Repair, thin, cut by each boundary polygon that a feature meets, unite in two
-    small steps. Status: empty, outside (by the boxes of all rows), no_area or ok.
-    Equal rows are worked off once.
+    small steps. Status: empty, outside (by the boxes of all rows), no_area, ok, or
+    error with the reason, for a geometry that can't be read, mended or cut; no feature
+    ends the job. Equal rows are worked off once.
     """
     whole = F.struct(*[F.col(f"`{c}`") for c in features.columns])
     rows = features.groupBy(whole.alias("row")).agg(F.count("*").alias("n"))
-    pairs = spatial_join(rows.select("row", "n", F.col("row.geom").alias("geom")), boundary.select(G.repaired(F.col("geom")).alias("geom")), cell)
-    cut = pairs.select("l.row", "l.n", F.pmod(F.xxhash64("r.geom"), F.lit(bins)).alias("bin"), G.intersection(G.simplified(G.repaired(F.col("l.geom")), tolerance), F.col("r.geom")).alias("geom"))
-    shares = cut.groupBy("row", "n", "bin").agg(G.united(F.collect_list("geom")).alias("geom")).drop("bin")
-    every = shares.unionByName(rows.withColumn("geom", F.lit(None).cast(G.RINGS)))
-    out = every.groupBy("row", "n").agg(F.count("geom").alias("met"), G.united(F.collect_list("geom")).alias("cut"))
-    status = F.when(G.is_empty(F.col("row.geom")), "empty").when(F.col("met") == 0, "outside").when(G.area(F.col("cut")) > 0, "ok").otherwise("no_area")
-    kept = [F.col("row").getField(c).alias(c) for c in features.columns if c not in ("geom", "status")]
+    rows = rows.withColumn("bad", ~G.is_empty(F.col("row.geom")) & ~readable(F.col("row.geom")))
+    fine = rows.filter(~F.coalesce("bad", F.lit(False))).select("row", "n", F.col("row.geom").alias("geom"))
+    edge = boundary.select(G.repaired(F.col("geom")).alias("geom"))
+    pairs = spatial_join(fine, edge, cell)
+    cut = pairs.select("l.row", "l.n", F.pmod(F.xxhash64("r.geom"), F.lit(bins)).alias("bin"), cut_by(features, tolerance)("l.geom", "r.geom").alias("cut"))
+    cut = cut.select("row", "n", "bin", "cut.geom", "cut.reason")
+    shares = cut.groupBy("row", "n", "bin").agg(G.united(F.collect_list("geom")).alias("geom"), F.max("reason").alias("reason")).drop("bin")
+    none = F.lit(None).cast("string")
+    unread = F.when(F.col("bad"), "a ring is not four or more pairs of finite coordinates")
+    every = shares.unionByName(rows.select("row", "n", F.lit(None).cast(G.RINGS).alias("geom"), unread.alias("reason")))
+    out = every.groupBy("row", "n").agg(F.count("geom").alias("met"), G.united(F.collect_list("geom")).alias("cut"), F.max("reason").alias("reason"))
+    status = F.when(F.col("reason").isNotNull(), "error").when(G.is_empty(F.col("row.geom")), "empty").when(F.col("met") == 0, "outside").when(G.area(F.col("cut")) > 0, "ok").otherwise("no_area")
+    kept = [F.col("row").getField(c).alias(c) for c in features.columns if c not in ("geom", "status", "reason")]
     out = out.withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
-    return out.select(*kept, F.when(status == "ok", F.col("cut")).alias("geom"), status.alias("status"))
+    return out.select(*kept, F.when(status == "ok", F.col("cut")).alias("geom"), status.alias("status"), F.coalesce("reason", none).alias("reason"))
+
+
+def counted(clipped: DataFrame) -> DataFrame:
+    """(status, n): the counters of a clip."""
+    return clipped.groupBy("status").agg(F.count("*").alias("n"))
+
+
+def boundary_union(boundary: DataFrame, cell: float) -> DataFrame:
+    """(geom): the union of all rows, repaired; tiles are united first, as in ``dissolve``. It is an error if nothing is left."""
+    whole = boundary.select(F.lit(0).alias("zone"), "geom")
+    mended = whole.withColumn("geom", G.repaired(F.col("geom"))).filter(~G.is_empty(F.col("geom")))
+    out = united_by(mended.mapInPandas(gathered(["zone"]), mended.schema), ["zone"]).select("geom")
+    if out.isEmpty():
+        raise ValueError("the boundary has no polygon")
+    return out
