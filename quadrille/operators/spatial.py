@@ -15,21 +15,26 @@ from quadrille.kernel import overlay as K
 
 #: A geometry that covers more cells than this is dealt to coarser ones.
 MOST_CELLS, COARSER = 256, 8.0
+#: Up to this many rows Spark would put a join into one task by its bytes, though its work is in the CPU.
+FEW = 1_000_000
 
 
 def spatial_join(left: DataFrame, right: DataFrame, cell: float, exact: bool = False) -> DataFrame:
-    """Pairs (l, r, lb, rb) of whole rows and their boxes, which touch (whose polygons do, if ``exact``), each pair once.
+    """Pairs (l, r, lb, rb, boxes) of whole rows and their bounds (``boxes``: both are their bounds), which touch (whose polygons do, if ``exact``), each pair once.
 
     Boxes are dealt to square cells, which makes an equi-join that Spark can shuffle and
     split; a pair stays only in the cell of the corner that the two boxes have in common.
     A geometry that would cover more than MOST_CELLS cells takes cells COARSER times as
     wide, as often as it takes; a pair meets at the coarser of its two levels, so the
     other side is dealt out once more for each level that is there, and no others.
+    Layers of few rows are dealt to all cores; for larger ones Spark sizes the
+    partitions by their bytes and splits those of hot cells.
     Both sides carry ``geom``; null and empty geometries meet nothing.
     """
 
     def boxed(df: DataFrame, side: str) -> DataFrame:
-        rows = df.filter(~G.is_empty(F.col("geom"))).select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(side), F.inline(F.array(F.struct(G.bounds(F.col("geom")).alias(f"{side}b")))))
+        made = F.inline(F.array(F.struct(G.bounds(F.col("geom")).alias(f"{side}b"), G.is_box(F.col("geom")).alias(f"{side}q"))))
+        rows = df.filter(~G.is_empty(F.col("geom"))).select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(side), made)
         b = F.col(f"{side}b")
         cells = ((b["maxx"] - b["minx"]) / cell + 1) * ((b["maxy"] - b["miny"]) / cell + 1)
         return rows.withColumn(f"{side}v", F.greatest(F.lit(0), F.ceil(F.log(cells / MOST_CELLS) / math.log(COARSER**2))).cast("int"))
@@ -46,21 +51,19 @@ def spatial_join(left: DataFrame, right: DataFrame, cell: float, exact: bool = F
 
     a, b = boxed(left, "l"), boxed(right, "r")
     # There are as many levels as the extent has powers of COARSER, so what comes here is a handful of numbers.
-    levels = [sorted(r[0] for r in rows.select(side).distinct().collect()) or [0] for rows, side in ((a, "lv"), (b, "rv"))]
+    counts = [{r[0]: r[1] for r in rows.groupBy(side).count().collect()} or {0: 0} for rows, side in ((a, "lv"), (b, "rv"))]
+    cells = ["level", "cx", "cy"]
+    a, b = (dealt(rows, side, sorted(other)) for rows, side, other in ((a, "l", counts[1]), (b, "r", counts[0])))
+    if sum(sum(c.values()) for c in counts) <= FEW:
+        a, b = (rows.repartition(tasks_of(rows), *cells) for rows in (a, b))
     meets = (F.col("lb.minx") <= F.col("rb.maxx")) & (F.col("lb.maxx") >= F.col("rb.minx")) & (F.col("lb.miny") <= F.col("rb.maxy")) & (F.col("lb.maxy") >= F.col("rb.miny"))
     size = F.pow(F.lit(COARSER), F.col("level")) * cell
     first = lambda c: F.floor(F.greatest(F.col(f"lb.{c}"), F.col(f"rb.{c}")) / size)
     once = (F.col("level") == F.greatest("lv", "rv")) & (F.col("cx") == first("minx")) & (F.col("cy") == first("miny"))
-    pairs = dealt(a, "l", levels[1]).join(dealt(b, "r", levels[0]), ["level", "cx", "cy"]).filter(meets & once)
-    pairs = pairs.select("l", "r", "lb", "rb")
+    pairs = a.join(b, cells).filter(meets & once).select("l", "r", "lb", "rb", (F.col("lq") & F.col("rq")).alias("boxes"))
     if not exact:
         return pairs
-    boxes = both_boxes()
-    return pairs.filter(boxes).unionByName(pairs.filter(~boxes).filter(G.intersects("l.geom", "r.geom")))
-
-
-def both_boxes() -> Column:
-    return G.is_box(F.col("l.geom")) & G.is_box(F.col("r.geom"))
+    return pairs.filter("boxes").unionByName(pairs.filter("NOT boxes").filter(G.intersects("l.geom", "r.geom")))
 
 
 def common(pairs: DataFrame) -> DataFrame:
@@ -68,8 +71,8 @@ def common(pairs: DataFrame) -> DataFrame:
     a, b = F.col("lb"), F.col("rb")
     x1, y1 = (F.greatest(a[c], b[c]) for c in ("minx", "miny"))
     x2, y2 = (F.least(a[c], b[c]) for c in ("maxx", "maxy"))
-    boxes = pairs.filter(both_boxes() & (x1 < x2) & (y1 < y2)).select("*", G.box(x1, y1, x2, y2).alias("part"), ((x2 - x1) * (y2 - y1)).alias("area"))
-    others = pairs.filter(~both_boxes()).withColumn("part", G.intersection("l.geom", "r.geom")).withColumn("area", G.area(F.col("part"))).filter("area > 0")
+    boxes = pairs.filter(F.col("boxes") & (x1 < x2) & (y1 < y2)).select("*", G.box(x1, y1, x2, y2).alias("part"), ((x2 - x1) * (y2 - y1)).alias("area"))
+    others = pairs.filter("NOT boxes").withColumn("part", G.intersection("l.geom", "r.geom")).withColumn("area", G.area(F.col("part"))).filter("area > 0")
     return boxes.unionByName(others)
 
 
@@ -176,12 +179,12 @@ def dissolve(zones: DataFrame, features: DataFrame, key: str, cell: float, order
     """
     pieces = common(spatial_join(zones.select(key, "geom"), features.select("geom", order), cell))
     pieces = pieces.select(F.col(f"l.{key}").alias(key), F.col(f"r.{order}").alias("__fid"), F.col("part").alias("geom"))
-    spread = pieces.withColumn("lb", G.bounds(F.col("geom")))
+    spread = pieces.select("*", F.inline(F.array(F.struct(G.bounds(F.col("geom")).alias("lb"), G.is_box(F.col("geom")).alias("boxes")))))
     at = lambda c: F.floor(F.col(f"lb.{c}") / cell)
     tiles = spread.withColumn("__cx", F.explode(F.sequence(at("minx"), at("maxx")))).withColumn("__cy", F.explode(F.sequence(at("miny"), at("maxy"))))
     x, y = F.col("__cx") * cell, F.col("__cy") * cell
     tile = G.box(x, y, x + cell, y + cell)
-    tiles = tiles.select(key, "__cx", "__cy", F.struct("geom").alias("l"), "lb", F.struct(tile.alias("geom")).alias("r"), G.bounds(tile).alias("rb"))
+    tiles = tiles.select(key, "__cx", "__cy", F.struct("geom").alias("l"), "lb", F.struct(tile.alias("geom")).alias("r"), F.struct(x.alias("minx"), y.alias("miny"), (x + cell).alias("maxx"), (y + cell).alias("maxy")).alias("rb"), "boxes")
     place = [key, "__cx", "__cy"]
     cut = common(tiles).select(*place, F.col("part").alias("geom"))
     united = united_by(cut.mapInPandas(gathered(place), cut.schema), place)
