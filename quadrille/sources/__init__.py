@@ -1 +1 @@
-"""See README.md for the layout."""
+"""Readers and writers of layers, keyed tables, rasters, job files and file listings."""
