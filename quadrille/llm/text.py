@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Bytes hashed at a time; a longer text is cut at white space, so memory stays bounded.
-SLICE = 1 << 20
+SLICE = 1 << 18
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 _blank = np.zeros(256, bool)
