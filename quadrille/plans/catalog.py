@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quadrille.functions import geometry as G
@@ -9,6 +11,9 @@ from quadrille.operators import attributes as T
 from quadrille.operators import rasters as R
 from quadrille.operators import spatial as S
 from quadrille.plans import fixtures as X
+from quadrille.plans import values as V
+from quadrille.plans.combine import Group, combine_results
+from quadrille.sources import files, geopackage
 
 # SQL of the fixtures.
 ZONES = "zones AS (SELECT lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS geoid, CAST(n_nationkey % 5 AS DOUBLE) * 200 AS x1, CAST(n_nationkey // 5 AS DOUBLE) * 200 AS y1 FROM nation)"
@@ -197,3 +202,60 @@ def albers_points(spark, d):
 @query("SELECT p_partkey AS fid, round(p_size * p_size / 10000.0, 8) AS area_ha FROM part")
 def vector_area(spark, d):
     return X.features(spark, d).select("fid", F.round(G.area_ha(F.col("geom"), F.lit(5070)), 8).alias("area_ha"))
+
+
+@query("SELECT p_partkey AS fid, p_size AS size, CAST(p_partkey % 3 = 0 AS BOOLEAN) AS third, round(p_size * p_size / 2.0, 6) AS area, CAST(5070 AS BIGINT) AS srid FROM part WHERE p_size IN (1, 7, 20, 33, 50) AND p_partkey > 10")
+def layer_round_trip(spark, d):
+    """A layer written as GeoPackages, a file per task, and read back with filters that SQLite checks."""
+    geopackage.register(spark)
+    path = f"{X.scratch(spark)}/layer-{uuid.uuid4().hex}"
+    layer = X.triangles(spark, d).select("fid", "size", (F.col("fid") % 3 == 0).alias("third"), G.to_wkb("geom").alias("geom"))
+    layer.write.format("geopackage").mode("append").option("layer", "parts").option("srid", 5070).save(path)
+    read = spark.read.format("geopackage").load(path).filter(F.col("size").isin(1, 7, 20, 33, 50)).filter("fid > 10")
+    srid = F.lit(geopackage.system_of(path)).cast("long")
+    return read.select("fid", F.col("size").cast("int").alias("size"), "third", F.round(G.area(G.from_wkb("geom")), 6).alias("area"), srid.alias("srid"))
+
+
+@query("""SELECT lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS GEOID, n_name, CAST(n_nationkey AS DOUBLE) AS metric_a, CAST(n_nationkey + 1 AS DOUBLE) AS metric_b,
+CAST(100 * (n_nationkey + 1) * 0.25 AS DOUBLE) AS area_ha_nlcd_forests FROM nation""")
+def combined_results(spark, d):
+    """Results of three jobs as CSV files with time stamps, older ones beside them, combined and read back."""
+    base = f"{X.scratch(spark)}/results-{uuid.uuid4().hex}"
+    k = F.col("n_nationkey").cast("double")
+    z = X.table(spark, d, "nation").select(F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("GEOID"), "n_name", "n_nationkey")
+    masks = [(100 * (k + 1)).alias("area_ha_valid_reclassified_NLCD2023_forests_2026"), F.lit(0.25).alias("proportion_valid_nonzero_reclassified_NLCD2023_forests_2026")]
+    for name, columns in {"a_20260101_000000": [(k - 9).alias("metric_a")], "a_2026_01_02_00_00_00": [k.alias("metric_a")], "b_20260101_000000": [(k + 1).alias("metric_b")], "masks": masks}.items():
+        files.write_csv(z.select("GEOID", "n_name", *columns).coalesce(1), f"{base}/draft/{name}")
+        files.placed(spark, f"{base}/draft/{name}", f"{base}/in/counties/{name}.csv")
+    (path,) = combine_results(spark, f"{base}/in", f"{base}/out", [Group("counties", "counties_all", ("a", "b", "masks"))])
+    return files.read_keyed(spark, path, "GEOID")
+
+
+@query("""WITH t AS (SELECT p_partkey AS k, p_retailprice AS v FROM part WHERE p_partkey % 7 <> 3), f AS (SELECT p_partkey AS k, p_size * p_size / 10000.0 AS ha FROM part WHERE p_partkey % 5 <> 1),
+s AS (SELECT (SELECT sum(v * ha) FROM t JOIN f USING (k)) AS a, (SELECT sum(v * p_size * p_size / 10000.0) FROM t JOIN part ON p_partkey = k) AS b)
+SELECT round(a, 4) AS raster_total, round(b, 4) AS table_total, round(a - b, 4) AS difference, round((a - b) / nullif(b, 0) * 100, 6) AS percent FROM s""")
+def value_totals(spark, d):
+    """A value table with text keys joined to features, some of which have no value and some values no feature, and both totals."""
+    ha = (F.col("p_size") * F.col("p_size") / 10000.0).alias("ha")
+    part = X.table(spark, d, "part")
+    table = part.filter("p_partkey % 7 <> 3").select(F.lpad(F.col("p_partkey").cast("string"), 12, "0").alias("huc12"), F.col("p_retailprice").cast("string").alias("value"), ha)
+    table = table.unionByName(spark.createDataFrame([("x1", "5", 1.0), ("000", "n/a", 1.0)], "huc12 string, value string, ha double"))
+    values = V.value_table(table, "huc12", ["value", "ha"])
+    features = part.filter("p_partkey % 5 <> 1").select(F.col("p_partkey").cast("string").alias("huc12"), ha)
+    joined = V.valued(features, values.drop("ha"), "huc12")
+    out = R.reconciled(V.total(joined, "value", "ha"), V.total(values, "value", "ha"))
+    return out.select(*[F.round(c, 6 if c == "percent" else 4).alias(c) for c in out.columns])
+
+
+@query("SELECT c_custkey AS fid, CAST(row_number() OVER (ORDER BY c_acctbal, c_custkey) AS BIGINT) AS row_no FROM customer")
+def row_numbers(spark, d):
+    rows = X.table(spark, d, "customer").select(F.col("c_custkey").alias("fid"), F.struct("c_acctbal", "c_custkey").alias("at"))
+    return files.numbered(rows, "at").select("fid", "row_no")
+
+
+@query("SELECT p_partkey AS fid, round(p_size * p_size / 2.0, 3) AS area FROM part")
+def reprojected_area(spark, d):
+    """Triangles from EPSG:5070 to longitude and latitude and back."""
+    there = G.reprojected(F.col("geom"), 5070, 4326)
+    out = X.triangles(spark, d).withColumn("geom", there).withColumn("geom", G.reprojected(F.col("geom"), 4326, 5070))
+    return out.select("fid", F.round(G.area(F.col("geom")), 3).alias("area"))

@@ -109,3 +109,16 @@ def read_jobs(path: str) -> tuple[dict[str, str], list[dict[str, str]]]:
     if len({j["name"] for j in jobs}) < len(jobs) or not jobs:
         raise ValueError(f"{path}: no jobs, or two of one name")
     return section("project"), jobs
+
+
+def placed(spark: SparkSession, folder: str, path: str) -> str:
+    """The one data file in a written folder, moved to ``path``; for small results that others read as a single file."""
+    made = spark._jvm.org.apache.hadoop.fs.Path
+    source, target = made(folder), made(path)
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    (part,) = [s.getPath() for s in fs.listStatus(source) if s.getPath().getName().startswith("part-")]
+    fs.mkdirs(target.getParent())
+    if fs.exists(target) or not fs.rename(part, target):
+        raise FileExistsError(f"{path} can't be made")
+    fs.delete(source, True)
+    return path
