@@ -5,7 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from contextlib import suppress
+from collections.abc import Iterator
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,8 +39,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 _left: dict[str, SparkSession] = {}
 
+#: Bytes of rows that go to a Python worker at a time; at Spark's 64 MB, the rows, their columns and their values in Python add up.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
 
-def staged(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Bound Arrow batches by BATCH_BYTES in what runs within; the session's own bound holds again afterwards."""
+    setting, most = BATCH_BYTES
+    was = spark.conf.get(setting)
+    spark.conf.set(setting, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, was)
+
+
+def staged(df: DataFrame, tag: str, compression: str = "snappy") -> tuple[DataFrame, str]:
     """Write ``df`` to the shared folder and read it back; also its path.
 
     This cuts the lineage, and what was computed survives lost executors. What an
@@ -49,7 +65,8 @@ def staged(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     _left[path] = spark
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -68,14 +68,14 @@ def fingerprints(size: int, bands: int, rows: int, weighted: bool, seed: int):
 
 
 def shingle_sets(size: int):
-    """Tasks: the sorted distinct shingles of each document and their counts, as bytes."""
+    """Tasks: the sorted distinct shingles of each document, how many, and their counts, as bytes."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for a, b, bounds, words in batches(part["__text"].tolist()):
                 doc, element, count = distinct(*shingled(bounds, words, size))
                 cut = np.searchsorted(doc, np.arange(b - a + 1))
-                yield pd.DataFrame({"id": part["id"].to_numpy()[a:b], "shingles": [element[s:e].tobytes() for s, e in zip(cut[:-1], cut[1:], strict=True)], "counts": [count[s:e].astype(np.int32).tobytes() for s, e in zip(cut[:-1], cut[1:], strict=True)]})
+                yield pd.DataFrame({"id": part["id"].to_numpy()[a:b], "held": np.diff(cut), "shingles": [element[s:e].tobytes() for s, e in zip(cut[:-1], cut[1:], strict=True)], "counts": [count[s:e].astype(np.int32).tobytes() for s, e in zip(cut[:-1], cut[1:], strict=True)]})
 
     return run
 
@@ -186,7 +186,7 @@ def components(links: DataFrame) -> tuple[DataFrame, str]:
             return labels, path
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8, bands: int = 24, rows: int = 4, weighted: bool = True, seed: int = 1, cell_members: int = 1024, cell_pivots: int = 256) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8, bands: int = 24, rows: int = 4, weighted: bool = True, seed: int = 1, cell_members: int = 1024, cell_pivots: int = 256, cell_shingles: int = 1 << 20) -> DataFrame:
     """One row per row of ``docs``: (id, text_class, group).
 
     text_class is the smallest id with the same words (A-Z folded) in the same order;
@@ -198,7 +198,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Only one document of each text class goes on. Bands of ProbMinHash signatures
     make buckets. In each bucket all members meet one pivot. Where that leaves members
     unconnected, those outside the bucket's largest component meet all members, in
-    cells of at most about ``cell_pivots`` by ``cell_members`` documents: no link inside
+    cells of at most about ``cell_pivots`` by ``cell_members`` documents, fewer where their
+    texts are long, so that a side holds at most about ``cell_shingles``: no link inside
     a bucket is lost, and only links, not pairs, leave a cell. Two texts of similarity s share no bucket with probability
     (1 - s^rows)^bands: 3 in a million at 0.8.
 
@@ -216,22 +217,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     wanted = members.select("id").distinct()
     texts = base.join(wanted, base["__id"] == wanted["id"]).select("id", "__text").groupBy("id").agg(F.min("__text").alias("__text"))
-    sets, _ = staged(texts.mapInPandas(shingle_sets(size), "id long, shingles binary, counts binary"), "near-sets")
+    sets, _ = staged(texts.mapInPandas(shingle_sets(size), "id long, held long, shingles binary, counts binary"), "near-sets")
 
     met, _ = staged(members.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "near-pairs")
     star, _ = staged(verified(met, sets, threshold, weighted), "near-links")
     labels, _ = components(star)
     waiting = members.filter("id <> first").select("key", "id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    sizes = waiting.groupBy("key", "label").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("parts")).filter("parts > 1")
-    mixed = mixed.select("key", F.col("top.label").alias("largest"), F.ceil(F.col("n") / cell_members).alias("member_cells"), F.ceil((F.col("n") - F.col("top.n")) / cell_pivots).alias("pivot_cells"))
-    waiting, _ = staged(waiting.join(mixed, "key"), "near-waiting")
+    waiting = waiting.join(sets.select("id", "held"), "id")
+    sizes = waiting.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("held").alias("held"))
+    mixed = sizes.groupBy("key").agg(F.max(F.struct("n", "label", "held")).alias("top"), F.sum("n").alias("n"), F.sum("held").alias("held"), F.count("*").alias("parts")).filter("parts > 1")
+    cells = lambda n, most, held: F.greatest(F.ceil(n / most), F.ceil(held / cell_shingles))
+    mixed = mixed.select(
+        "key", F.col("top.label").alias("largest"), cells(F.col("n"), cell_members, F.col("held")).alias("member_cells"),
+        cells(F.col("n") - F.col("top.n"), cell_pivots, F.col("held") - F.col("top.held")).alias("pivot_cells"),
+    )
+    waiting, _ = staged(waiting.drop("held").join(mixed, "key"), "near-waiting")
     cell = lambda salt, n: F.pmod(F.xxhash64(F.lit(salt), "id"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     grid = ["key", "row_cell", "pivot_cell"]
     held = waiting.withColumn("row_cell", cell(1, "member_cells")).withColumn("pivot_cell", every("pivot_cells")).select(*grid, "id", "label")
     lone = waiting.filter("label <> largest").withColumn("pivot_cell", cell(2, "pivot_cells")).withColumn("row_cell", every("member_cells")).select(*grid, "id", "label")
     own = lambda df: df.select(*[F.col(c).alias(c) for c in df.columns])  # noqa: E731  the sides share their origin
+    sets = sets.drop("held")
     found = own(held.join(sets, "id")).groupBy(*grid).cogroup(own(lone.join(sets, "id")).groupBy(*grid)).applyInPandas(meet(threshold, weighted), "a long, b long")
     rest, _ = staged(found.distinct(), "near-links")
     labels, _ = components(star.unionByName(rest))
