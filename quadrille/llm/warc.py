@@ -119,7 +119,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     Returns file, off, head (string) and block (binary). An archive with no valid
     record yields nothing. What follows a broken link of a chain is left out.
     """
-    segs, _ = staged(segments(spark, path), "warc-segments")
+    segs, _ = staged(segments(spark, path), "warc-segments", compression="zstd")
     cands, _ = staged(candidates(segs), "warc-candidates")
     real = reachable(cands.select("file", "off", "next").filter(F.col("off") >= 0))
     marked = cands.join(real.withColumn("start", F.col("off")), ["file", "off"], "left")
