@@ -7,9 +7,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import token_alignment
 from .classifier import quality_classifier
 from .common import shared_dir, table
+from .exact_dup import exact_duplicates
 from .extraction import extract
+from .fim import fill_in_middle, restored
 from .line_dedup import line_dedup
 from .mixing import schedule
 from .near_dup import near_duplicates
@@ -68,6 +71,20 @@ def op10_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment(table(spark, sf_dir, "documents"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_in_middle(table(spark, sf_dir, "documents"), seed=7, unit="lines", fim_percent=100, spm_percent=50)
+    text = restored(F.col("output"), F.col("form"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_topk_search": op1_topk_search,
     "op2_near_dedup": op2_near_dedup,
@@ -79,6 +96,9 @@ QUERIES = {
     "op8_repeats": op8_repeats,
     "op9_warc": op9_warc,
     "op10_extraction": op10_extraction,
+    "op11_alignment": op11_alignment,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 _BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -119,4 +139,20 @@ marked AS (
 SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (WHERE dropped))::BIGINT AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op12_exact_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+g AS (SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size FROM d)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g""",
+    "op13_fill_in_middle": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+r AS (
+  SELECT doc_id, t, u, len(u) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(u) + 1) AS c1, ('0x' || substr(h, 9, 8))::BIGINT % (len(u) + 1) AS c2,
+         ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 100 AS off, ('0x' || substr(h, 25, 8))::BIGINT % 100 < 50 AS spm FROM d),
+p AS (
+  SELECT doc_id, t, n, array_to_string(u[1:least(c1, c2)], '') AS prefix, array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') AS middle, array_to_string(u[greatest(c1, c2) + 1:], '') AS suffix,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR off THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form FROM r)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p""",
 }
