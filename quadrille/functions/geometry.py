@@ -57,8 +57,9 @@ def bounds(geom: Column) -> Column:
 
 def is_box(geom: Column) -> Column:
     """One ring of four axis-parallel sides."""
-    r = geom[0]
-    turns = ((r[0] == r[6]) & (r[1] == r[3]) & (r[2] == r[4]) & (r[5] == r[7])) | ((r[1] == r[7]) & (r[0] == r[2]) & (r[3] == r[5]) & (r[4] == r[6]))
+    r = F.get(geom, F.lit(0))
+    same = lambda i, j: F.get(r, F.lit(i)) == F.get(r, F.lit(j))
+    turns = (same(0, 6) & same(1, 3) & same(2, 4) & same(5, 7)) | (same(1, 7) & same(0, 2) & same(3, 5) & same(4, 6))
     return F.coalesce((F.size(geom) == 1) & (F.size(r) == 10) & turns, F.lit(False))
 
 
@@ -184,13 +185,6 @@ def repaired(geom: pd.Series) -> pd.Series:
     return pd.Series([None if g is None or not (r := K.mended(rings_of(g))) else flat(r) for g in geom], dtype=object)
 
 
-@F.udf(RINGS_TYPE)
-def united(parts: list) -> list:
-    """The union of an array of polygons; what is alone stays."""
-    some = [p for p in parts if len(p)]
-    return some[0] if len(some) == 1 else [r.tolist() for r in flat(K.union([rings_of(p) for p in some]))] if some else []
-
-
 def simplified(geom: Column, tolerance: float, preserve: bool = True) -> Column:
     @F.pandas_udf(RINGS_TYPE)
     def run(g: pd.Series) -> pd.Series:

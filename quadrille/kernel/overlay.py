@@ -95,9 +95,9 @@ def split(s: np.ndarray, owner: np.ndarray, grid: float) -> tuple[np.ndarray, np
     return out[real], own[real], True
 
 
-def overlay(operands: list[Rings], inside) -> Rings:
-    """The region where ``inside`` holds of the winding numbers (edges x operands)."""
-    grid = grid_of([r for rings in operands for r in rings])
+def overlay(operands: list[Rings], inside, grid: float | None = None) -> Rings:
+    """The region where ``inside`` holds of the winding numbers (edges x operands); ``grid`` is what coordinates are snapped to."""
+    grid = grid or grid_of([r for rings in operands for r in rings])
     parts = [segments(rings, grid) for rings in operands]
     s, owner = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     for _ in range(8):
@@ -167,15 +167,15 @@ def stitched(edges: np.ndarray) -> Rings:
     return [r for r in rings if signed_area(r) != 0]
 
 
-def intersection(a: Rings, b: Rings) -> Rings:
+def intersection(a: Rings, b: Rings, grid: float | None = None) -> Rings:
     if not a or not b:
         return []
-    return overlay([a, b], lambda w: (w > 0).all(axis=1))
+    return overlay([a, b], lambda w: (w > 0).all(axis=1), grid)
 
 
-def union(all_rings: list[Rings]) -> Rings:
+def union(all_rings: list[Rings], grid: float | None = None) -> Rings:
     """Oriented rings of many polygons wind around every covered point a positive number of times."""
-    return overlay([[r for rings in all_rings for r in rings]], lambda w: w[:, 0] > 0)
+    return overlay([[r for rings in all_rings for r in rings]], lambda w: w[:, 0] > 0, grid)
 
 
 def even_odd(rings: Rings) -> Rings:

@@ -26,6 +26,21 @@ class Grid:
     width: int
     height: int
     block: int = 256
+    #: The height of blocks that are not square, else 0.
+    block_h: int = 0
+
+    @property
+    def high(self) -> int:
+        return self.block_h or self.block
+
+    @property
+    def blocks(self) -> int:
+        return -(-self.width // self.block) * -(-self.height // self.high)
+
+    @property
+    def tolerance(self) -> float:
+        """What may be thinned away of polygons before they are burnt: half a pixel."""
+        return 0.5 * max(abs(self.dx), abs(self.dy))
 
     @property
     def pixel_ha(self) -> float:
@@ -38,10 +53,9 @@ def tiles_of(pixels: DataFrame, grid: Grid) -> DataFrame:
     Of several values for one pixel the largest counts. Entries are sorted and the gaps
     between them filled, so the work is linear in a tile's pixels.
     """
-    b = grid.block
-    at = lambda c: F.floor(F.col(c) / b) * b
-    placed = pixels.withColumn("xoff", at("col").cast("int")).withColumn("yoff", at("row").cast("int"))
-    placed = placed.withColumn("w", F.least(F.lit(b), grid.width - F.col("xoff"))).withColumn("h", F.least(F.lit(b), grid.height - F.col("yoff")))
+    at = lambda c, b: (F.floor(F.col(c) / b) * b).cast("int")
+    placed = pixels.withColumn("xoff", at("col", grid.block)).withColumn("yoff", at("row", grid.high))
+    placed = placed.withColumn("w", F.least(F.lit(grid.block), grid.width - F.col("xoff"))).withColumn("h", F.least(F.lit(grid.high), grid.height - F.col("yoff")))
     k = ((F.col("row") - F.col("yoff")) * F.col("w") + F.col("col") - F.col("xoff")).cast("int")
     made = placed.groupBy("xoff", "yoff", "w", "h").agg(F.array_sort(F.collect_list(F.struct(k.alias("k"), F.col("value").alias("v")))).alias("e"))
     made = made.withColumn("e", F.filter("e", lambda x, i: F.coalesce(F.get("e", i + 1)["k"] != x["k"], F.lit(True))))
@@ -77,9 +91,9 @@ def spans(features: DataFrame, grid: Grid, carry: list[str]) -> DataFrame:
 def dealt(runs: DataFrame, grid: Grid) -> DataFrame:
     """Runs cut at tile borders: (xoff, yoff, w, h) added, rows and columns counted within the tile."""
     b = grid.block
-    runs = runs.withColumn("yoff", (F.floor(F.col("row") / b) * b).cast("int")).withColumn("bx", F.explode(F.sequence(F.floor(F.col("c0") / b), F.floor(F.col("c1") / b))))
+    runs = runs.withColumn("yoff", (F.floor(F.col("row") / grid.high) * grid.high).cast("int")).withColumn("bx", F.explode(F.sequence(F.floor(F.col("c0") / b), F.floor(F.col("c1") / b))))
     runs = runs.withColumn("xoff", (F.col("bx") * b).cast("int")).drop("bx")
-    runs = runs.withColumn("w", F.least(F.lit(b), grid.width - F.col("xoff"))).withColumn("h", F.least(F.lit(b), grid.height - F.col("yoff")))
+    runs = runs.withColumn("w", F.least(F.lit(b), grid.width - F.col("xoff"))).withColumn("h", F.least(F.lit(grid.high), grid.height - F.col("yoff")))
     a, e = F.greatest("c0", "xoff") - F.col("xoff"), F.least(F.col("c1"), F.col("xoff") + F.col("w") - 1) - F.col("xoff")
     return runs.withColumn("row", (F.col("row") - F.col("yoff")).cast("int")).withColumn("c0", a.cast("int")).withColumn("c1", e.cast("int"))
 

@@ -1,16 +1,19 @@
-"""Joins and overlays of polygon layers on grid cells."""
+"""Joins of polygon layers on grid cells, and overlays of what cells hold of them."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadrille.functions import geometry as G
+from quadrille.kernel import cells as C
 from quadrille.kernel import overlay as K
+from quadrille.sources.staging import staged, tasks_of
 
 
 #: A geometry that covers more cells than this is dealt to coarser ones.
@@ -41,10 +44,7 @@ def spatial_join(left: DataFrame, right: DataFrame, cell: float, exact: bool = F
 
     def dealt(rows: DataFrame, side: str, levels: list[int]) -> DataFrame:
         own = F.col(f"{side}v")
-        if levels == [0]:
-            rows = rows.withColumn("level", F.lit(0))
-        else:
-            rows = rows.withColumn("level", F.explode(F.array_distinct(F.concat(F.array(own), F.filter(F.array(*[F.lit(v) for v in levels]), lambda v: v > own)))))
+        rows = rows.withColumn("level", F.explode(F.concat(F.array(own), F.filter(F.array(*[F.lit(v) for v in levels]), lambda v: v > own))))
         size = F.pow(F.lit(COARSER), F.col("level")) * cell
         at = lambda c: F.floor(F.col(f"{side}b.{c}") / size)
         return rows.withColumn("cx", F.explode(F.sequence(at("minx"), at("maxx")))).withColumn("cy", F.explode(F.sequence(at("miny"), at("maxy"))))
@@ -55,7 +55,7 @@ def spatial_join(left: DataFrame, right: DataFrame, cell: float, exact: bool = F
     cells = ["level", "cx", "cy"]
     a, b = (dealt(rows, side, sorted(other)) for rows, side, other in ((a, "l", counts[1]), (b, "r", counts[0])))
     if sum(sum(c.values()) for c in counts) <= FEW:
-        a, b = (rows.repartition(tasks_of(rows), *cells) for rows in (a, b))
+        a, b = (rows.repartition(tasks_of(left.sparkSession), *cells) for rows in (a, b))
     meets = (F.col("lb.minx") <= F.col("rb.maxx")) & (F.col("lb.maxx") >= F.col("rb.minx")) & (F.col("lb.miny") <= F.col("rb.maxy")) & (F.col("lb.maxy") >= F.col("rb.miny"))
     size = F.pow(F.lit(COARSER), F.col("level")) * cell
     first = lambda c: F.floor(F.greatest(F.col(f"lb.{c}"), F.col(f"rb.{c}")) / size)
@@ -66,20 +66,110 @@ def spatial_join(left: DataFrame, right: DataFrame, cell: float, exact: bool = F
     return pairs.filter("boxes").unionByName(pairs.filter("NOT boxes").filter(G.intersects("l.geom", "r.geom")))
 
 
-def common(pairs: DataFrame) -> DataFrame:
-    """Add ``part``, what the polygons of a pair share, and ``area``, its area, where that is positive; two boxes are cut without leaving the JVM."""
-    a, b = F.col("lb"), F.col("rb")
-    x1, y1 = (F.greatest(a[c], b[c]) for c in ("minx", "miny"))
-    x2, y2 = (F.least(a[c], b[c]) for c in ("maxx", "maxy"))
-    boxes = pairs.filter(F.col("boxes") & (x1 < x2) & (y1 < y2)).select("*", G.box(x1, y1, x2, y2).alias("part"), ((x2 - x1) * (y2 - y1)).alias("area"))
-    others = pairs.filter("NOT boxes").withColumn("part", G.intersection("l.geom", "r.geom")).withColumn("area", G.area(F.col("part"))).filter("area > 0")
-    return boxes.unionByName(others)
+CELLS = "array<struct<first:int,last:int,cy:int,geom:array<array<double>>>>"
+LINES = "array<struct<cx:int,cy:int,line:array<double>>>"
 
 
-def tasks_of(df: DataFrame) -> int:
-    """For steps whose work is in the CPU, not in bytes, by which Spark would gather them in one task."""
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+def cut_polygons(cell: float):
+    @F.pandas_udf(CELLS)
+    def run(geom: pd.Series) -> pd.Series:
+        made = lambda g: [{"first": a, "last": e, "cy": j, "geom": None if p is None else G.flat(p)} for a, e, j, p in C.cut(G.rings_of(g), cell)]
+        return pd.Series([None if g is None else made(g) for g in geom], dtype=object)
+
+    return run
+
+
+def cut_lines(cell: float):
+    @F.pandas_udf(LINES)
+    def run(line: pd.Series) -> pd.Series:
+        made = lambda v: [{"cx": i, "cy": j, "line": p.ravel()} for i, j, p in C.cut_line(np.asarray(v, float).reshape(-1, 2), cell)]
+        return pd.Series([None if v is None else made(v) for v in line], dtype=object)
+
+    return run
+
+
+def cell_box(cell: float, cx: Column, cy: Column) -> tuple[Column, Column, Column, Column]:
+    return cx * cell, cy * cell, (cx + 1) * cell, (cy + 1) * cell
+
+
+def cut(df: DataFrame, cell: float) -> DataFrame:
+    """A row for each cell that ``geom`` covers some of: the other columns, cx, cy, ``cells`` (how many the row has) and ``geom``, its piece, or null for a whole cell.
+
+    Boxes are cut by built-in expressions, other polygons by one pass of Python, each
+    once. So no later step carries or overlays more of a polygon than one cell holds,
+    and whole cells need no overlay at all. Whole cells are runs at first, so what is in
+    memory at once goes with the outline of a polygon, not with its area; each becomes
+    a narrow row, so cells are best about as large as the smaller geometries. Null and
+    empty geometries have no cells.
+    """
+    rest = [F.col(f"`{c}`") for c in df.columns if c != "geom"]
+    told = F.inline(F.array(F.struct(G.bounds(F.col("geom")).alias("__b"), (G.is_box(F.col("geom")) & (G.ring_area(F.get("geom", F.lit(0))) > 0)).alias("__q"))))
+    rows = df.filter(~G.is_empty(F.col("geom"))).select(*rest, "geom", told)
+    b = F.col("__b")
+    floor, ceil = (lambda c, f=f: f(b[c] / cell).cast("int") for f in (F.floor, F.ceil))
+    low, high = (lambda k: floor(f"min{k}")), (lambda k: F.greatest(floor(f"min{k}"), ceil(f"max{k}") - 1))  # the cells from first to last
+    inner, outer = ceil("minx"), floor("maxx") - 1  # those that are whole from left to right
+
+    def piece(i: Column, j: Column) -> Column:
+        x1, y1, x2, y2 = cell_box(cell, i, j)
+        part = G.box(F.greatest(b["minx"], x1), F.greatest(b["miny"], y1), F.least(b["maxx"], x2), F.least(b["maxy"], y2))
+        return F.struct(i.alias("first"), i.alias("last"), j.alias("cy"), part.alias("geom"))
+
+    def row(j: Column) -> Column:
+        none = F.array().cast(CELLS)
+        run = F.struct(inner.alias("first"), outer.alias("last"), j.alias("cy"), F.lit(None).cast(G.RINGS).alias("geom"))
+        left, right = F.when(inner > low("x"), F.array(piece(low("x"), j))).otherwise(none), F.when((high("x") > outer) & (high("x") >= inner), F.array(piece(high("x"), j))).otherwise(none)
+        through = F.concat(left, F.when(inner <= outer, F.array(run)).otherwise(none), right)
+        return F.when((b["miny"] <= j * cell) & (b["maxy"] >= (j + 1) * cell), through).otherwise(F.transform(F.sequence(low("x"), high("x")), lambda i: piece(i, j)))
+
+    boxes = F.flatten(F.transform(F.sequence(low("y"), high("y")), row))
+    others = cut_polygons(cell)(F.when(~F.col("__q"), F.col("geom")))
+    rows = rows.select(*rest, F.when(F.col("__q"), boxes).otherwise(others).alias("__cells"))
+    count = F.aggregate("__cells", F.lit(0), lambda n, c: n + c["last"] - c["first"] + 1)
+    rows = rows.select(*rest, count.alias("cells"), F.inline("__cells"))
+    return rows.select(*rest, "cells", F.explode(F.sequence("first", "last")).alias("cx"), "cy", "geom")
+
+
+def named(df: DataFrame, cell: float, side: str) -> DataFrame:
+    """Cut rows for ``shared``: cx, cy, the other columns as one struct, the piece, and its bounds if it is a box."""
+    x1, y1, x2, y2 = cell_box(cell, F.col("cx"), F.col("cy"))
+    whole = F.struct(x1.alias("minx"), y1.alias("miny"), x2.alias("maxx"), y2.alias("maxy"))
+    told = F.when(F.col("geom").isNull(), F.struct(whole.alias("b"), F.lit(True).alias("q"))).otherwise(F.struct(G.bounds(F.col("geom")).alias("b"), G.is_box(F.col("geom")).alias("q")))
+    rest = F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in ("cx", "cy", "geom")])
+    made = df.select("cx", "cy", rest.alias(side), F.col("geom").alias(f"{side}g"), F.inline(F.array(told)))
+    return made.withColumnsRenamed({"b": f"{side}b", "q": f"{side}q"})
+
+
+def cut_by(cell: float):
+    """What two pieces of one cell share, snapped as the pieces are; null where either is."""
+    grain = C.snap_of(cell)
+
+    @F.pandas_udf(G.RINGS_TYPE)
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None or y is None else G.flat(K.intersection(G.rings_of(x), G.rings_of(y), grain)) for x, y in zip(a, b, strict=True)], dtype=object)
+
+    return run
+
+
+def shared(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
+    """(l, r, cx, cy, part, area) of cut rows that have some of a cell in common, with the columns of both sides as structs.
+
+    One equi-join on the cell, which Spark shuffles and splits where cells are hot. Two
+    boxes are cut by built-in expressions, a piece in a whole cell stays as it is, and
+    only two other pieces go to Python.
+    """
+    a, b = named(left, cell, "l"), named(right, cell, "r")
+    lb, rb = F.col("lb"), F.col("rb")
+    x1, y1 = (F.greatest(lb[c], rb[c]) for c in ("minx", "miny"))
+    x2, y2 = (F.least(lb[c], rb[c]) for c in ("maxx", "maxy"))
+    pairs = a.join(b, ["cx", "cy"]).filter((x1 < x2) & (y1 < y2))
+    boxes, lone = F.col("lq") & F.col("rq"), F.coalesce(F.col("lg"), F.col("rg"))
+    both = F.col("lg").isNotNull() & F.col("rg").isNotNull() & ~boxes
+    cuts = cut_by(cell)(F.when(both, F.col("lg")), F.when(both, F.col("rg")))
+    pairs = pairs.select("l", "r", "cx", "cy", boxes.alias("boxes"), x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"), F.when(~boxes, F.when(both, cuts).otherwise(lone)).alias("other"))
+    part = F.when(F.col("boxes"), G.box(*[F.col(c) for c in ("x1", "y1", "x2", "y2")])).otherwise(F.col("other"))
+    size = F.when(F.col("boxes"), (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))).otherwise(G.area(F.col("other")))
+    return pairs.select("l", "r", "cx", "cy", part.alias("part"), size.alias("area")).filter("area > 0")
 
 
 def allocate(zones: DataFrame, features: DataFrame, key: str, value: Column, cell: float) -> DataFrame:
@@ -90,123 +180,141 @@ def allocate(zones: DataFrame, features: DataFrame, key: str, value: Column, cel
     the sums, which Spark combines before it.
     """
     usable = features.withColumn("__value", value).withColumn("__full", G.area(F.col("geom"))).filter(F.col("__value").isNotNull() & (F.col("__full") > 0))
-    shares = common(spatial_join(zones.select(key, "geom"), usable.select("geom", "__value", "__full"), cell))
+    shares = shared(cut(zones.select(key, "geom"), cell), cut(usable.select("__value", "__full", "geom"), cell), cell)
     sums = shares.groupBy(F.col(f"l.{key}").alias(key)).agg(F.sum(F.col("r.__value") * F.col("area") / F.col("r.__full")).alias("allocated"))
     return zones.select(key).join(sums, key, "left").select(key, F.coalesce("allocated", F.lit(0.0)).alias("allocated"))
 
 
 def overlay_area(zones: DataFrame, features: DataFrame, key: str, cell: float) -> DataFrame:
     """(key, intersect_area_ha); overlapping features count each."""
-    parts = common(spatial_join(zones.select(key, "geom"), features.select("geom"), cell))
+    parts = shared(cut(zones.select(key, "geom"), cell), cut(features.select("geom"), cell), cell)
     sums = parts.groupBy(F.col(f"l.{key}").alias(key)).agg((F.sum("area") / 1e4).alias("ha"))
     return zones.select(key).join(sums, key, "left").select(key, F.coalesce("ha", F.lit(0.0)).alias("intersect_area_ha"))
 
 
+def line_length(line: Column) -> Column:
+    at = F.sequence(F.lit(0), (F.size(line) / 2).cast("int") - 2)
+    step = lambda i, k: F.get(line, 2 * i + 2 + k) - F.get(line, 2 * i + k)
+    return F.aggregate(at, F.lit(0.0), lambda s, i: s + F.sqrt(step(i, 0) * step(i, 0) + step(i, 1) * step(i, 1)))
+
+
 def overlay_length(zones: DataFrame, lines: DataFrame, key: str, cell: float) -> DataFrame:
-    """(key, intersect_length_km) of ``lines`` (geom: one array of alternating coordinates)."""
-    pairs = spatial_join(zones.select(key, "geom"), lines.select(F.array("geom").alias("geom")), cell)
-    sums = pairs.groupBy(F.col(f"l.{key}").alias(key)).agg((F.sum(G.length_within(F.col("r.geom")[0], F.col("l.geom"))) / 1000).alias("km"))
+    """(key, intersect_length_km) of ``lines`` (geom: one array of alternating coordinates); what lies in whole cells is only measured."""
+    pieces = lines.filter(F.size("geom") >= 4).select(F.inline(cut_lines(cell)(F.col("geom"))))
+    pairs = cut(zones.select(key, "geom"), cell).join(pieces, ["cx", "cy"])
+    within = G.length_within(F.when(F.col("geom").isNotNull(), F.col("line")), F.col("geom"))
+    sums = pairs.groupBy(key).agg((F.sum(F.when(F.col("geom").isNull(), line_length(F.col("line"))).otherwise(within)) / 1000).alias("km"))
     return zones.select(key).join(sums, key, "left").select(key, F.coalesce("km", F.lit(0.0)).alias("intersect_length_km"))
 
 
 #: Geometries united at a time, and those a task gathers before it passes them on.
 UNITED, GATHERED = 256, 8192
+#: Cells to a side of the blocks whose outlines are united next.
+WIDER = 8
 
 
-def gathered(keys: list[str], column: str = "geom"):
-    """Tasks: fewer rows of (keys, geometry), those of a key in one task being united; so a hot key is small before it is shuffled."""
+def gathered(keys: list[str], grain: float, least: str | None = None):
+    """Tasks: fewer rows of (keys, geom), those of a key in one task being united; so a hot key is small before it is shuffled.
+
+    ``least`` names a column of which the smallest value stays.
+    """
+    columns = keys + ([least] if least else [])
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[tuple, list] = {}
+        low: dict[tuple, object] = {}
         n = 0
         for part in parts:
-            for key, geom in zip(part[keys].itertuples(index=False, name=None), part[column], strict=True):
+            for key, value, geom in zip(part[keys].itertuples(index=False, name=None), part[least] if least else part["geom"], part["geom"], strict=True):
                 some = held.setdefault(key, [])
                 some.append(G.rings_of(geom))
+                low[key] = min(low.get(key, value), value) if least else None
                 n += 1
                 if len(some) >= UNITED:
                     n -= len(some) - 1
-                    some[:] = [K.union(some)]
+                    some[:] = [K.union(some, grain)]
             if n >= GATHERED:
-                yield table_of(held)
-                held, n = {}, 0
-        yield table_of(held)
+                yield table_of(held, low)
+                held, low, n = {}, {}, 0
+        yield table_of(held, low)
 
-    def table_of(held: dict[tuple, list]) -> pd.DataFrame:
-        out = pd.DataFrame(list(held), columns=keys)
-        out[column] = pd.Series([G.flat(K.union(v)) for v in held.values()], dtype=object)
+    def table_of(held: dict[tuple, list], low: dict[tuple, object]) -> pd.DataFrame:
+        out = pd.DataFrame([(*k, low[k]) if least else k for k in held], columns=columns)
+        out["geom"] = pd.Series([G.flat(K.union(v, grain)) for v in held.values()], dtype=object)
         return out
 
     return run
 
 
-def united_by(rows: DataFrame, keys: list[str]) -> DataFrame:
+def united_by(rows: DataFrame, keys: list[str], grain: float, least: str | None = None) -> DataFrame:
     """(keys, geom): one union per key, over rows sorted by key, UNITED of them at a time."""
+    columns = keys + ([least] if least else [])
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, some = None, []
+        at, some, low = None, [], None
         for part in parts:
             done, geoms = [], []
-            for key, geom in zip(part[keys].itertuples(index=False, name=None), part["geom"], strict=True):
+            for key, value, geom in zip(part[keys].itertuples(index=False, name=None), part[least] if least else part["geom"], part["geom"], strict=True):
                 if key != at and some:
-                    done.append(at)
-                    geoms.append(G.flat(K.straightened(K.union(some))))
-                    some = []
+                    done.append((*at, low) if least else at)
+                    geoms.append(outline(some))
+                    some, low = [], None
                 at = key
+                low = (value if low is None else min(low, value)) if least else None
                 some.append(G.rings_of(geom))
                 if len(some) >= UNITED:
-                    some = [K.union(some)]
+                    some = [K.union(some, grain)]
             yield made(done, geoms)
         if some:
-            yield made([at], [G.flat(K.straightened(K.union(some)))])
+            yield made([(*at, low) if least else at], [outline(some)])
+
+    def outline(some: list) -> list:
+        return G.flat(K.straightened(K.union(some, grain)))
 
     def made(done: list[tuple], geoms: list) -> pd.DataFrame:
-        out = pd.DataFrame(done, columns=keys)
+        out = pd.DataFrame(done, columns=columns)
         out["geom"] = pd.Series(geoms, dtype=object)
         return out
 
-    rows = rows.select(*keys, "geom")
-    return rows.repartition(tasks_of(rows), *keys).sortWithinPartitions(*keys).mapInPandas(run, rows.schema)
+    rows = rows.select(*columns, "geom")
+    return rows.repartition(tasks_of(rows.sparkSession), *keys).sortWithinPartitions(*keys).mapInPandas(run, rows.schema)
+
+
+def widened(rows: DataFrame, keys: list[str], grain: float, least: str | None = None) -> DataFrame:
+    """(keys, geom) out of rows by (keys, cx, cy): blocks of cells are united, then all; seams vanish."""
+    wide = rows.withColumn("cx", F.floor(F.col("cx") / WIDER).cast("int")).withColumn("cy", F.floor(F.col("cy") / WIDER).cast("int"))
+    return united_by(united_by(wide, [*keys, "cx", "cy"], grain, least), keys, grain, least)
 
 
 def dissolve(zones: DataFrame, features: DataFrame, key: str, cell: float, order: str = "fid", carry: tuple[str, ...] = ()) -> DataFrame:
     """(key, geom, first_fid): per zone the union of what features have inside it; zones without any go.
 
-    ``carry`` names columns of ``zones`` that come along. Pieces are cut to grid tiles
-    and united in steps: those of a tile within each task before any is shuffled, then
-    those of a tile, of 8 by 8 tiles, and of a zone; seams between tiles vanish. What a
-    zone's last step reads is its tiles' outlines, not its pieces.
+    ``carry`` names columns of ``zones`` that come along. One join gives the pieces, cell
+    by cell. They are united in steps: those of a zone and cell within each task before
+    any is shuffled, then those of a zone and cell, of a block of cells, and of a zone.
+    What a zone's last step reads is its blocks' outlines, not its pieces.
     """
-    pieces = common(spatial_join(zones.select(key, "geom"), features.select("geom", order), cell))
-    pieces = pieces.select(F.col(f"l.{key}").alias(key), F.col(f"r.{order}").alias("__fid"), F.col("part").alias("geom"))
-    spread = pieces.select("*", F.inline(F.array(F.struct(G.bounds(F.col("geom")).alias("lb"), G.is_box(F.col("geom")).alias("boxes")))))
-    at = lambda c: F.floor(F.col(f"lb.{c}") / cell)
-    tiles = spread.withColumn("__cx", F.explode(F.sequence(at("minx"), at("maxx")))).withColumn("__cy", F.explode(F.sequence(at("miny"), at("maxy"))))
-    x, y = F.col("__cx") * cell, F.col("__cy") * cell
-    tile = G.box(x, y, x + cell, y + cell)
-    tiles = tiles.select(key, "__cx", "__cy", F.struct("geom").alias("l"), "lb", F.struct(tile.alias("geom")).alias("r"), F.struct(x.alias("minx"), y.alias("miny"), (x + cell).alias("maxx"), (y + cell).alias("maxy")).alias("rb"), "boxes")
-    place = [key, "__cx", "__cy"]
-    cut = common(tiles).select(*place, F.col("part").alias("geom"))
-    united = united_by(cut.mapInPandas(gathered(place), cut.schema), place)
-    wide = united.withColumn("__cx", F.floor(F.col("__cx") / 8)).withColumn("__cy", F.floor(F.col("__cy") / 8))
-    united = united_by(united_by(wide, place), [key])
-    first = pieces.groupBy(key).agg(F.min("__fid").alias("first_fid"))
-    return united.join(first, key).join(zones.select(key, *carry), key).select(key, "geom", "first_fid", *carry)
-
-
-CUT = "geom array<array<double>>, reason string"
-
-
-def cut_by(features: DataFrame, tolerance: float):
-    """Tasks: each feature repaired and thinned and cut by one boundary polygon, or the reason why that can't be done."""
-
-    @F.pandas_udf(CUT)
-    def run(geom: pd.Series, edge: pd.Series) -> pd.DataFrame:
+    grain, place = C.snap_of(cell), [key, "cx", "cy"]
+    pieces = shared(cut(zones.select(key, "geom"), cell), cut(features.select(F.col(order).alias("first_fid"), "geom"), cell), cell)
+    pieces = pieces.select(F.col(f"l.{key}").alias(key), "cx", "cy", "r.first_fid", F.col("part").alias("geom"))
+    cells = united_by(pieces.mapInPandas(gathered(place, grain, "first_fid"), pieces.schema), place, grain, "first_fid")
+    out = widened(cells, [key], grain, "first_fid")
+    return (out.join(zones.select(key, *carry), key) if carry else out).select(key, "geom", "first_fid", *carry)
+
+
+CLEAN = "geom array<array<double>>, reason string"
+
+
+def cleaned(tolerance: float):
+    """Each polygon repaired and thinned, or the reason why that can't be done; null stays null."""
+
+    @F.pandas_udf(CLEAN)
+    def run(geom: pd.Series) -> pd.DataFrame:
         out = []
-        for g, e in zip(geom, edge, strict=True):
+        for g in geom:
             try:
-                rings = K.mended(G.rings_of(g))
-                out.append((G.flat(K.intersection(K.simplify(rings, tolerance), G.rings_of(e))), None) if rings else (None, "no polygon is left after repair"))
+                rings = [] if g is None else K.mended(G.rings_of(g))
+                out.append((G.flat(K.simplify(rings, tolerance)), None) if rings else (None, None if g is None else "no polygon is left after repair"))
             except Exception as error:  # one bad feature is a row of its own, not the end of the job
                 out.append((None, f"{type(error).__name__}: {error}"))
         return pd.DataFrame({"geom": pd.Series([g for g, _ in out], dtype=object), "reason": pd.Series([r for _, r in out], dtype=object)})
@@ -214,36 +322,84 @@ def cut_by(features: DataFrame, tolerance: float):
     return run
 
 
+def joined_parts(cell: float):
+    """The union of the parts of one feature in its cells, or the reason why there is none."""
+    grain = C.snap_of(cell)
+
+    @F.pandas_udf(CLEAN)
+    def run(parts: pd.Series) -> pd.DataFrame:
+        out = []
+        for p in parts:
+            try:
+                out.append((None if p is None else G.flat(K.straightened(K.union([G.rings_of(x) for x in p], grain))), None))
+            except Exception as error:
+                out.append((None, f"{type(error).__name__}: {error}"))
+        return pd.DataFrame({"geom": pd.Series([g for g, _ in out], dtype=object), "reason": pd.Series([r for _, r in out], dtype=object)})
+
+    return run
+
+
 def readable(geom: Column) -> Column:
     """Whether every ring is pairs of finite coordinates, four or more of them."""
     return F.forall(geom, lambda r: F.coalesce(r.isNotNull() & (F.size(r) % 2 == 0) & (F.size(r) >= 8) & F.forall(r, lambda v: F.coalesce(F.abs(v) < float("inf"), F.lit(False))), F.lit(False)))
 
 
-def clip(features: DataFrame, boundary: DataFrame, tolerance: float = 15.0, cell: float = 50_000.0, bins: int = 16) -> DataFrame:
+def boundary_cells(boundary: DataFrame, cell: float) -> DataFrame:
+    """(cx, cy, geom): what the rows of a boundary, repaired, have of each cell together; null for a whole cell.
+
+    Only cells of several pieces, none of them whole, are united.
+    """
+    grain, place = C.snap_of(cell), ["cx", "cy"]
+    pieces = staged(cut(boundary.select(G.repaired(F.col("geom")).alias("geom")), cell).select(*place, "geom"), "boundary-cells")
+    told = pieces.groupBy(*place).agg(F.count_if(F.col("geom").isNull()).alias("whole"), F.count("*").alias("n"), F.max("geom").alias("geom"))
+    done = told.filter("whole > 0 OR n = 1").select(*place, F.when(F.col("whole") == 0, F.col("geom")).alias("geom"))
+    several = pieces.join(told.filter("whole = 0 AND n > 1").select(*place), place, "left_semi")
+    united = united_by(several.mapInPandas(gathered(place, grain), several.schema), place, grain)
+    return done.unionByName(united.select(*place, F.when(G.area(F.col("geom")) < cell * cell * (1 - 1e-12), F.col("geom")).alias("geom")))
+
+
+def clip(features: DataFrame, boundary: DataFrame, tolerance: float = 15.0, cell: float = 50_000.0) -> DataFrame:
     """All columns of ``features``, ``geom`` cut to the union of all rows of the boundary, ``status`` and ``reason``.
 
-    Repair, thin, cut by each boundary polygon that a feature meets, unite in two
-    small steps. Status: empty, outside (by the boxes of all rows), no_area, ok, or
-    error with the reason, for a geometry that can't be read, mended or cut; no feature
-    ends the job. Equal rows are worked off once.
+    Features are repaired and thinned and written once, with an id. Their cells meet those
+    of the boundary, whose rows are united cell by cell; a feature all of whose cells are
+    whole ones of the boundary stays as it is, and the parts of others are united by
+    feature. So a boundary of any size is never in one task or row.
+
+    Status: empty, outside (of the box around the whole boundary), no_area, ok, or error
+    with the reason, for a geometry that can't be read, mended or cut; no feature ends the
+    job. Rows that repeat each other are features of their own.
     """
-    whole = F.struct(*[F.col(f"`{c}`") for c in features.columns])
-    rows = features.groupBy(whole.alias("row")).agg(F.count("*").alias("n"))
-    rows = rows.withColumn("bad", ~G.is_empty(F.col("row.geom")) & ~readable(F.col("row.geom")))
-    fine = rows.filter(~F.coalesce("bad", F.lit(False))).select("row", "n", F.col("row.geom").alias("geom"))
-    edge = boundary.select(G.repaired(F.col("geom")).alias("geom"))
-    pairs = spatial_join(fine, edge, cell)
-    cut = pairs.select("l.row", "l.n", F.pmod(F.xxhash64("r.geom"), F.lit(bins)).alias("bin"), cut_by(features, tolerance)("l.geom", "r.geom").alias("cut"))
-    cut = cut.select("row", "n", "bin", "cut.geom", "cut.reason")
-    shares = cut.groupBy("row", "n", "bin").agg(G.united(F.collect_list("geom")).alias("geom"), F.max("reason").alias("reason")).drop("bin")
-    none = F.lit(None).cast("string")
-    unread = F.when(F.col("bad"), "a ring is not four or more pairs of finite coordinates")
-    every = shares.unionByName(rows.select("row", "n", F.lit(None).cast(G.RINGS).alias("geom"), unread.alias("reason")))
-    out = every.groupBy("row", "n").agg(F.count("geom").alias("met"), G.united(F.collect_list("geom")).alias("cut"), F.max("reason").alias("reason"))
-    status = F.when(F.col("reason").isNotNull(), "error").when(G.is_empty(F.col("row.geom")), "empty").when(F.col("met") == 0, "outside").when(G.area(F.col("cut")) > 0, "ok").otherwise("no_area")
-    kept = [F.col("row").getField(c).alias(c) for c in features.columns if c not in ("geom", "status", "reason")]
-    out = out.withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
-    return out.select(*kept, F.when(status == "ok", F.col("cut")).alias("geom"), status.alias("status"), F.coalesce("reason", none).alias("reason"))
+    g = F.col("row.geom")
+    rows = features.select(F.struct(*[F.col(f"`{c}`") for c in features.columns]).alias("row"), F.monotonically_increasing_id().alias("id"))
+    rows = rows.withColumn("bad", ~G.is_empty(g) & ~F.coalesce(readable(g), F.lit(False)))
+    box = G.is_box(g) & (G.ring_area(F.get(g, F.lit(0))) > 0)
+    made = cleaned(tolerance)(F.when(~F.col("bad") & ~G.is_empty(g) & ~box, g))
+    unread = F.lit("a ring is not four or more pairs of finite coordinates")
+    rows = rows.select("row", "id", "bad", F.when(~F.col("bad") & box, F.struct(g.alias("geom"), F.lit(None).cast("string").alias("reason"))).otherwise(made).alias("clean"))
+    rows = staged(rows.select("row", "id", F.col("clean.geom").alias("geom"), F.when(F.col("bad"), unread).otherwise(F.col("clean.reason")).alias("reason")), "clip")
+    edge = boundary_cells(boundary, cell).select("cx", "cy", F.col("geom").alias("edge"), F.lit(True).alias("met"))
+    ends = boundary.filter(~G.is_empty(F.col("geom"))).select(G.bounds(F.col("geom")).alias("b"))
+    ends = ends.agg(F.min("b.minx").alias("minx"), F.min("b.miny").alias("miny"), F.max("b.maxx").alias("maxx"), F.max("b.maxy").alias("maxy"))  # one row
+    pairs = cut(rows.select("id", "geom"), cell).join(edge, ["cx", "cy"])
+    x1, y1, x2, y2 = cell_box(cell, F.col("cx"), F.col("cy"))
+    both = F.col("geom").isNotNull() & F.col("edge").isNotNull()
+    lone = F.coalesce("geom", "edge", G.box(x1, y1, x2, y2))
+    part = F.when(both, cut_by(cell)(F.when(both, F.col("geom")), F.when(both, F.col("edge")))).otherwise(lone)
+    pairs = pairs.select("id", "cells", F.col("edge").isNull().alias("whole"), part.alias("part"))
+    # A feature's parts are no more than the feature and the boundary have in its own cells.
+    parts = pairs.groupBy("id").agg((F.count_if("whole") == F.first("cells")).alias("inside"), F.collect_list("part").alias("parts"))
+    parts = parts.select("id", "inside", joined_parts(cell)(F.when(~F.col("inside"), F.col("parts"))).alias("cut"))
+    parts = parts.select("id", "inside", F.col("cut.geom").alias("part"), F.col("cut.reason").alias("failed"))
+    out = rows.join(parts, "id", "left").crossJoin(F.broadcast(ends))
+    kept = F.when(F.col("inside"), F.col("geom")).otherwise(F.col("part"))
+    reason = F.coalesce("reason", "failed")
+    b = G.bounds(g)
+    beyond = F.coalesce((b["maxx"] < F.col("minx")) | (b["minx"] > F.col("maxx")) | (b["maxy"] < F.col("miny")) | (b["miny"] > F.col("maxy")), F.lit(True))
+    status = F.when(reason.isNotNull(), "error").when(G.is_empty(g), "empty").when(beyond, "outside").when(G.area(kept) > 0, "ok").otherwise("no_area")
+    out = out.select("row", kept.alias("kept"), status.alias("status"), reason.alias("reason"))
+    plain = [F.col("row").getField(c).alias(c) for c in features.columns if c not in ("geom", "status", "reason")]
+    return out.select(*plain, F.when(F.col("status") == "ok", F.col("kept")).alias("geom"), "status", "reason")
 
 
 def counted(clipped: DataFrame) -> DataFrame:
@@ -252,10 +408,10 @@ def counted(clipped: DataFrame) -> DataFrame:
 
 
 def boundary_union(boundary: DataFrame, cell: float) -> DataFrame:
-    """(geom): the union of all rows, repaired; tiles are united first, as in ``dissolve``. It is an error if nothing is left."""
-    whole = boundary.select(F.lit(0).alias("zone"), "geom")
-    mended = whole.withColumn("geom", G.repaired(F.col("geom"))).filter(~G.is_empty(F.col("geom")))
-    out = united_by(mended.mapInPandas(gathered(["zone"]), mended.schema), ["zone"]).select("geom")
+    """(geom): the union of all rows, repaired, cell by cell, then by blocks of cells. It is an error if nothing is left."""
+    x1, y1, x2, y2 = cell_box(cell, F.col("cx"), F.col("cy"))
+    cells = boundary_cells(boundary, cell).select(F.lit(0).alias("zone"), "cx", "cy", F.coalesce("geom", G.box(x1, y1, x2, y2)).alias("geom"))
+    out = staged(widened(cells, ["zone"], C.snap_of(cell)).select("geom"), "boundary")
     if out.isEmpty():
         raise ValueError("the boundary has no polygon")
     return out

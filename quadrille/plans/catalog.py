@@ -14,6 +14,8 @@ from quadrille.plans import fixtures as X
 from quadrille.plans import values as V
 from quadrille.plans.combine import Group, combine_results
 from quadrille.sources import files, geopackage
+from quadrille.sources import rasters as RF
+from quadrille.sources.staging import new_path
 
 # SQL of the fixtures.
 ZONES = "zones AS (SELECT lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS geoid, CAST(n_nationkey % 5 AS DOUBLE) * 200 AS x1, CAST(n_nationkey // 5 AS DOUBLE) * 200 AS y1 FROM nation)"
@@ -81,7 +83,7 @@ def triangle_overlay(spark, d):
 @query("""WITH f AS (SELECT p_partkey AS fid, (p_partkey * 37) % 1000 AS x1, (p_partkey * 91) % 1000 AS y1, p_size AS s, p_partkey % 50 = 7 AS bad FROM part),
 b AS (SELECT * FROM (VALUES (0, 0, 500, 300), (0, 300, 500, 500), (700, 700, 800, 900)) t(bx1, by1, bx2, by2)),
 m AS (SELECT fid, greatest(0, least(bx2, x1 + s) - greatest(bx1, x1))::DOUBLE * greatest(0, least(by2, y1 + s) - greatest(by1, y1)) AS a FROM f JOIN b ON bx1 <= x1 + s AND bx2 >= x1 AND by1 <= y1 + s AND by2 >= y1)
-SELECT fid, CASE WHEN any_value(bad) THEN 'error' WHEN count(a) = 0 THEN 'outside' WHEN sum(a) > 0 THEN 'ok' ELSE 'no_area' END AS status, round(CASE WHEN any_value(bad) THEN 0 ELSE coalesce(sum(a), 0) END, 4) AS area FROM f LEFT JOIN m USING (fid) GROUP BY fid""")
+SELECT fid, CASE WHEN any_value(bad) THEN 'error' WHEN any_value(x1) > 800 OR any_value(y1) > 900 THEN 'outside' WHEN sum(a) > 0 THEN 'ok' ELSE 'no_area' END AS status, round(CASE WHEN any_value(bad) THEN 0 ELSE coalesce(sum(a), 0) END, 4) AS area FROM f LEFT JOIN m USING (fid) GROUP BY fid""")
 def clip_to_boundary(spark, d):
     """A boundary of three rows, and features one of fifty of which has a broken ring."""
     edge = spark.createDataFrame([(0, 0, 500, 300), (0, 300, 500, 500), (700, 700, 800, 900)], "x1 int, y1 int, x2 int, y2 int")
@@ -184,6 +186,52 @@ def value_raster(spark, d):
     return count.crossJoin(F.broadcast(totals)).crossJoin(F.broadcast(R.weighted_total(R.masked(tiles, mask), grid).select(F.round("total", 4).alias("masked_total"))))
 
 
+@query(f"""WITH {PIXELS}, g AS (SELECT greatest(100, coalesce(max(event_id), -1) // 100 + 1) AS h FROM events),
+cells AS (SELECT i // 100 AS r, i % 100 AS c, h FROM (SELECT unnest(range(h * 100)) AS i, h FROM g))
+SELECT CAST(c // 32 * 32 AS INTEGER) AS xoff, CAST(r // 32 * 32 AS INTEGER) AS yoff, CAST(least(32, 100 - c // 32 * 32) AS INTEGER) AS w, CAST(least(32, any_value(h) - r // 32 * 32) AS INTEGER) AS h, count(v) AS valid, round(coalesce(sum(v), 0), 4) AS total
+FROM cells LEFT JOIN pixels USING (r, c) GROUP BY c // 32, r // 32""")
+def raster_file(spark, d):
+    """Events as pixels of a GeoTIFF, written and read back, tile by tile."""
+    grid = X.event_grid(spark, d)
+    path = RF.write_raster(X.raster(spark, d, grid), grid, f"{new_path(spark, 'raster')}/events.tif", "float64", -9999, 5070, "deflate", predictor=3)
+    valid = F.filter("data", lambda v: v.isNotNull())
+    total = F.aggregate(valid, F.lit(0.0), lambda s, v: s + v)
+    return RF.read_raster(spark, path).select("xoff", "yoff", "w", "h", F.size(valid).cast("long").alias("valid"), F.round(total, 4).alias("total"))
+
+
+@query(f"""WITH {PIXELS}, g AS (SELECT greatest(100, coalesce(max(event_id), -1) // 100 + 1) * 100 AS n FROM events),
+k AS (SELECT CAST((r * 7 + c) % 5 AS INTEGER) AS v FROM pixels), m AS (SELECT * FROM (VALUES ('forests', 1, 0), ('wetlands', 3, 2)) m(mask, one, zero))
+SELECT mask, 'uint8' AS dtype, CAST(255 AS DOUBLE) AS nodata, CAST(any_value(n) // 3200 + CAST(any_value(n) % 3200 > 0 AS INTEGER) AS BIGINT) * 4 AS blocks, count(*) FILTER (WHERE v = one) AS ones, count(*) FILTER (WHERE v = zero) AS zeros, CAST(any_value(n) - count(*) FILTER (WHERE v IN (one, zero)) AS BIGINT) AS no_data
+FROM k, m, g GROUP BY mask""")
+def mask_files(spark, d):
+    """A class raster in a file, and a mask file for each reclass table out of one scan of it."""
+    grid, folder = X.event_grid(spark, d), new_path(spark, "masks")
+    classes = X.pixels(spark, d).withColumn("value", (F.col("row") * 7 + F.col("col")) % 5)
+    path = RF.write_raster(R.tiles_of(classes, grid), grid, f"{folder}/classes.tif", "uint8", 200, 5070, "lzw")
+    made = RF.write_masks(spark, path, {"forests": {1: 1, 0: 0}, "wetlands": {3: 1, 2: 0}}, folder)
+    out = []
+    for name, mask in made.items():
+        count = lambda f, a: F.sum(F.size(F.filter("data", f))).cast("long").alias(a)
+        counts = RF.read_raster(spark, mask).agg(count(lambda v: v == 1, "ones"), count(lambda v: v == 0, "zeros"), count(lambda v: v.isNull(), "no_data"))
+        out.append(RF.raster_info(spark, mask).select(F.lit(name).alias("mask"), "dtype", "nodata", "blocks").crossJoin(counts))
+    return out[0].unionByName(out[1])
+
+
+@query(f"""WITH {FEATURES}, hit AS (SELECT r, c, arg_max(v, fid) AS v FROM features f JOIN (SELECT i // 100 AS r, i % 100 AS c FROM range(10000) t(i)) g
+ON (c + 0.5) * 10 >= x1 AND (c + 0.5) * 10 < x1 + s AND (r + 0.5) * 10 >= y1 AND (r + 0.5) * 10 < y1 + s GROUP BY r, c)
+SELECT CAST(16 AS BIGINT) AS tiles, round(coalesce(sum(v) FILTER (WHERE (r + c) % 2 = 0), 0) * 0.01, 4) AS total FROM hit""")
+def value_raster_file(spark, d):
+    """Polygons burnt into a file like that of a mask, then masked in place, and its total."""
+    grid, folder = X.grid(), new_path(spark, "values")
+    cells = spark.range(grid.width * grid.height).select(F.floor(F.col("id") / grid.width).cast("int").alias("row"), (F.col("id") % grid.width).cast("int").alias("col"))
+    mask = RF.write_raster(R.tiles_of(cells.withColumn("value", ((F.col("row") + F.col("col")) % 2 == 0).cast("int")), grid), grid, f"{folder}/mask.tif", "uint8", 255, 5070)
+    like = RF.raster_grid(mask)
+    path = RF.write_raster(R.burn(X.features(spark, d), like, "p_retailprice", "fid"), like, f"{folder}/values.tif", "float64", -9999, 5070, "lzw")
+    RF.write_raster(R.masked(RF.read_raster(spark, path), RF.read_raster(spark, mask)), like, path, "float64", -9999, 5070, "lzw", overwrite=True)
+    tiles = RF.read_raster(spark, path)
+    return tiles.agg(F.count("*").alias("tiles")).crossJoin(F.broadcast(R.weighted_total(tiles, like).select(F.round("total", 4).alias("total"))))
+
+
 ALBERS = f"{G.A} * sqrt({G.CONST} - {G.CONE} * q) / {G.CONE}"
 
 
@@ -247,10 +295,18 @@ def value_totals(spark, d):
     return out.select(*[F.round(c, 6 if c == "percent" else 4).alias(c) for c in out.columns])
 
 
-@query("SELECT c_custkey AS fid, CAST(row_number() OVER (ORDER BY c_acctbal, c_custkey) AS BIGINT) AS row_no FROM customer")
+@query("SELECT l_orderkey, l_linenumber, CAST(row_number() OVER (ORDER BY l_extendedprice, l_orderkey, l_linenumber, l_partkey) AS BIGINT) AS row_no FROM lineitem")
 def row_numbers(spark, d):
-    rows = X.table(spark, d, "customer").select(F.col("c_custkey").alias("fid"), F.struct("c_acctbal", "c_custkey").alias("at"))
-    return files.numbered(rows, "at").select("fid", "row_no")
+    rows = X.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey")
+    return files.numbered(rows, ["l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey"]).select("l_orderkey", "l_linenumber", "row_no")
+
+
+@query(f"WITH {ZONES}, {FEATURES}, {OVERLAP}, met AS (SELECT z.geoid, count(*) AS pairs FROM zones z JOIN features f ON f.x1 <= z.x1 + 200 AND f.x1 + s >= z.x1 AND f.y1 <= z.y1 + 200 AND f.y1 + s >= z.y1 GROUP BY z.geoid) SELECT geoid, pairs, (SELECT round(coalesce(sum(a), 0) / 1e4, 6) FROM overlap o WHERE o.geoid = met.geoid) AS intersect_area_ha FROM met")
+def large_zones(spark, d):
+    """Zones of 1600 cells against features of one to a hundred: pairs of both levels, and areas out of cells, most of them whole."""
+    zones, features = X.zones(spark, d), X.features(spark, d)
+    pairs = S.spatial_join(zones, features, 5.0).groupBy(F.col("l.geoid").alias("geoid")).agg(F.count("*").alias("pairs"))
+    return pairs.join(S.overlay_area(zones, features, "geoid", 5.0), "geoid").select("geoid", "pairs", F.round("intersect_area_ha", 6).alias("intersect_area_ha"))
 
 
 @query("SELECT p_partkey AS fid, round(p_size * p_size / 2.0, 3) AS area FROM part")

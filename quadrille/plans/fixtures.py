@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quadrille.functions import geometry as G
 from quadrille.operators.rasters import Grid, tiles_of
+from quadrille.sources.staging import scratch
 
 CELL = 50.0
 
@@ -18,17 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession) -> str:
-    """A folder that driver and executors share: the session's checkpoint folder; a local one only where the session is local."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        named = tempfile.mkdtemp(prefix="quadrille-")
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
 def zones(spark: SparkSession, sf_dir: str, height: float = 200.0) -> DataFrame:
     """25 boxes of width 200 with text keys."""
     n = F.col("n_nationkey")

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from quadrille.sources.staging import staged
+
 
 def listing(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """(path, folder, stem, suffix, mtime, position) of the files in a folder, or in its subfolders for patterns like ``*/*.csv``.
@@ -23,12 +25,17 @@ def listing(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     return numbered(rows, "path", "position")
 
 
-def numbered(df: DataFrame, order: str, column: str = "row_no") -> DataFrame:
-    """Add the 1-based place of each row in the order of ``order``, out of a sort by ranges and the ranges' sizes; no task holds the table."""
+def numbered(df: DataFrame, order: str | list[str], column: str = "row_no") -> DataFrame:
+    """Add the 1-based place of each row in the order of ``order`` (rows that tie in any order), out of a sort by ranges and the ranges' sizes.
+
+    The sorted rows are written once, with the task that wrote them and their place in it,
+    and sizes and rows are both read from there: another run of the sort would deal them
+    out anew. The sizes are a row a task; no task holds the table.
+    """
     spark = df.sparkSession
-    laid = df.orderBy(order).withColumn("__id", F.monotonically_increasing_id())
+    laid = staged(df.orderBy(*([order] if isinstance(order, str) else order)).withColumn("__id", F.monotonically_increasing_id()), "numbered")
     part = F.shiftright("__id", 33)
-    sizes = {r[0]: r[1] for r in laid.groupBy(part.alias("p")).count().collect()}  # a row a partition
+    sizes = {r[0]: r[1] for r in laid.groupBy(part.alias("p")).count().collect()}
     before, starts = 0, []
     for p in sorted(sizes):
         starts.append((p, before))
@@ -38,6 +45,12 @@ def numbered(df: DataFrame, order: str, column: str = "row_no") -> DataFrame:
     return placed.withColumn(column, F.col("__before") + F.col("__id").bitwiseAND((1 << 33) - 1) + 1).drop("__p", "__before", "__id")
 
 
+def reindexed(left: DataFrame, right: DataFrame, key: str, order: str) -> DataFrame:
+    """The rows of ``right`` numbered as their keys stand in ``left``, sorted by ``order``; keys that ``left`` lacks go, keys that ``right`` lacks get nulls."""
+    places = numbered(left.select(key, order), order)
+    return places.select(key, "row_no").join(right, key, "left")
+
+
 def chunked(df: DataFrame, order: str, size: int = 100) -> DataFrame:
     """Add ``chunk``: rows in order, ``size`` to a chunk, from 0."""
     return numbered(df, order, "__no").withColumn("chunk", F.floor((F.col("__no") - 1) / size)).drop("__no")

@@ -1,4 +1,4 @@
-"""A boundary of several rows: all of them count, and where they overlap once."""
+"""A boundary of several rows: all of them count, and where they overlap once; outside is what the box around them all leaves out."""
 
 from pyspark.sql import functions as F
 
@@ -9,7 +9,7 @@ from quadrille.operators.spatial import clip
 def test_all_rows_of_the_boundary(spark):
     box = lambda x1, y1, x2, y2: [[float(v) for v in (x1, y1, x2, y1, x2, y2, x1, y2, x1, y1)]]
     edge = spark.createDataFrame([(box(0, 0, 10, 10),), (box(5, 0, 20, 10),), (box(100, 100, 110, 110),)], "geom array<array<double>>")
-    rows = [(1, box(2, 2, 18, 4)), (2, box(101, 101, 103, 103)), (3, box(50, 50, 51, 51)), (4, box(20, 0, 22, 10)), (5, None), (6, box(15, 5, 105, 105)), (1, box(2, 2, 18, 4))]
+    rows = [(1, box(2, 2, 18, 4)), (2, box(101, 101, 103, 103)), (3, box(50, 50, 51, 51)), (4, box(20, 0, 22, 10)), (7, box(111, 0, 112, 1)), (5, None), (6, box(15, 5, 105, 105)), (1, box(2, 2, 18, 4))]
     got = clip(spark.createDataFrame(rows, "fid long, geom array<array<double>>"), edge, tolerance=0.01, cell=10.0)
     got = sorted((r["fid"], r["status"], round(r["a"], 6)) for r in got.withColumn("a", G.area(F.col("geom"))).collect())
-    assert got == [(1, "ok", 32.0), (1, "ok", 32.0), (2, "ok", 4.0), (3, "outside", 0.0), (4, "no_area", 0.0), (5, "empty", 0.0), (6, "ok", 50.0)]
+    assert got == [(1, "ok", 32.0), (1, "ok", 32.0), (2, "ok", 4.0), (3, "no_area", 0.0), (4, "no_area", 0.0), (5, "empty", 0.0), (6, "ok", 50.0), (7, "outside", 0.0)]

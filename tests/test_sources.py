@@ -90,3 +90,17 @@ def test_listing(spark, tmp_path):
         (tmp_path / name).write_text("x")
     got = files.listing(spark, str(tmp_path), "*.csv").collect()
     assert sorted((r["position"], r["stem"], r["suffix"]) for r in got) == [(1, "a", ".csv"), (2, "b_20260101_000000", ".csv")]
+
+
+def test_numbers_of_many_rows_have_no_gap(spark):
+    """Wide rows in several sorted partitions: a second run of the sort would deal them out anew."""
+    n = 600_000
+    rows = spark.range(n).select((F.col("id") * 7919 % n).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("wide"), F.rand(1).alias("other")).repartition(16)
+    out = files.numbered(rows, "k")
+    got = out.agg(F.count("*"), F.countDistinct("row_no"), F.min("row_no"), F.max("row_no"), F.count_if(F.col("row_no") != F.col("k") + 1)).first()
+    assert tuple(got) == (n, n, 1, n, 0)
+    chunks = files.chunked(rows.select("k"), "k", 1000).groupBy("chunk").count()
+    assert tuple(chunks.agg(F.count("*"), F.min("count"), F.max("count")).first()) == (600, 1000, 1000)
+    left = spark.createDataFrame([("b", 2), ("a", 3), ("c", 1)], "key string, at int")
+    right = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("x", 9.0)], "key string, v double")
+    assert sorted(map(tuple, files.reindexed(left, right, "key", "at").collect()), key=lambda r: r[1]) == [("c", 1, None), ("b", 2, 2.0), ("a", 3, 1.0)]
