@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+
+from quadrille.sources.staging import staged
 
 # Codes of the protected-area inventory; fixed values.
 NO_ACCESS, PRIVATE_OWNERS, MILITARY_NAMES, MILITARY_TYPES = ["XA"], ["PVT"], ["DOD", "DOE"], ["MIL"]
@@ -67,47 +65,6 @@ def repeated_keys(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.withColumn("nth", F.row_number().over(W.partitionBy(key).orderBy(order))).filter("nth > 1")
 
 
-def batches(df: DataFrame, group: str, order: str, weight: str, limit: int) -> DataFrame:
-    """Add ``batch``: rows in order, a new batch once the weights of one reach ``limit`` (a row weighs 1 at least).
-
-    A fold over the sorted rows of each partition that carries one batch's sum from one
-    Arrow batch to the next, so a task's memory doesn't grow with a group. The rows of
-    one group pass through one task, since each batch starts where the last one ends.
-    """
-    schema = StructType([*df.schema.fields, StructField("batch", LongType())])
-    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism)
-
-    def fold(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, total, batch = None, 0, 0
-        for part in parts:
-            if not len(part):
-                continue
-            groups = part[group].to_numpy()
-            w = np.maximum(part[weight].fillna(1).to_numpy(np.int64), 1)
-            out = np.zeros(len(part), np.int64)
-            cuts = [0, *(np.flatnonzero(groups[1:] != groups[:-1]) + 1).tolist(), len(part)]
-            for a, e in zip(cuts[:-1], cuts[1:], strict=True):
-                if at is None or groups[a] != at[0]:
-                    at, total, batch = (groups[a],), 0, 0
-                sums = np.cumsum(w[a:e])
-                before = -total
-                while a < e:
-                    full = int(np.searchsorted(sums, before + limit)) + cuts_start(sums, e) + 1
-                    end = min(full, e)
-                    out[a:end] = batch
-                    if full <= e:
-                        before, total, batch = int(sums[end - 1 - cuts_start(sums, e)]), 0, batch + 1
-                    else:
-                        total = int(sums[-1]) - before
-                    a = end
-            yield part.assign(batch=out)
-
-    def cuts_start(sums: np.ndarray, end: int) -> int:
-        return end - len(sums)
-
-    return df.repartition(tasks, group).sortWithinPartitions(group, order).mapInPandas(fold, schema)
-
-
 STAMP = r"(\d{8}_\d{6}|\d{4}(_\d{2}){5})$"
 
 
@@ -127,39 +84,43 @@ def newest(files: DataFrame) -> DataFrame:
 def combine(frames: list[tuple[str, DataFrame]], key: str, ignore: tuple[str, ...] = ()) -> DataFrame:
     """Tables with the same keys side by side; shared columns have to agree.
 
-    Each table is checked against what is combined so far: keys missing on either
-    side and shared columns that differ (nulls and NaN being equal) are errors that
-    name up to ten keys. Only those examples reach the driver.
+    The tables are stacked, each row as the struct of its table, and grouped by key once,
+    whatever their number; what comes out is written, and all checks are sums over it:
+    keys that repeat, that a table lacks (a null key has no partner), and shared columns
+    that differ from the first table with them (nulls and NaN being equal). Errors name
+    up to ten keys, in order; only those reach the driver.
     """
-    name, out = frames[0]
-    for label, df in frames:
-        twice = [r[0] for r in df.groupBy(key).count().filter("count > 1").limit(10).collect()]
-        if twice:
-            raise ValueError(f"{label}: repeated keys {twice}")
-    for label, df in frames[1:]:
-        for have, other, side in ((out, df, label), (df, out, name)):
-            lost = [r[0] for r in have.join(other, key, "left_anti").select(key).limit(10).collect()]
-            if lost:
-                raise ValueError(f"{label}: keys without a partner in {side}: {lost}")
-        shared = sorted(set(out.columns) & set(df.columns) - {key, *ignore})
-        both = out.alias("a").join(df.alias("b"), key)
-        same = lambda c: F.col(f"a.`{c}`").eqNullSafe(F.col(f"b.`{c}`"))
-        if shared:
-            differ = both.agg(*[F.bool_and(nan_null(df, c, same(c))).alias(c) for c in shared]).first()
-            wrong = [c for c in shared if differ[c] is False]
-            if wrong:
-                raise ValueError(f"{label}: columns that differ: {wrong}")
-        fresh = [c for c in df.columns if c not in out.columns]
-        out = out.join(df.select(key, *fresh), key)
-    return out
-
-
-def nan_null(df: DataFrame, column: str, same: Column) -> Column:
-    """NaN and null count as equal in columns of floating-point numbers."""
-    if dict(df.dtypes)[column] not in ("double", "float"):
-        return same
-    missing = lambda c: c.isNull() | F.isnan(c)
-    return same | (missing(F.col(f"a.`{column}`")) & missing(F.col(f"b.`{column}`")))
+    rest = [[c for c in df.columns if c != key] for _, df in frames]
+    whole = lambda df, i: F.struct(F.lit(True).alias("__in"), *[F.col(f"`{c}`") for c in rest[i]])
+    kinds = [df.select(whole(df, i).alias("s")).schema["s"].dataType for i, (_, df) in enumerate(frames)]
+    rows = [df.select(key, *[(whole(df, i) if i == k else F.lit(None).cast(kinds[k])).alias(f"__{k}") for k in range(len(frames))]) for i, (_, df) in enumerate(frames)]
+    met = reduce(DataFrame.union, rows).groupBy(key).agg(*[F.count(f"__{k}").alias(f"__n{k}") for k in range(len(frames))], *[F.first(f"__{k}", ignorenulls=True).alias(f"__{k}") for k in range(len(frames))])
+    met = staged(met, "combined")
+    has = lambda k: (F.col(f"__n{k}") > 0) & F.col(key).isNotNull()
+    checks = [(f"{label}: repeated keys", F.col(f"__n{k}") > 1) for k, (label, _) in enumerate(frames)]
+    source = dict.fromkeys(rest[0], 0)
+    for k, (label, df) in enumerate(frames[1:], 1):
+        checks.append((f"{label}: keys without a partner in {label}", (F.col("__n0") > 0) & ~has(k)))
+        checks.append((f"{label}: keys without a partner in {frames[0][0]}", (F.col(f"__n{k}") > 0) & ~has(0)))
+        for c in sorted(set(source) & set(rest[k]) - set(ignore)):
+            a, b = F.col(f"__{source[c]}")[c], F.col(f"__{k}")[c]
+            checks.append((f"{label}: columns that differ: {c}", has(k) & ~same_value(a, b, dict(df.dtypes)[c])))
+        source |= {c: k for c in rest[k] if c not in source}
+    counts = met.agg(*[F.count_if(wrong).alias(f"c{n}") for n, (_, wrong) in enumerate(checks)]).first()
+    for n, (message, wrong) in enumerate(checks):
+        if counts[f"c{n}"]:
+            examples = [r[0] for r in met.filter(wrong).select(key).orderBy(key).limit(10).collect()]
+            raise ValueError(f"{message} {examples}")
+    columns = [c for c in frames[0][1].columns if c == key or source[c] == 0] + [c for c, k in source.items() if k]
+    return met.select(*[F.col(key) if c == key else F.col(f"__{source[c]}")[c].alias(c) for c in columns])
+
+
+def same_value(a: Column, b: Column, kind: str) -> Column:
+    """Equality under which nulls are equal and, in columns of floating-point numbers, NaN is null."""
+    if kind not in ("double", "float"):
+        return a.eqNullSafe(b)
+    plain = lambda c: F.when(~F.isnan(c), c)
+    return plain(a).eqNullSafe(plain(b))
 
 
 def class_areas(df: DataFrame, classes: list[str], area_prefix: str = "area_ha_valid_reclassified_NLCD2023_", share_prefix: str = "proportion_valid_nonzero_reclassified_NLCD2023_") -> DataFrame:

@@ -66,15 +66,21 @@ def spatial_join(left: DataFrame, right: DataFrame, cell: float, exact: bool = F
     return pairs.filter("boxes").unionByName(pairs.filter("NOT boxes").filter(G.intersects("l.geom", "r.geom")))
 
 
-CELLS = "array<struct<first:int,last:int,cy:int,geom:array<array<double>>>>"
+CELLS = "array<struct<first:int,last:int,cy:int,b:struct<minx:double,miny:double,maxx:double,maxy:double>,geom:array<array<double>>>>"
 LINES = "array<struct<cx:int,cy:int,line:array<double>>>"
+ENDS = ("minx", "miny", "maxx", "maxy")
 
 
 def cut_polygons(cell: float):
+    def told(first: int, last: int, cy: int, part: K.Rings | None) -> dict:
+        if part is None:
+            return {"first": first, "last": last, "cy": cy, "b": None, "geom": None}
+        p = np.vstack(part)
+        return {"first": first, "last": last, "cy": cy, "b": dict(zip(ENDS, [*p.min(axis=0).tolist(), *p.max(axis=0).tolist()], strict=True)), "geom": G.flat(part)}
+
     @F.pandas_udf(CELLS)
     def run(geom: pd.Series) -> pd.Series:
-        made = lambda g: [{"first": a, "last": e, "cy": j, "geom": None if p is None else G.flat(p)} for a, e, j, p in C.cut(G.rings_of(g), cell)]
-        return pd.Series([None if g is None else made(g) for g in geom], dtype=object)
+        return pd.Series([None if g is None else [told(*c) for c in C.cut(G.rings_of(g), cell)] for g in geom], dtype=object)
 
     return run
 
@@ -93,51 +99,41 @@ def cell_box(cell: float, cx: Column, cy: Column) -> tuple[Column, Column, Colum
 
 
 def cut(df: DataFrame, cell: float) -> DataFrame:
-    """A row for each cell that ``geom`` covers some of: the other columns, cx, cy, ``cells`` (how many the row has) and ``geom``, its piece, or null for a whole cell.
+    """A row for each cell that ``geom`` covers some of: the other columns, cx, cy, ``cells`` (how many the row has), ``whole``, the bounds ``b`` of its piece, and ``geom``, the piece, or null where it is the box ``b``.
 
     Boxes are cut by built-in expressions, other polygons by one pass of Python, each
     once. So no later step carries or overlays more of a polygon than one cell holds,
-    and whole cells need no overlay at all. Whole cells are runs at first, so what is in
+    and whole cells need no overlay at all. Cells are runs at first, so what is in
     memory at once goes with the outline of a polygon, not with its area; each becomes
     a narrow row, so cells are best about as large as the smaller geometries. Null and
     empty geometries have no cells.
     """
     rest = [F.col(f"`{c}`") for c in df.columns if c != "geom"]
-    told = F.inline(F.array(F.struct(G.bounds(F.col("geom")).alias("__b"), (G.is_box(F.col("geom")) & (G.ring_area(F.get("geom", F.lit(0))) > 0)).alias("__q"))))
-    rows = df.filter(~G.is_empty(F.col("geom"))).select(*rest, "geom", told)
-    b = F.col("__b")
-    floor, ceil = (lambda c, f=f: f(b[c] / cell).cast("int") for f in (F.floor, F.ceil))
-    low, high = (lambda k: floor(f"min{k}")), (lambda k: F.greatest(floor(f"min{k}"), ceil(f"max{k}") - 1))  # the cells from first to last
-    inner, outer = ceil("minx"), floor("maxx") - 1  # those that are whole from left to right
-
-    def piece(i: Column, j: Column) -> Column:
-        x1, y1, x2, y2 = cell_box(cell, i, j)
-        part = G.box(F.greatest(b["minx"], x1), F.greatest(b["miny"], y1), F.least(b["maxx"], x2), F.least(b["maxy"], y2))
-        return F.struct(i.alias("first"), i.alias("last"), j.alias("cy"), part.alias("geom"))
-
-    def row(j: Column) -> Column:
-        none = F.array().cast(CELLS)
-        run = F.struct(inner.alias("first"), outer.alias("last"), j.alias("cy"), F.lit(None).cast(G.RINGS).alias("geom"))
-        left, right = F.when(inner > low("x"), F.array(piece(low("x"), j))).otherwise(none), F.when((high("x") > outer) & (high("x") >= inner), F.array(piece(high("x"), j))).otherwise(none)
-        through = F.concat(left, F.when(inner <= outer, F.array(run)).otherwise(none), right)
-        return F.when((b["miny"] <= j * cell) & (b["maxy"] >= (j + 1) * cell), through).otherwise(F.transform(F.sequence(low("x"), high("x")), lambda i: piece(i, j)))
-
-    boxes = F.flatten(F.transform(F.sequence(low("y"), high("y")), row))
-    others = cut_polygons(cell)(F.when(~F.col("__q"), F.col("geom")))
-    rows = rows.select(*rest, F.when(F.col("__q"), boxes).otherwise(others).alias("__cells"))
+    ring = F.get("geom", F.lit(0))
+    end = lambda f, k: f(F.get(ring, F.lit(k)), F.get(ring, F.lit(k + 4)))
+    corners = F.struct(*[end(f, k).alias(c) for c, (f, k) in zip(ENDS, ((F.least, 0), (F.least, 1), (F.greatest, 0), (F.greatest, 1)), strict=True)])
+    box = G.is_box(F.col("geom")) & (G.ring_area(ring) > 0)
+    rows = df.filter(~G.is_empty(F.col("geom"))).select(*rest, "geom", F.inline(F.array(F.struct(box.alias("__q"), F.when(box, corners).alias("__b")))))
+    b, q = F.col("__b"), F.col("__q")
+    low = lambda k: F.floor(b[f"min{k}"] / cell).cast("int")
+    high = lambda k: F.greatest(low(k), (F.ceil(b[f"max{k}"] / cell) - 1).cast("int"))
+    none = F.lit(None).cast(f"struct<{','.join(f'{c}:double' for c in ENDS)}>")
+    runs = F.transform(F.sequence(low("y"), high("y")), lambda j: F.struct(low("x").alias("first"), high("x").alias("last"), j.alias("cy"), none.alias("b"), F.lit(None).cast(G.RINGS).alias("geom")))
+    others = cut_polygons(cell)(F.when(~q, F.col("geom")))
+    rows = rows.select(*rest, q, b, F.when(q, runs).otherwise(others).alias("__cells"))
     count = F.aggregate("__cells", F.lit(0), lambda n, c: n + c["last"] - c["first"] + 1)
-    rows = rows.select(*rest, count.alias("cells"), F.inline("__cells"))
-    return rows.select(*rest, "cells", F.explode(F.sequence("first", "last")).alias("cx"), "cy", "geom")
+    rows = rows.select(*rest, q, b, count.alias("cells"), F.inline("__cells"))
+    rows = rows.select(*rest, q, b, "cells", F.explode(F.sequence("first", "last")).alias("cx"), "cy", "b", "geom")
+    x1, y1, x2, y2 = cell_box(cell, F.col("cx"), F.col("cy"))
+    inside = F.struct(*[f(b[c], v).alias(c) for c, f, v in zip(ENDS, (F.greatest, F.greatest, F.least, F.least), (x1, y1, x2, y2), strict=True)])
+    square = F.struct(*[v.alias(c) for c, v in zip(ENDS, (x1, y1, x2, y2), strict=True)])
+    piece = F.when(q, inside).otherwise(F.coalesce("b", square))
+    whole = F.when(q, (b["minx"] <= x1) & (b["miny"] <= y1) & (b["maxx"] >= x2) & (b["maxy"] >= y2)).otherwise(F.col("geom").isNull())
+    return rows.select(*rest, "cells", "cx", "cy", whole.alias("whole"), piece.alias("b"), "geom")
 
 
-def named(df: DataFrame, cell: float, side: str) -> DataFrame:
-    """Cut rows for ``shared``: cx, cy, the other columns as one struct, the piece, and its bounds if it is a box."""
-    x1, y1, x2, y2 = cell_box(cell, F.col("cx"), F.col("cy"))
-    whole = F.struct(x1.alias("minx"), y1.alias("miny"), x2.alias("maxx"), y2.alias("maxy"))
-    told = F.when(F.col("geom").isNull(), F.struct(whole.alias("b"), F.lit(True).alias("q"))).otherwise(F.struct(G.bounds(F.col("geom")).alias("b"), G.is_box(F.col("geom")).alias("q")))
-    rest = F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in ("cx", "cy", "geom")])
-    made = df.select("cx", "cy", rest.alias(side), F.col("geom").alias(f"{side}g"), F.inline(F.array(told)))
-    return made.withColumnsRenamed({"b": f"{side}b", "q": f"{side}q"})
+def piece_of(geom: Column, b: Column) -> Column:
+    return F.coalesce(geom, G.box(*[b[c] for c in ENDS]))
 
 
 def cut_by(cell: float):
@@ -158,18 +154,21 @@ def shared(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
     boxes are cut by built-in expressions, a piece in a whole cell stays as it is, and
     only two other pieces go to Python.
     """
-    a, b = named(left, cell, "l"), named(right, cell, "r")
-    lb, rb = F.col("lb"), F.col("rb")
-    x1, y1 = (F.greatest(lb[c], rb[c]) for c in ("minx", "miny"))
-    x2, y2 = (F.least(lb[c], rb[c]) for c in ("maxx", "maxy"))
-    pairs = a.join(b, ["cx", "cy"]).filter((x1 < x2) & (y1 < y2))
-    boxes, lone = F.col("lq") & F.col("rq"), F.coalesce(F.col("lg"), F.col("rg"))
-    both = F.col("lg").isNotNull() & F.col("rg").isNotNull() & ~boxes
-    cuts = cut_by(cell)(F.when(both, F.col("lg")), F.when(both, F.col("rg")))
-    pairs = pairs.select("l", "r", "cx", "cy", boxes.alias("boxes"), x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"), F.when(~boxes, F.when(both, cuts).otherwise(lone)).alias("other"))
-    part = F.when(F.col("boxes"), G.box(*[F.col(c) for c in ("x1", "y1", "x2", "y2")])).otherwise(F.col("other"))
-    size = F.when(F.col("boxes"), (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))).otherwise(G.area(F.col("other")))
-    return pairs.select("l", "r", "cx", "cy", part.alias("part"), size.alias("area")).filter("area > 0")
+    fixed = ("cells", "cx", "cy", "whole", "b", "geom")
+    side = lambda df, s: df.select("cx", "cy", F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in fixed]).alias(s), F.col("whole").alias(f"{s}w"), F.col("b").alias(f"{s}b"), F.col("geom").alias(f"{s}g"))
+    lb, rb, lg, rg = (F.col(c) for c in ("lb", "rb", "lg", "rg"))
+    x1, y1 = (F.greatest(lb[c], rb[c]) for c in ENDS[:2])
+    x2, y2 = (F.least(lb[c], rb[c]) for c in ENDS[2:])
+    pairs = side(left, "l").join(side(right, "r"), ["cx", "cy"]).filter((x1 < x2) & (y1 < y2))
+    boxes = lg.isNull() & rg.isNull()
+    both = ~boxes & ~F.col("lw") & ~F.col("rw")
+    cuts = cut_by(cell)(F.when(both, piece_of(lg, lb)), F.when(both, piece_of(rg, rb)))
+    other = F.when(~boxes, F.when(both, cuts).otherwise(F.coalesce(lg, rg)))
+    # As the output of a generator, what Python gives is read by all that follows and not asked for again.
+    pairs = pairs.select("l", "r", "cx", "cy", *[v.alias(c) for c, v in zip(ENDS, (x1, y1, x2, y2), strict=True)], boxes.alias("boxes"), F.inline(F.array(F.struct(other.alias("other")))))
+    x1, y1, x2, y2 = (F.col(c) for c in ENDS)
+    size = F.when(F.col("boxes"), (x2 - x1) * (y2 - y1)).otherwise(G.area(F.col("other")))
+    return pairs.select("l", "r", "cx", "cy", F.coalesce("other", G.box(x1, y1, x2, y2)).alias("part"), size.alias("area")).filter("area > 0")
 
 
 def allocate(zones: DataFrame, features: DataFrame, key: str, value: Column, cell: float) -> DataFrame:
@@ -202,50 +201,17 @@ def overlay_length(zones: DataFrame, lines: DataFrame, key: str, cell: float) ->
     """(key, intersect_length_km) of ``lines`` (geom: one array of alternating coordinates); what lies in whole cells is only measured."""
     pieces = lines.filter(F.size("geom") >= 4).select(F.inline(cut_lines(cell)(F.col("geom"))))
     pairs = cut(zones.select(key, "geom"), cell).join(pieces, ["cx", "cy"])
-    within = G.length_within(F.when(F.col("geom").isNotNull(), F.col("line")), F.col("geom"))
-    sums = pairs.groupBy(key).agg((F.sum(F.when(F.col("geom").isNull(), line_length(F.col("line"))).otherwise(within)) / 1000).alias("km"))
+    within = G.length_within(F.when(~F.col("whole"), F.col("line")), F.when(~F.col("whole"), piece_of(F.col("geom"), F.col("b"))))
+    sums = pairs.groupBy(key).agg((F.sum(F.when(F.col("whole"), line_length(F.col("line"))).otherwise(within)) / 1000).alias("km"))
     return zones.select(key).join(sums, key, "left").select(key, F.coalesce("km", F.lit(0.0)).alias("intersect_length_km"))
 
 
-#: Geometries united at a time, and those a task gathers before it passes them on.
-UNITED, GATHERED = 256, 8192
+#: Geometries united at a time, and the tasks that a cell's pieces are dealt to first.
+UNITED, SALTS = 256, 16
 #: Cells to a side of the blocks whose outlines are united next.
 WIDER = 8
 
 
-def gathered(keys: list[str], grain: float, least: str | None = None):
-    """Tasks: fewer rows of (keys, geom), those of a key in one task being united; so a hot key is small before it is shuffled.
-
-    ``least`` names a column of which the smallest value stays.
-    """
-    columns = keys + ([least] if least else [])
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple, list] = {}
-        low: dict[tuple, object] = {}
-        n = 0
-        for part in parts:
-            for key, value, geom in zip(part[keys].itertuples(index=False, name=None), part[least] if least else part["geom"], part["geom"], strict=True):
-                some = held.setdefault(key, [])
-                some.append(G.rings_of(geom))
-                low[key] = min(low.get(key, value), value) if least else None
-                n += 1
-                if len(some) >= UNITED:
-                    n -= len(some) - 1
-                    some[:] = [K.union(some, grain)]
-            if n >= GATHERED:
-                yield table_of(held, low)
-                held, low, n = {}, {}, 0
-        yield table_of(held, low)
-
-    def table_of(held: dict[tuple, list], low: dict[tuple, object]) -> pd.DataFrame:
-        out = pd.DataFrame([(*k, low[k]) if least else k for k in held], columns=columns)
-        out["geom"] = pd.Series([G.flat(K.union(v, grain)) for v in held.values()], dtype=object)
-        return out
-
-    return run
-
-
 def united_by(rows: DataFrame, keys: list[str], grain: float, least: str | None = None) -> DataFrame:
     """(keys, geom): one union per key, over rows sorted by key, UNITED of them at a time."""
     columns = keys + ([least] if least else [])
@@ -280,6 +246,12 @@ def united_by(rows: DataFrame, keys: list[str], grain: float, least: str | None
     return rows.repartition(tasks_of(rows.sparkSession), *keys).sortWithinPartitions(*keys).mapInPandas(run, rows.schema)
 
 
+def united_cells(rows: DataFrame, keys: list[str], grain: float, least: str | None = None) -> DataFrame:
+    """One union per key of any number of pieces, those of a hot key in SALTS tasks first."""
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64("geom"), F.lit(SALTS)))
+    return united_by(united_by(salted, [*keys, "__salt"], grain, least), keys, grain, least)
+
+
 def widened(rows: DataFrame, keys: list[str], grain: float, least: str | None = None) -> DataFrame:
     """(keys, geom) out of rows by (keys, cx, cy): blocks of cells are united, then all; seams vanish."""
     wide = rows.withColumn("cx", F.floor(F.col("cx") / WIDER).cast("int")).withColumn("cy", F.floor(F.col("cy") / WIDER).cast("int"))
@@ -290,15 +262,14 @@ def dissolve(zones: DataFrame, features: DataFrame, key: str, cell: float, order
     """(key, geom, first_fid): per zone the union of what features have inside it; zones without any go.
 
     ``carry`` names columns of ``zones`` that come along. One join gives the pieces, cell
-    by cell. They are united in steps: those of a zone and cell within each task before
-    any is shuffled, then those of a zone and cell, of a block of cells, and of a zone.
-    What a zone's last step reads is its blocks' outlines, not its pieces.
+    by cell. They are united in steps, each dealt out anew: those of a zone and cell in
+    SALTS parts, then those of a zone and cell, of a block of cells, and of a zone. What
+    a zone's last step reads is its blocks' outlines, not its pieces.
     """
-    grain, place = C.snap_of(cell), [key, "cx", "cy"]
+    grain = C.snap_of(cell)
     pieces = shared(cut(zones.select(key, "geom"), cell), cut(features.select(F.col(order).alias("first_fid"), "geom"), cell), cell)
     pieces = pieces.select(F.col(f"l.{key}").alias(key), "cx", "cy", "r.first_fid", F.col("part").alias("geom"))
-    cells = united_by(pieces.mapInPandas(gathered(place, grain, "first_fid"), pieces.schema), place, grain, "first_fid")
-    out = widened(cells, [key], grain, "first_fid")
+    out = widened(united_cells(pieces, [key, "cx", "cy"], grain, "first_fid"), [key], grain, "first_fid")
     return (out.join(zones.select(key, *carry), key) if carry else out).select(key, "geom", "first_fid", *carry)
 
 
@@ -349,12 +320,12 @@ def boundary_cells(boundary: DataFrame, cell: float) -> DataFrame:
 
     Only cells of several pieces, none of them whole, are united.
     """
-    grain, place = C.snap_of(cell), ["cx", "cy"]
-    pieces = staged(cut(boundary.select(G.repaired(F.col("geom")).alias("geom")), cell).select(*place, "geom"), "boundary-cells")
-    told = pieces.groupBy(*place).agg(F.count_if(F.col("geom").isNull()).alias("whole"), F.count("*").alias("n"), F.max("geom").alias("geom"))
+    place = ["cx", "cy"]
+    pieces = staged(cut(boundary.select(G.repaired(F.col("geom")).alias("geom")), cell).select(*place, "whole", piece_of(F.col("geom"), F.col("b")).alias("geom")), "boundary-cells")
+    told = pieces.groupBy(*place).agg(F.count_if("whole").alias("whole"), F.count("*").alias("n"), F.max("geom").alias("geom"))
     done = told.filter("whole > 0 OR n = 1").select(*place, F.when(F.col("whole") == 0, F.col("geom")).alias("geom"))
-    several = pieces.join(told.filter("whole = 0 AND n > 1").select(*place), place, "left_semi")
-    united = united_by(several.mapInPandas(gathered(place, grain), several.schema), place, grain)
+    several = pieces.join(told.filter("whole = 0 AND n > 1").select(*place), place, "left_semi").drop("whole")
+    united = united_cells(several, place, C.snap_of(cell))
     return done.unionByName(united.select(*place, F.when(G.area(F.col("geom")) < cell * cell * (1 - 1e-12), F.col("geom")).alias("geom")))
 
 
@@ -382,10 +353,9 @@ def clip(features: DataFrame, boundary: DataFrame, tolerance: float = 15.0, cell
     ends = boundary.filter(~G.is_empty(F.col("geom"))).select(G.bounds(F.col("geom")).alias("b"))
     ends = ends.agg(F.min("b.minx").alias("minx"), F.min("b.miny").alias("miny"), F.max("b.maxx").alias("maxx"), F.max("b.maxy").alias("maxy"))  # one row
     pairs = cut(rows.select("id", "geom"), cell).join(edge, ["cx", "cy"])
-    x1, y1, x2, y2 = cell_box(cell, F.col("cx"), F.col("cy"))
-    both = F.col("geom").isNotNull() & F.col("edge").isNotNull()
-    lone = F.coalesce("geom", "edge", G.box(x1, y1, x2, y2))
-    part = F.when(both, cut_by(cell)(F.when(both, F.col("geom")), F.when(both, F.col("edge")))).otherwise(lone)
+    piece = piece_of(F.col("geom"), F.col("b"))
+    both = ~F.col("whole") & F.col("edge").isNotNull()
+    part = F.when(both, cut_by(cell)(F.when(both, piece), F.when(both, F.col("edge")))).when(F.col("edge").isNull(), piece).otherwise(F.col("edge"))
     pairs = pairs.select("id", "cells", F.col("edge").isNull().alias("whole"), part.alias("part"))
     # A feature's parts are no more than the feature and the boundary have in its own cells.
     parts = pairs.groupBy("id").agg((F.count_if("whole") == F.first("cells")).alias("inside"), F.collect_list("part").alias("parts"))

@@ -10,6 +10,7 @@ from quadrille.functions import geometry as G
 from quadrille.operators import attributes as T
 from quadrille.operators import rasters as R
 from quadrille.operators import spatial as S
+from quadrille.operators.batching import batches
 from quadrille.plans import fixtures as X
 from quadrille.plans import values as V
 from quadrille.plans.combine import Group, combine_results
@@ -132,7 +133,7 @@ w AS (SELECT p_brand, n, p_partkey, CASE WHEN p_size >= 100 THEN 0 ELSE p_size E
 UNION ALL SELECT r.p_brand, r.n, r.p_partkey, CASE WHEN w.acc + r.p_size >= 100 THEN 0 ELSE w.acc + r.p_size END, w.batch + w.up, CAST(w.acc + r.p_size >= 100 AS INTEGER) FROM w JOIN r ON r.p_brand = w.p_brand AND r.n = w.n + 1)
 SELECT p_partkey, CAST(batch AS BIGINT) AS batch FROM w""")
 def vertex_batches(spark, d):
-    return T.batches(X.table(spark, d, "part").select("p_brand", "p_partkey", "p_size"), "p_brand", "p_partkey", "p_size", 100).select("p_partkey", "batch")
+    return batches(X.table(spark, d, "part").select("p_brand", "p_partkey", "p_size"), "p_brand", "p_partkey", "p_size", 100).select("p_partkey", "batch")
 
 
 @query("""WITH f AS (SELECT 'job' || CAST(o_custkey % 20 AS VARCHAR) AS job, o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '_%Y%m%d_%H%M%S') ELSE strftime(o_orderdate, '_%Y_%m_%d_%H_%M_%S') END AS tail, o_orderdate AS ts FROM orders)
