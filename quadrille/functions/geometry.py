@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType
 
+from quadrille.functions.systems import GRS80, WGS84, System, let
+from quadrille.functions.systems import system as numbered_system
+from quadrille.kernel import geodesic as D
 from quadrille.kernel import overlay as K
 from quadrille.kernel import wkb
 
@@ -64,9 +67,9 @@ def is_box(geom: Column) -> Column:
 
 
 def map_points(geom: Column, to) -> Column:
-    """``to(x, y)`` gives the two new coordinates."""
+    """``to(x, y)`` gives an array of the two new coordinates."""
     at = lambda r: F.sequence(F.lit(0), (F.size(r) / 2).cast("int") - 1)
-    return F.transform(geom, lambda r: F.flatten(F.transform(at(r), lambda i: F.array(*to(F.get(r, 2 * i), F.get(r, 2 * i + 1))))))
+    return F.transform(geom, lambda r: F.flatten(F.transform(at(r), lambda i: to(F.get(r, 2 * i), F.get(r, 2 * i + 1)))))
 
 
 # The ellipsoid GRS 1980 and the parameters of EPSG:5070; fixed values.
@@ -113,35 +116,50 @@ def albers_inverse(x: Column, y: Column) -> tuple[Column, Column]:
     return lon, F.degrees(beta + series)
 
 
-def geodesic_area(geom: Column) -> Column:
-    """Area in m² of a polygon in degrees, on the sphere of equal area with great circles between its authalic vertices."""
-    half = lambda lat: F.tan(F.asin(authalic_q(lat) / Q_POLE) / 2)
+def geodesic_area(geom: Column, ellipsoid: tuple[float, float] = WGS84) -> Column:
+    """Area in m² of a polygon in degrees whose edges are shortest lines on an ellipsoid (axis, inverse flattening); 0 for null."""
+    axis, inverse = ellipsoid
 
-    def excess(r: Column, i: Column) -> Column:
-        t1, t2 = half(F.get(r, 2 * i + 1)), half(F.get(r, 2 * i + 3))
-        return 2 * F.atan(F.tan(F.radians(F.get(r, 2 * i + 2) - F.get(r, 2 * i)) / 2) * (t1 + t2) / (1 + t1 * t2))
+    @F.pandas_udf(DoubleType())
+    def run(g: pd.Series) -> pd.Series:
+        return pd.Series([0.0 if x is None else abs(D.area(rings_of(x), axis, 1 / inverse)) for x in g], dtype="float64")
 
-    at = lambda r: F.sequence(F.lit(0), (F.size(r) / 2).cast("int") - 2)
-    total = F.aggregate(geom, F.lit(0.0), lambda a, r: a - F.aggregate(at(r), F.lit(0.0), lambda b, i: b + excess(r, i)))
-    return F.coalesce(F.abs(total) * (A * A * Q_POLE / 2), F.lit(0.0))
+    return run(geom)
 
 
 def area_ha(geom: Column, srid: Column) -> Column:
     """Hectares: planar in EPSG:5070, on the ellipsoid for longitude and latitude; any other or no system is an error."""
-    known = F.when(srid == 5070, F.abs(area(geom)) / 1e4).when(srid.isin(4326, 4269), geodesic_area(geom) / 1e4)
+    degrees = F.when(srid == 4326, geodesic_area(F.when(srid == 4326, geom))).when(srid == 4269, geodesic_area(F.when(srid == 4269, geom), GRS80))
+    known = F.when(srid == 5070, F.abs(area(geom)) / 1e4).when(srid.isin(4326, 4269), degrees / 1e4)
     return known.otherwise(F.raise_error(F.concat(F.lit("no area in the reference system "), F.coalesce(srid.cast("string"), F.lit("(none)")))).cast("double"))
 
 
-def reprojected(geom: Column, srid: int, to: int) -> Column:
-    """Polygons in longitude and latitude to EPSG:5070 or back; the same system is left alone, null stays null."""
-    degrees = (4326, 4269)
-    if srid == to or (srid in degrees and to in degrees):
+def area_ha_in(geom: Column, system: System) -> Column:
+    """Hectares in any system with parameters: planar with its unit squared if it is projected, else on its ellipsoid."""
+    if system.projected:
+        return F.abs(area(geom)) * (system.unit * system.unit / 1e4)
+    return geodesic_area(geom, (system.axis, system.inverse_flattening)) / 1e4
+
+
+def reprojected(geom: Column, srid: int | System, to: int | System) -> Column:
+    """Polygons from one system to another, by number or parameters, through longitude and latitude.
+
+    The same system is left alone, null stays null. Systems on ellipsoids of other
+    shapes are not the same ground, so without a shift between them that is an error.
+    """
+    a, b = (x if isinstance(x, System) else system_of(x, srid, to) for x in (srid, to))
+    if a == b or not (a.projected or b.projected):
         return geom
-    if srid in degrees and to == 5070:
-        return map_points(geom, albers)
-    if srid == 5070 and to in degrees:
-        return map_points(geom, albers_inverse)
-    raise ValueError(f"no way from the reference system {srid} to {to}")
+    if abs(a.axis - b.axis) > 1 or abs(a.inverse_flattening - b.inverse_flattening) > 1e-3:
+        raise ValueError(f"no way between the ellipsoids of {srid} and {to}")
+    return map_points(geom, lambda x, y: let(a.inverse(x, y), then=lambda p: b.forward(p[0], p[1])))
+
+
+def system_of(number: int, srid, to) -> System:
+    try:
+        return numbered_system(number)
+    except ValueError as error:
+        raise ValueError(f"no way from the reference system {srid} to {to}: {error}") from None
 
 
 def processing_system(srid: int | None, metres_per_unit: float | None = None) -> int:

@@ -359,7 +359,9 @@ def clip(features: DataFrame, boundary: DataFrame, tolerance: float = 15.0, cell
     pairs = pairs.select("id", "cells", F.col("edge").isNull().alias("whole"), part.alias("part"))
     # A feature's parts are no more than the feature and the boundary have in its own cells.
     parts = pairs.groupBy("id").agg((F.count_if("whole") == F.first("cells")).alias("inside"), F.collect_list("part").alias("parts"))
-    parts = parts.select("id", "inside", joined_parts(cell)(F.when(~F.col("inside"), F.col("parts"))).alias("cut"))
+    # A point stands in for what need not be united: a batch of nothing but nulls at this depth is not read back from Arrow.
+    point = F.array(F.array(F.array_repeat(F.lit(0.0), 8)))
+    parts = parts.select("id", "inside", joined_parts(cell)(F.when(~F.col("inside"), F.col("parts")).otherwise(point)).alias("cut"))
     parts = parts.select("id", "inside", F.col("cut.geom").alias("part"), F.col("cut.reason").alias("failed"))
     out = rows.join(parts, "id", "left").crossJoin(F.broadcast(ends))
     kept = F.when(F.col("inside"), F.col("geom")).otherwise(F.col("part"))

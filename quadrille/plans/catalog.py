@@ -312,7 +312,23 @@ def large_zones(spark, d):
 
 @query("SELECT p_partkey AS fid, round(p_size * p_size / 2.0, 3) AS area FROM part")
 def reprojected_area(spark, d):
-    """Triangles from EPSG:5070 to longitude and latitude and back."""
-    there = G.reprojected(F.col("geom"), 5070, 4326)
-    out = X.triangles(spark, d).withColumn("geom", there).withColumn("geom", G.reprojected(F.col("geom"), 4326, 5070))
-    return out.select("fid", F.round(G.area(F.col("geom")), 3).alias("area"))
+    """Triangles from EPSG:5070 to a zone of transverse Mercator, to longitude and latitude, and back."""
+    geom = F.col("geom")
+    out = X.triangles(spark, d).withColumn("geom", G.reprojected(geom, 5070, 26914)).withColumn("geom", G.reprojected(geom, 26914, 4326)).withColumn("geom", G.reprojected(geom, 4326, 5070))
+    return out.select("fid", F.round(G.area(geom), 3).alias("area"))
+
+
+# Band between two parallels, a degree wide: its area on the ellipsoid is the difference of the authalic function, times the squared axis and half the width.
+BAND = "(1 - {e2}) * (sin(radians({lat})) / (1 - {e2} * sin(radians({lat})) ** 2) - ln((1 - {e} * sin(radians({lat}))) / (1 + {e} * sin(radians({lat})))) / (2 * {e}))"
+_E2 = 2 / 298.257223563 - 1 / 298.257223563**2
+
+
+@query(f"SELECT s_suppkey, round({6378137.0**2} * (pi() / 180 * 64) / 2 * ({BAND.format(e2=_E2, e=_E2**0.5, lat='lat + 0.5')} - {BAND.format(e2=_E2, e=_E2**0.5, lat='lat')}) / 1e6 / 1e4, 3) AS km2 FROM (SELECT s_suppkey, CAST(s_suppkey % 80 AS DOUBLE) AS lat FROM supplier)")
+def band_areas(spark, d):
+    """Bands of half a degree of latitude and 64 of longitude, their parallels cut to sides of 1/64 degree, which shortest lines follow to the digits shown."""
+    lat = (F.col("s_suppkey") % 80).cast("double")
+    along = F.sequence(F.lit(0), F.lit(4096))
+    south, north = F.transform(along, lambda i: F.array(i / 64.0, lat)), F.transform(F.reverse(along), lambda i: F.array(i / 64.0, lat + 0.5))
+    ring = F.flatten(F.concat(south, north, F.slice(south, 1, 1)))
+    bands = X.table(spark, d, "supplier").select("s_suppkey", F.array(ring).alias("geom"))
+    return bands.select("s_suppkey", F.round(G.area_ha(F.col("geom"), F.lit(4326)) / 1e6, 3).alias("km2"))

@@ -12,7 +12,7 @@ import sqlite3
 import struct
 import uuid
 from collections.abc import Iterator
-from contextlib import closing
+from contextlib import closing, suppress
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -21,6 +21,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWrite
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from quadrille.functions.systems import System, defined
+from quadrille.functions.systems import system as numbered_system
+
 # Names, numbers and flags of the format; fixed values.
 MAGIC, APPLICATION, VERSION = b"GP", 0x47504B47, 10300
 ENVELOPE_BYTES = (0, 32, 48, 48, 64)
@@ -202,11 +205,16 @@ class Writer(DataSourceWriter):
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
         """Files of attempts that did not count are left out."""
         done = [m.file for m in messages if m is not None]
-        if self.overwrite and os.path.exists(self.path):
-            (shutil.rmtree if os.path.isdir(self.path) else os.remove)(self.path)
-        os.makedirs(self.path)
+        ready = f"{self.draft}.ready"
+        os.makedirs(ready)
         for file in done:
-            os.rename(file, f"{self.path}/{os.path.basename(file)}")
+            os.rename(file, f"{ready}/{os.path.basename(file)}")
+        old = f"{self.draft}.old"
+        if self.overwrite and os.path.exists(self.path):
+            os.rename(self.path, old)
+        os.rename(ready, self.path)
+        if os.path.exists(old):
+            (shutil.rmtree if os.path.isdir(old) else os.remove)(old)
         shutil.rmtree(self.draft, ignore_errors=True)
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
@@ -257,3 +265,13 @@ def system_of(path: str, layer: str | None = None) -> int:
     if srid is None or srid < 1:
         raise ValueError(f"{path}: the layer has no reference system")
     return srid
+
+
+def definition_of(path: str, layer: str | None = None) -> System:
+    """The reference system of a layer by its number where that is known, else by the definition that the file holds."""
+    srid = system_of(path, layer)
+    with suppress(ValueError):
+        return numbered_system(srid)
+    with closing(opened(files_of(path)[0])) as con:
+        (text,) = con.execute("SELECT definition FROM gpkg_spatial_ref_sys WHERE srs_id = ?", [srid]).fetchone()
+    return defined(text)
