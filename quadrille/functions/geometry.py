@@ -228,6 +228,12 @@ def from_wkb(data: pd.Series) -> pd.Series:
     return pd.Series([None if x is None else flat(wkb.polygon_rings(bytes(x))) for x in data], dtype=object)
 
 
+@F.pandas_udf(RINGS_TYPE)
+def lines_from_wkb(data: pd.Series) -> pd.Series:
+    """The lines of any geometry, each an array of alternating coordinates; null for null."""
+    return pd.Series([None if x is None else flat(wkb.lines(bytes(x))) for x in data], dtype=object)
+
+
 @F.pandas_udf(BinaryType())
 def to_wkb(geom: pd.Series) -> pd.Series:
     return pd.Series([None if g is None else wkb.multipolygon(rings_of(g)) for g in geom], dtype=object)

@@ -12,6 +12,7 @@ from quadrille.operators import rasters as R
 from quadrille.operators import spatial as S
 from quadrille.operators.batching import batches
 from quadrille.plans import fixtures as X
+from quadrille.plans import products, zonal
 from quadrille.plans import values as V
 from quadrille.plans.combine import Group, combine_results
 from quadrille.sources import files, geopackage
@@ -233,6 +234,47 @@ def value_raster_file(spark, d):
     return tiles.agg(F.count("*").alias("tiles")).crossJoin(F.broadcast(R.weighted_total(tiles, like).select(F.round("total", 4).alias("total"))))
 
 
+@query(f"""WITH {PIXELS}, {FEATURES}, {OVERLAP}, zp AS (SELECT geoid, r, v FROM zones JOIN (SELECT i // 100 AS r, i % 100 AS c, v FROM range(10000) t(i) LEFT JOIN pixels ON r = i // 100 AND c = i % 100) p ON (c + 0.5) * 10 >= x1 AND (c + 0.5) * 10 < x1 + 200 AND (r + 0.5) * 10 >= y1 AND (r + 0.5) * 10 < y1 + 200),
+{ZONES}, st AS (SELECT geoid, coalesce(sum(v), 0) AS s, avg(v) AS m, count(v) * CAST(0.01 AS DOUBLE) AS a FROM zones LEFT JOIN zp USING (geoid) GROUP BY geoid)
+SELECT z.geoid AS GEOID, round(s, 4) AS sum_events, round(m, 6) AS mean_events, round(st.a, 6) AS area_ha_valid_events, round((SELECT coalesce(sum(o.a), 0) / 1e4 FROM overlap o WHERE o.geoid = z.geoid), 6) AS intersect_area_ha FROM zones z JOIN st USING (geoid)""".replace(f"WITH {PIXELS}, {FEATURES}, {OVERLAP}, zp", f"WITH {ZONES}, {PIXELS}, {FEATURES}, {OVERLAP}, zp").replace(f"\n{ZONES}, st AS", "\nst AS"))
+def zonal_run(spark, d):
+    """A job file over a zone layer, a raster file of events and a layer of features; its two tables side by side."""
+    geopackage.register(spark)
+    folder = new_path(spark, "zonal-run").removeprefix("file://").removeprefix("file:")
+    grid = X.grid()
+    zones = X.zones(spark, d).select(F.col("geoid").alias("GEOID"), G.to_wkb("geom").alias("geom"))
+    zones.coalesce(1).write.format("geopackage").mode("append").option("layer", "zones").option("srid", 5070).save(f"{folder}/zones.gpkg")
+    X.features(spark, d).select("fid", G.to_wkb("geom").alias("geom")).write.format("geopackage").mode("append").option("layer", "parts").option("srid", 5070).save(f"{folder}/parts.gpkg")
+    RF.write_raster(R.tiles_of(X.pixels(spark, d).filter(F.col("row") < grid.height), grid), grid, f"{folder}/in/events.tif", "float64", -9999, 5070)
+    common = "agg_vector = ./zones.gpkg\nagg_layer = zones\nagg_field = GEOID\n"
+    with open(f"{folder}/jobs.ini", "w", encoding="utf-8") as f:
+        f.write(f"[project]\nname = x\n\n[job:a]\n{common}operations = sum, mean, area_ha_valid\nbase_raster_pattern = ./in/*.tif\noutput_csv = ./out/a.csv\n\n[job:b]\n{common}operations = intersect_area_ha\nbase_measure_vector = ./parts.gpkg\noutput_csv = ./out/b.csv\noutput_gpkg = ./out/b.gpkg\n")
+    made = zonal.run_jobs(spark, f"{folder}/jobs.ini", X.CELL)
+    out = T.combine([(n, files.read_keyed(spark, made[n]["csv"], "GEOID")) for n in ("a", "b")], "GEOID")
+    digits = {"sum_events": 4}
+    return out.select("GEOID", *[F.round(c, digits.get(c, 6)).alias(c) for c in out.columns if c != "GEOID"])
+
+
+@query(f"""WITH {OWNERS.replace("c_custkey", "p_partkey").replace("FROM customer", "FROM part")}, f AS (SELECT p_partkey, p_size AS s, CAST((p_partkey * 37) % 1000 AS DOUBLE) AS x1, CAST((p_partkey * 91) % 1000 AS DOUBLE) AS y1, p_partkey % 50 = 7 AS bad FROM part),
+k AS (SELECT *, NOT bad AND greatest(0, least(700, x1 + s) - x1) * greatest(0, least(600, y1 + s) - y1) > 0 AS ok, greatest(0, least(700, x1 + s) - x1) * greatest(0, least(600, y1 + s) - y1) AS area,
+  NOT (coalesce(a, '') = 'XA' OR coalesce(o, '') = 'PVT' OR coalesce(mn, '') IN ('DOD', 'DOE') OR coalesce(n, '') IN ('DOD', 'DOE') OR coalesce(d, '') = 'MIL')
+  AND (coalesce(m, '') IN ('FED', 'STAT', 'LOC', 'DIST', 'JNT', 'TERR') OR (coalesce(m, '') = 'UNK' AND coalesce(o, '') IN ('LOC', 'DIST', 'FED', 'JNT', 'STAT'))) AS public FROM f JOIN owners USING (p_partkey))
+SELECT 'all' AS product, count(*) AS n, round(coalesce(sum(area), 0), 3) AS area FROM k WHERE ok UNION ALL SELECT 'public', count(*), round(coalesce(sum(area), 0), 3) FROM k WHERE ok AND public UNION ALL SELECT 'failed', count(*), 0 FROM k WHERE bad""")
+def land_layers(spark, d):
+    """Features clipped once, and both layers and the failures of it written and read back."""
+    out = new_path(spark, "land").removeprefix("file://").removeprefix("file:")
+    edge = spark.createDataFrame([(0, 0, 700, 600)], "x1 int, y1 int, x2 int, y2 int").select(G.box(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]).alias("geom"))
+    k = F.col("fid")
+    code = lambda c, step: F.get(F.array(*[F.lit(v) for v in CODES[c]]), (F.floor(k * step / 7) % len(CODES[c])).cast("int"))
+    names = {"m": "Mang_Type", "o": "Own_Type", "mn": "Mang_Name", "n": "Own_Name", "d": "Des_Tp", "a": "Pub_Access"}
+    broken = F.when(k % 50 == 7, F.array(F.slice(F.col("geom")[0], 1, 7))).otherwise(F.col("geom"))
+    coded = X.features(spark, d).select(k, broken.alias("geom"), *[code(c, step).alias(names[c]) for step, c in zip((3, 5, 11, 13, 17, 19), CODES)])
+    products.land_layers(coded, edge, out, tolerance=0.1, cell=X.CELL)
+    layers = [spark.read.format("geopackage").load(f"{out}/layers/{name}").select(F.lit(name).alias("product"), G.area(G.from_wkb("geom")).alias("area")) for name in ("all", "public")]
+    failed = spark.read.csv(f"{out}/failures", header=True).select(F.lit("failed").alias("product"), F.lit(0.0).alias("area"))
+    return layers[0].union(layers[1]).union(failed).groupBy("product").agg(F.count("*").alias("n"), F.round(F.sum("area"), 3).alias("area"))
+
+
 ALBERS = f"{G.A} * sqrt({G.CONST} - {G.CONE} * q) / {G.CONE}"
 
 

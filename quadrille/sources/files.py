@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from quadrille.sources.staging import staged
+from quadrille.sources.staging import staged, unstage
 
 
 def listing(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
@@ -92,11 +92,12 @@ def write_csv(df: DataFrame, path: str, overwrite: bool = False) -> str:
 
 def write_failures(df: DataFrame, path: str, keys: list[str]) -> bool:
     """A CSV of (keys, reason) of the rows with a reason, if there are any; whether there were."""
-    failed = df.filter(F.col("reason").isNotNull()).select(*keys, "reason")
-    if failed.isEmpty():
-        return False
-    write_csv(failed, path, overwrite=True)
-    return True
+    failed = staged(df.filter(F.col("reason").isNotNull()).select(*keys, "reason"), "failures")
+    there = not failed.isEmpty()
+    if there:
+        write_csv(failed, path, overwrite=True)
+    unstage(failed)
+    return there
 
 
 def summary(counts: DataFrame, name: str, value: str) -> str:

@@ -29,6 +29,8 @@ MAGIC, APPLICATION, VERSION = b"GP", 0x47504B47, 10300
 ENVELOPE_BYTES = (0, 32, 48, 48, 64)
 SQL_TYPES = {"BOOLEAN": BooleanType(), "TINYINT": IntegerType(), "SMALLINT": IntegerType(), "MEDIUMINT": IntegerType(), "INT": LongType(), "INTEGER": LongType(), "FLOAT": DoubleType(), "DOUBLE": DoubleType(), "REAL": DoubleType(), "BLOB": BinaryType()}
 ROWS, BATCH = 50_000, 2_000
+#: Layers that one pass may deal rows to.
+MOST_LAYERS = 64
 
 
 def files_of(path: str) -> list[str]:
@@ -147,69 +149,103 @@ class Reader(DataSourceReader):
 
 @dataclass
 class Written(WriterCommitMessage):
-    file: str
+    files: list[str]
+
+
+class LayerFile:
+    """One file with one layer, written row by row."""
+
+    def __init__(self, file: str, layer: str, srid: int, schema: StructType, skip: str | None):
+        self.layer, self.srid = layer, srid
+        self.plain = [f for f in schema.fields if f.name not in ("fid", "geom", skip)]
+        self.has_fid, self.has_geom = ("fid" in schema.names), ("geom" in schema.names)
+        sql = lambda t: next((k for k in ("BOOLEAN", "INTEGER", "DOUBLE", "BLOB") if SQL_TYPES[k] == t), "INTEGER" if t.simpleString() in ("int", "smallint", "tinyint") else "DOUBLE" if t.simpleString() == "float" else "TEXT")
+        self.whole, self.n, self.boxes = [float("inf"), -float("inf")] * 2, 0, []
+        self.con = sqlite3.connect(file)
+        self.con.executescript(f"PRAGMA application_id = {APPLICATION}; PRAGMA user_version = {VERSION}; PRAGMA journal_mode = OFF; PRAGMA synchronous = OFF;" + TABLES)
+        self.con.executemany("INSERT INTO gpkg_spatial_ref_sys VALUES (?, ?, ?, ?, ?, ?)", [(f"system {i}", i, "NONE" if i < 1 else "EPSG", i, "undefined", None) for i in {-1, 0, 4326, srid}])
+        columns = [f"{quoted(f.name)} {sql(f.dataType)}" for f in self.plain]
+        self.con.execute(f"CREATE TABLE {quoted(layer)} (fid INTEGER PRIMARY KEY, {', '.join(['geom MULTIPOLYGON'] * self.has_geom + columns)})".replace(", )", ")"))
+        self.insert = f"INSERT INTO {quoted(layer)} VALUES ({', '.join('?' * (1 + self.has_geom + len(self.plain)))})"
+
+    def add(self, row) -> None:
+        from quadrille.kernel import wkb
+
+        values, box = [row["fid"] if self.has_fid else None], None
+        if self.has_geom:
+            data = None if row["geom"] is None else bytes(row["geom"])
+            rings = [] if data is None else wkb.polygon_rings(data)
+            box = (min(r[:, 0].min() for r in rings), max(r[:, 0].max() for r in rings), min(r[:, 1].min() for r in rings), max(r[:, 1].max() for r in rings)) if rings else None
+            values.append(geometry_blob(wkb.multipolygon(rings), self.srid, box) if box else None)
+        at = self.con.execute(self.insert, values + [row[f.name] for f in self.plain]).lastrowid
+        self.n += 1
+        if box:
+            self.boxes.append((at, *map(float, box)))
+            w = self.whole
+            self.whole = [min(w[0], box[0]), max(w[1], box[1]), min(w[2], box[2]), max(w[3], box[3])]
+        if len(self.boxes) >= BATCH:
+            self.con.executemany("INSERT INTO __boxes VALUES (?, ?, ?, ?, ?)", self.boxes)
+            self.boxes = []
+
+    def close(self) -> None:
+        con, layer = self.con, self.layer
+        con.executemany("INSERT INTO __boxes VALUES (?, ?, ?, ?, ?)", self.boxes)
+        extent = [float(self.whole[k]) if self.whole[0] <= self.whole[1] else None for k in (0, 2, 1, 3)]
+        con.execute("INSERT INTO gpkg_contents VALUES (?, ?, ?, '', strftime('%Y-%m-%dT%H:%M:%fZ', 'now'), ?, ?, ?, ?, ?)", [layer, "features" if self.has_geom else "attributes", layer, *extent, self.srid if self.has_geom else None])
+        if self.has_geom:
+            index = quoted(f"rtree_{layer}_geom")
+            con.execute("INSERT INTO gpkg_geometry_columns VALUES (?, 'geom', 'MULTIPOLYGON', ?, 0, 0)", [layer, self.srid])
+            con.execute(f"CREATE VIRTUAL TABLE {index} USING rtree(id, minx, maxx, miny, maxy)")
+            con.execute(f"INSERT INTO {index} SELECT * FROM __boxes")
+            con.execute("INSERT INTO gpkg_extensions VALUES (?, 'geom', 'gpkg_rtree_index', 'http://www.geopackage.org/spec120/#extension_rtree', 'write-only')", [layer])
+        con.execute("DROP TABLE __boxes")
+        con.commit()
+        con.close()
 
 
 class Writer(DataSourceWriter):
-    """A file per task in a folder of its own; all are moved into place when all are done."""
+    """Files per task in a folder of their own; all are moved into place when all are done.
+
+    With ``by``, rows are dealt to layers by that column's value, each layer a folder of
+    its name; one renaming puts all of them in place. A task holds a file open for each.
+    """
 
-    def __init__(self, path: str, layer: str, srid: int, schema: StructType, overwrite: bool):
-        self.path, self.layer, self.srid, self.schema, self.overwrite = path.removeprefix("file://").removeprefix("file:"), layer, srid, schema, overwrite
+    def __init__(self, path: str, layer: str, srid: int, schema: StructType, overwrite: bool, by: str | None):
+        self.path, self.layer, self.srid, self.schema, self.overwrite, self.by = path.removeprefix("file://").removeprefix("file:"), layer, srid, schema, overwrite, by
+        if by is not None and by not in schema.names:
+            raise ValueError(f"no column {by} to deal rows to layers by")
         if os.path.exists(self.path) and not overwrite:
             raise FileExistsError(f"{self.path} is there already; overwrite it or name another folder")
         self.draft = f"{self.path}.draft-{uuid.uuid4().hex}"
 
     def write(self, rows: Iterator) -> WriterCommitMessage:
-        from quadrille.kernel import wkb
-
-        os.makedirs(self.draft, exist_ok=True)
-        file = f"{self.draft}/part-{uuid.uuid4().hex}.gpkg"
-        plain = [f for f in self.schema.fields if f.name not in ("fid", "geom")]
-        sql = lambda t: next((k for k in ("BOOLEAN", "INTEGER", "DOUBLE", "BLOB") if SQL_TYPES[k] == t), "INTEGER" if t.simpleString() in ("int", "smallint", "tinyint") else "DOUBLE" if t.simpleString() == "float" else "TEXT")
-        has_fid, has_geom = ("fid" in self.schema.names), ("geom" in self.schema.names)
-        table, whole, n, boxes = quoted(self.layer), [float("inf"), -float("inf")] * 2, 0, []
-        with closing(sqlite3.connect(file)) as con:
-            con.executescript(f"PRAGMA application_id = {APPLICATION}; PRAGMA user_version = {VERSION}; PRAGMA journal_mode = OFF; PRAGMA synchronous = OFF;" + TABLES)
-            con.executemany("INSERT INTO gpkg_spatial_ref_sys VALUES (?, ?, ?, ?, ?, ?)", [(f"system {i}", i, "NONE" if i < 1 else "EPSG", i, "undefined", None) for i in {-1, 0, 4326, self.srid}])
-            columns = [f"{quoted(f.name)} {sql(f.dataType)}" for f in plain]
-            con.execute(f"CREATE TABLE {table} (fid INTEGER PRIMARY KEY, {', '.join(['geom MULTIPOLYGON'] * has_geom + columns)})")
-            slots = ", ".join("?" * (1 + has_geom + len(plain)))
-            for row in rows:
-                values = [row["fid"] if has_fid else None]
-                if has_geom:
-                    data = None if row["geom"] is None else bytes(row["geom"])
-                    rings = [] if data is None else wkb.polygon_rings(data)
-                    box = (min(r[:, 0].min() for r in rings), max(r[:, 0].max() for r in rings), min(r[:, 1].min() for r in rings), max(r[:, 1].max() for r in rings)) if rings else None
-                    values.append(geometry_blob(wkb.multipolygon(rings), self.srid, box) if box else None)
-                at = con.execute(f"INSERT INTO {table} VALUES ({slots})", values + [row[f.name] for f in plain]).lastrowid
-                n += 1
-                if has_geom and box:
-                    boxes.append((at, *map(float, box)))
-                    whole = [min(whole[0], box[0]), max(whole[1], box[1]), min(whole[2], box[2]), max(whole[3], box[3])]
-                if len(boxes) >= BATCH:
-                    con.executemany("INSERT INTO __boxes VALUES (?, ?, ?, ?, ?)", boxes)
-                    boxes = []
-            con.executemany("INSERT INTO __boxes VALUES (?, ?, ?, ?, ?)", boxes)
-            extent = [float(whole[k]) if n and whole[0] <= whole[1] else None for k in (0, 2, 1, 3)]
-            con.execute("INSERT INTO gpkg_contents VALUES (?, ?, ?, '', strftime('%Y-%m-%dT%H:%M:%fZ', 'now'), ?, ?, ?, ?, ?)", [self.layer, "features" if has_geom else "attributes", self.layer, *extent, self.srid if has_geom else None])
-            if has_geom:
-                index = quoted(f"rtree_{self.layer}_geom")
-                con.execute("INSERT INTO gpkg_geometry_columns VALUES (?, 'geom', 'MULTIPOLYGON', ?, 0, 0)", [self.layer, self.srid])
-                con.execute(f"CREATE VIRTUAL TABLE {index} USING rtree(id, minx, maxx, miny, maxy)")
-                con.execute(f"INSERT INTO {index} SELECT * FROM __boxes")
-                con.execute("INSERT INTO gpkg_extensions VALUES (?, 'geom', 'gpkg_rtree_index', 'http://www.geopackage.org/spec120/#extension_rtree', 'write-only')", [self.layer])
-            con.execute("DROP TABLE __boxes")
-            con.commit()
-        return Written(file)
+        name, open_files = f"part-{uuid.uuid4().hex}.gpkg", {}
+
+        def opened_for(layer: str) -> LayerFile:
+            if layer not in open_files:
+                if len(open_files) >= MOST_LAYERS or not layer or "/" in layer or layer.startswith("."):
+                    raise ValueError(f"no layer can be called {layer!r}, or there are more than {MOST_LAYERS}")
+                folder = f"{self.draft}/{layer}" if self.by else self.draft
+                os.makedirs(folder, exist_ok=True)
+                open_files[layer] = LayerFile(f"{folder}/{name}", layer, self.srid, self.schema, self.by)
+            return open_files[layer]
+
+        if not self.by:
+            opened_for(self.layer)
+        for row in rows:
+            opened_for(str(row[self.by]) if self.by else self.layer).add(row)
+        for file in open_files.values():
+            file.close()
+        return Written([f"{layer}/{name}" if self.by else name for layer in open_files])
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
         """Files of attempts that did not count are left out."""
-        done = [m.file for m in messages if m is not None]
-        ready = f"{self.draft}.ready"
+        ready, old = f"{self.draft}.ready", f"{self.draft}.old"
         os.makedirs(ready)
-        for file in done:
-            os.rename(file, f"{ready}/{os.path.basename(file)}")
-        old = f"{self.draft}.old"
+        for file in (f for m in messages if m is not None for f in m.files):
+            os.makedirs(os.path.dirname(f"{ready}/{file}"), exist_ok=True)
+            os.rename(f"{self.draft}/{file}", f"{ready}/{file}")
+        os.makedirs(os.path.dirname(self.path) or ".", exist_ok=True)
         if self.overwrite and os.path.exists(self.path):
             os.rename(self.path, old)
         os.rename(ready, self.path)
@@ -231,7 +267,7 @@ CREATE TABLE __boxes (id INTEGER, minx DOUBLE, maxx DOUBLE, miny DOUBLE, maxy DO
 
 
 class GeoPackage(DataSource):
-    """Options: ``layer`` (the first, or ``layer`` on writing), ``includeGeometry``, ``rowsPerTask``; on writing ``srid``.
+    """Options: ``layer`` (the first, or ``layer`` on writing), ``includeGeometry``, ``rowsPerTask``; on writing ``srid`` and ``layerColumn``.
 
     Rows are fid, the attributes and ``geom`` as well-known binary; see ``geometry.from_wkb``.
     """
@@ -250,7 +286,7 @@ class GeoPackage(DataSource):
         return Reader(self.options["path"], self.options.get("layer"), schema, int(self.options.get("rowsPerTask", ROWS)))
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
-        return Writer(self.options["path"], self.options.get("layer", "layer"), int(self.options.get("srid", 5070)), schema, overwrite)
+        return Writer(self.options["path"], self.options.get("layer", "layer"), int(self.options.get("srid", 5070)), schema, overwrite, self.options.get("layerColumn"))
 
 
 def register(spark: SparkSession) -> None:
