@@ -1,11 +1,14 @@
 """The chain field against enumeration of all labellings, and on layouts that its training pages don't have."""
 
+import time
+import tracemalloc
 from itertools import product
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from quadrille.llm.extraction import DIM, Field, described, leaf_blocks, train
+from quadrille.llm.extraction import DIM, Field, described, extract, leaf_blocks, train
 from quadrille.llm.labelled_pages import labelled_pages
 
 
@@ -59,3 +62,38 @@ def test_blocks_of_layouts_not_trained_on():
         right += sum(bool(y) == g for y, g in zip(path, gold, strict=True))
         total += len(gold)
     assert right >= 0.9 * total, (right, total)
+
+
+def test_deep_and_broken_pages_take_little_time_and_lose_no_text(spark):
+    """Twenty thousand open tags, and 100 KB of what never closes."""
+    n = 20_000
+    hostile = {
+        "deep": "".join(f'<div class="c{k}">w{k} ' for k in range(n)),
+        "open": "before " + '<a href="x ' * (100_000 // 11),
+        "comment": "before " + "<!-- a> " * 12_000,
+        "inline": "<b>" * n + "<p>t</p>" * n,
+    }
+    field = train(labelled_pages())
+    for name, html in hostile.items():
+        tracemalloc.start()
+        began = time.process_time()
+        blocks = leaf_blocks(html)
+        field.viterbi(field.block_scores(blocks))
+        took, most = time.process_time() - began, tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert took < 15 and most < 100_000_000, (name, took, most)  # the measuring itself slows it down several times
+        text = " ".join(b.text for b in blocks)
+        assert {"deep": text == " ".join(f"w{k}" for k in range(n)), "open": text == " ".join(html.split()), "comment": text == " ".join(html.split()), "inline": text == " ".join(["t"] * n)}[name]
+    shallow = '<body class="page"><div class="a b a"><p>one <a href=x>two</a></p><div id="b"><li>three<li>four</div></div>'
+    blocks = leaf_blocks(shallow)
+    assert np.allclose(field.block_scores(blocks), field.scores(described(blocks)))
+
+
+def test_pages_of_any_kind(spark):
+    page = LAYOUTS[0].replace("!", "")
+    rows = [(1, "u", page, 9), (1, "u", page, 9), (None, None, page, 9), (2, "v", None, 9), (3, "w", "", 9), (4, "x", "no markup", 9), (5, "y", page + "<p>" + "word " * 200_000, 9)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int").withColumn("text", F.lit("clash"))
+    got = extract(df).select("page_id", "url", "text", "n_chars").collect()
+    by = {(r["page_id"], r["url"]): (r["text"], r["n_chars"]) for r in got}
+    assert len(got) == len(rows) and by[1, "u"] == by[None, None] and by[2, "v"] == by[3, "w"] == ("", 0) and by[1, "u"][0].startswith("Harbour bridge reopens")
+    assert all(r["n_chars"] == len(r["text"]) for r in got) and extract(df.limit(0)).count() == 0
