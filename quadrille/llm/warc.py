@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import staged, unstage
+from .common import met, staged, unstage
 
 MAGIC = "WARC/1.0\r\n"
 END = "\r\n\r\n"
@@ -32,17 +32,18 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     Of pages with equal payloads of at least ``min_bytes`` bytes the smallest id is
     a response, others are revisits without payload that refer to it. A null payload
     is empty; a null id or URL leaves its header out; rows repeating the smallest id
-    are all responses.
+    are all responses. An empty table writes no record. Only the three columns named are
+    read, so others can't clash.
 
     The text sink does the writing on the executors: a record is a row and the
     line separator is the blank line that ends a record.
     """
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.regexp_replace(F.col(f"`{url_col}`"), r"[\r\n]+", " ").alias("url"), F.coalesce(F.col(f"`{html_col}`"), F.lit("")).alias("payload"))
     rows = rows.withColumn("digest", base32_sha1(F.encode("payload", "UTF-8"))).withColumn("bytes", F.octet_length("payload").cast("long"))
-    # Copies are told from first ids alone; payloads meet only the small table of repeated digests.
-    first = rows.filter(F.col("bytes") >= min_bytes).groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    first = first.filter(F.col("first") != F.col("last")).drop("last")
-    rows = rows.join(first, "digest", "left")
+    # Copies are told from first ids alone; payloads meet only the table of repeated digests, those of a hot one in many tasks.
+    first = rows.filter(F.col("bytes") >= min_bytes).groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n"))
+    first, staging = staged(first.filter(F.col("first") != F.col("last")).drop("last"), "warc-first")
+    rows = met(rows, first, ["digest"], ["id"], how="left")
     revisit = F.coalesce(F.col("first") < F.col("id"), F.lit(False))
     line = lambda name, value: F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n"))).otherwise("")
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit(END))
@@ -58,6 +59,7 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
         block,
     )
     rows.select(record.alias("value")).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
+    unstage(pages.sparkSession, staging)
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
@@ -139,7 +141,11 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def page_records(records: DataFrame) -> DataFrame:
-    """Pages out of response and revisit records: page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to."""
+    """Pages out of response and revisit records: page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to.
+
+    A row per record, repeated ones too; what a record has no header for is null, and no
+    records give no rows.
+    """
     http = F.substring_index(F.col("block").cast("string"), END, 1)
     page = lambda c: F.regexp_extract(c, r"<urn:page:(-?\d+)>", 1)
     number = lambda name: F.nullif(page(F.coalesce(header(F.col("head"), name), F.lit(""))), F.lit("")).cast("long")
