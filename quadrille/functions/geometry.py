@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType, StringType, StructField, StructType
 
 from quadrille.functions.systems import GRS80, WGS84, System, let
 from quadrille.functions.systems import system as numbered_system
@@ -203,6 +203,13 @@ def repaired(geom: pd.Series) -> pd.Series:
     return pd.Series([None if g is None or not (r := K.mended(rings_of(g))) else flat(r) for g in geom], dtype=object)
 
 
+@F.pandas_udf(StructType([StructField("geom", RINGS_TYPE), StructField("rung", StringType()), StructField("defect", StringType())]))
+def repair_of(geom: pd.Series) -> pd.DataFrame:
+    """The repaired polygon, the rung of the ladder that it comes from, and what was wrong; all null for null."""
+    made = [(None, None, None) if g is None else K.mended_by(rings_of(g)) for g in geom]
+    return pd.DataFrame({"geom": pd.Series([flat(r) if r else None for r, _, _ in made], dtype=object), "rung": pd.Series([x for _, x, _ in made], dtype=object), "defect": pd.Series([x for _, _, x in made], dtype=object)})
+
+
 def simplified(geom: Column, tolerance: float, preserve: bool = True) -> Column:
     @F.pandas_udf(RINGS_TYPE)
     def run(g: pd.Series) -> pd.Series:

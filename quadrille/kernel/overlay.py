@@ -183,23 +183,85 @@ def even_odd(rings: Rings) -> Rings:
     return overlay([rings], lambda w: w[:, 0] % 2 != 0)
 
 
+def canonical(ring: np.ndarray) -> bytes:
+    """The same for all ways to write a ring: from its smallest vertex, in the direction of its smaller neighbour."""
+    p = ring[:-1]
+    k = int(np.lexsort((p[:, 1], p[:, 0]))[0])
+    p = np.roll(p, -k, axis=0)
+    return min(p.tobytes(), np.vstack([p[:1], p[:0:-1]]).tobytes())
+
+
+def collapsed(ring: np.ndarray) -> bool:
+    """Whether all points lie on one line; a bow tie may have no area either, but doesn't."""
+    off = ring - ring[0]
+    far = off[int((off**2).sum(axis=1).argmax())] if len(ring) else off
+    return len(ring) < 4 or not cross(np.broadcast_to(far, off.shape), off).any()
+
+
+def depths(rings: Rings) -> np.ndarray:
+    """How many other rings surround each, of rings whose edges do not cross; by ascending left ends, only those still open are asked."""
+    low, high = np.array([r.min(axis=0) for r in rings]), np.array([r.max(axis=0) for r in rings])
+    out, active = np.zeros(len(rings), int), []
+    for k in np.lexsort((-high[:, 0], low[:, 0])).tolist():
+        active = [j for j in active if high[j, 0] >= low[k, 0]]
+        mid = (rings[k][:1] + rings[k][1:2]) / 2
+        out[k] = sum((low[j] <= low[k]).all() and (high[j] >= high[k]).all() and bool(contains([rings[j]], mid[:, 0], mid[:, 1])[0]) for j in active)
+        active.append(k)
+    return out
+
+
+def defect(rings: Rings) -> str | None:
+    """Why rings are not a valid polygon, outer rings being counter-clockwise; None if they are one."""
+    if not all(np.isfinite(r).all() for r in rings):
+        return "coordinates are not finite"
+    if not all(len(r) > 3 and (r[0] == r[-1]).all() for r in rings):
+        return "a ring is open or has fewer than four points"
+    areas = np.array([signed_area(r) for r in rings])
+    if any(map(collapsed, rings)):
+        return "a ring is collapsed"
+    if crossings(rings):
+        return "edges cross or overlap"
+    if any(len(np.unique(r[:-1], axis=0)) < len(r) - 1 for r in rings):
+        return "a ring touches itself"
+    if len(rings) > 1 and len({canonical(r) for r in rings}) < len(rings):
+        return "a ring is there twice"
+    wrong = (depths(rings) % 2 == 0) != (areas > 0) if len(rings) else np.zeros(0, bool)
+    if wrong.any():
+        return "an outer ring lies in another" if (areas[wrong] > 0).any() else "a hole is in no outer ring"
+    return None
+
+
 def mended(rings: Rings) -> Rings:
-    """A valid polygon: the rings themselves, where edges meet only in common ends and no outer rings overlap.
+    """A valid polygon out of any rings; see ``mended_by``. Nothing, if nothing is left."""
+    return mended_by(rings)[0]
+
 
-    Edges that cross make the region that an odd number of rings surround; outer rings
-    that overlap without crossing are united; rings the wrong way round are turned.
+def mended_by(rings: Rings) -> tuple[Rings, str, str | None]:
+    """(rings, rung, defect): the first rung of a ladder that gives a polygon with area.
+
+    ``valid``: as they are; ``normalised``: without rings of no area, or turned the right
+    way round; ``even-odd``: the region that an odd number of rings surround, where edges
+    cross or rings touch themselves; ``winding``: the union, where outer rings lie in or on
+    each other; ``none``.
     """
-    rings = [r for r in rings if len(r) > 3]
-    if crossings(rings):
-        return even_odd(rings)
-    if sum(signed_area(r) > 0 for r in rings) == 1 and len(rings) == 1:
-        return rings
-    odd = even_odd(rings)
-    outer = union([[r] for r in rings if signed_area(r) > 0])
-    total = area(rings)
-    if total > 0 and abs(total - area(odd)) <= 1e-9 * total:
-        return rings
-    return overlay([rings], lambda w: w[:, 0] > 0) if total > 0 and outer else odd
+    reason = defect(rings)
+    if reason is None:
+        return rings, "valid" if rings else "none", None
+    rings = [r for r in rings if not collapsed(r)]
+    if not rings:
+        return [], "none", reason
+    if crossings(rings) or reason == "a ring touches itself":
+        return told(even_odd(rings), "even-odd", reason)
+    if defect(rings) is None:
+        return rings, "normalised", reason
+    turned = [r if (signed_area(r) > 0) == (d % 2 == 0) else r[::-1] for r, d in zip(rings, depths(rings), strict=True)]
+    if all(signed_area(r) < 0 for r in rings) and defect(turned) is None:
+        return turned, "normalised", reason
+    return told(overlay([rings], lambda w: w[:, 0] > 0) if area(rings) > 0 else even_odd(rings), "winding", reason)
+
+
+def told(rings: Rings, rung: str, reason: str) -> tuple[Rings, str, str | None]:
+    return rings, rung if rings else "none", reason
 
 
 def straightened(rings: Rings) -> Rings:
