@@ -110,13 +110,15 @@ def burn(features: DataFrame, grid: Grid, value: str, order: str) -> DataFrame:
 
     def paint(rows: pd.DataFrame) -> pd.DataFrame:
         out = rows[tile].iloc[:1].copy()
-        data = np.full((int(out["h"].iloc[0]), int(out["w"].iloc[0])), None, object)
+        data = np.full((int(out["h"].iloc[0]), int(out["w"].iloc[0])), np.nan)
         for row, c0, c1, value in rows.sort_values("order", kind="stable")[["row", "c0", "c1", "value"]].itertuples(index=False):
-            data[row, c0 : c1 + 1] = None if pd.isna(value) else value
+            data[row, c0 : c1 + 1] = value
+        # A pixel without a value is NaN until it is null: a polygon's own null paints as none.
         out["data"] = pd.Series([data.ravel()], index=out.index, dtype=object)
         return out
 
-    return last.groupBy(*tile).applyInPandas(paint, "xoff int, yoff int, w int, h int, data array<double>")
+    made = last.groupBy(*tile).applyInPandas(paint, "xoff int, yoff int, w int, h int, data array<double>")
+    return made.select(*tile, F.transform("data", lambda v: F.when(~F.isnan(v), v)).alias("data"))
 
 
 def zonal_stats(tiles: DataFrame, zones: DataFrame, grid: Grid, key: str) -> DataFrame:
@@ -195,6 +197,16 @@ def weighted_total(tiles: DataFrame, grid: Grid) -> DataFrame:
     return tiles.agg((F.coalesce(F.sum(part), F.lit(0.0)) * grid.pixel_ha).alias("total"))
 
 
+def burnt_totals(tiles: DataFrame, mask: DataFrame, grid: Grid) -> DataFrame:
+    """(burnt, total, masked_total) in one pass: pixels with data, their weighted total, and that of those under a mask's ones."""
+    met = tiles.join(mask.select("xoff", "yoff", F.col("data").alias("m")), ["xoff", "yoff"], "left")
+    finite = lambda v: v.isNotNull() & (F.abs(v) < float("inf"))
+    add = lambda c: F.aggregate(F.filter(c, finite), F.lit(0.0), lambda s, v: s + v)
+    under = F.transform("data", lambda v, i: F.when(F.get("m", i) == 1, v))
+    total = lambda c: F.coalesce(F.sum(add(c)), F.lit(0.0)) * grid.pixel_ha
+    return met.agg(F.sum(F.size(F.filter("data", lambda v: v.isNotNull()))).cast("long").alias("burnt"), total(F.col("data")).alias("total"), total(under).alias("masked_total"))
+
+
 def reconciled(raster_total: DataFrame, table_total: DataFrame) -> DataFrame:
     """(raster_total, table_total, difference, percent): two one-row totals side by side; percent is null for a table total of 0."""
     both = raster_total.select(F.col("total").alias("raster_total")).crossJoin(F.broadcast(table_total.select(F.col("total").alias("table_total"))))

@@ -183,9 +183,8 @@ def value_raster(spark, d):
     grid = X.grid()
     tiles = R.burn(X.features(spark, d), grid, "p_retailprice", "fid")
     mask = R.tiles_of(spark.range(grid.width * grid.height).select(F.floor(F.col("id") / grid.width).cast("int").alias("row"), (F.col("id") % grid.width).cast("int").alias("col")).withColumn("value", ((F.col("row") + F.col("col")) % 2 == 0).cast("int")), grid)
-    count = tiles.agg(F.sum(F.size(F.filter("data", lambda x: x.isNotNull()))).cast("long").alias("burnt"))
-    totals = R.weighted_total(tiles, grid).select(F.round("total", 4).alias("total"))
-    return count.crossJoin(F.broadcast(totals)).crossJoin(F.broadcast(R.weighted_total(R.masked(tiles, mask), grid).select(F.round("total", 4).alias("masked_total"))))
+    out = R.burnt_totals(tiles, mask, grid)
+    return out.select("burnt", F.round("total", 4).alias("total"), F.round("masked_total", 4).alias("masked_total"))
 
 
 @query(f"""WITH {PIXELS}, g AS (SELECT greatest(100, coalesce(max(event_id), -1) // 100 + 1) AS h FROM events),
