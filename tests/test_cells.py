@@ -123,6 +123,7 @@ def test_boundary_of_many_points(spark):
     ring[-1] = ring[0]
     edge = spark.createDataFrame([([ring.ravel().tolist()],)], RING)
     rows = [(k, box(x, y, x + 500, y + 500)) for k, (x, y) in enumerate((x, y) for x in range(0, 100_000, 9000) for y in range(0, 100_000, 9000))]
+    rows.append((len(rows), box(89_800, 49_800, 90_300, 50_300)))
     cells = S.boundary_cells(edge, 2000.0)
     most = cells.agg(F.max(G.n_points(F.col("geom"))), F.count_if(F.col("geom").isNull())).first()
     assert most[0] < 5000 and most[1] > 1000
