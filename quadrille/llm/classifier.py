@@ -9,13 +9,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, staged
+from .common import packed, staged, unstage
 from .label_model import fit, pattern_counts
 from .quality_rules import Rule, default_rules, measures
 from .text import SLICE, mix
 
 BITS = 15
-TEXT = "id string, text string"
+#: A labeller votes +1 on at least this share of the good documents it votes on: its limits for -1 are far from ordinary text.
+PRECISE = 0.995
 
 
 def features(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -66,15 +67,17 @@ def train(doc: np.ndarray, bucket: np.ndarray, value: np.ndarray, target: np.nda
     return w
 
 
-def quality_classifier(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: list[Rule] | None = None, sample_rows: int = 4000, threshold: float = 0.5) -> DataFrame:
+def quality_classifier(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: list[Rule] | None = None, sample_rows: int = 4000, sample_bytes: int = 64 << 20, threshold: float = 0.5) -> DataFrame:
     """(id, label_posterior, score, kept) of every document, one row per row of ``docs``.
 
     Overlapping heuristic labellers (by default all quality rules but that on length,
     which says nothing about wording) vote or abstain on every whole text; a label
     model estimates their accuracies over all documents by expectation-maximisation.
     A linear scorer over hashed byte trigrams is trained on the posteriors of the
-    ``sample_rows`` documents with the smallest hashes of id and text (that bound is
-    all that reaches the driver), and scores all documents. ``kept``: score >= threshold.
+    documents with the smallest hashes of id and text, ``sample_rows`` of them or, if
+    those are fewer, as many as have ``sample_bytes`` of features (which is all that
+    reaches the driver; a document has at most 192 KB), and scores all documents.
+    ``kept``: score >= threshold.
 
     Null text counts as empty; an empty text has one feature, the blank. Repeated
     rows score alike. A null id is allowed. An empty table gives no rows.
@@ -86,7 +89,7 @@ def quality_classifier(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     votes = [f"vote{j}" for j in range(len(rules))]
     judged = measures(base).select("__id", F.xxhash64(F.lit(5), "__id", "__text").alias("turn"), *[r.vote().cast("byte").alias(v) for r, v in zip(rules, votes, strict=True)])
     judged, _ = staged(judged, "classifier-votes")
-    model = fit(pattern_counts(judged, [F.col(v) for v in votes]), len(rules))
+    model = fit(pattern_counts(judged, [F.col(v) for v in votes]), len(rules), precise=PRECISE)
     posterior = model.posterior([F.col(v) for v in votes])
     sample = judged.select("turn", posterior.alias("target")).dropDuplicates(["turn"]).orderBy("turn").limit(sample_rows)
     taught, _ = staged(sample, "classifier-sample")
@@ -99,7 +102,11 @@ def quality_classifier(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 pairs = list(zip(cut[:-1], cut[1:], strict=True))
                 yield pd.DataFrame({"turn": part["turn"].to_numpy()[a:b], "target": part["target"].to_numpy()[a:b], "buckets": [bucket[s:e].astype(np.uint16).tobytes() for s, e in pairs], "values": [value[s:e].astype(np.float32).tobytes() for s, e in pairs]})
 
-    rows = texts.mapInPandas(describe, "turn long, target double, buckets binary, values binary").orderBy("turn").collect()
+    told, told_path = staged(texts.mapInPandas(describe, "turn long, target double, buckets binary, values binary"), "classifier-features")
+    sizes = told.select("turn", (F.length("buckets") + F.length("values")).alias("size")).orderBy("turn").collect()  # two numbers a row of the sample
+    fits = int(np.searchsorted(np.cumsum([r["size"] for r in sizes]), sample_bytes, "right"))
+    rows = told.filter(F.col("turn") <= sizes[fits - 1]["turn"]).orderBy("turn").collect() if fits else []
+    unstage(spark, told_path)
     buckets = [np.frombuffer(r["buckets"], np.uint16).astype(np.int64) for r in rows]
     values = [np.frombuffer(r["values"], np.float32).astype(float) for r in rows]
     doc = np.repeat(np.arange(len(rows)), [len(b) for b in buckets])

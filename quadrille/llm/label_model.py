@@ -56,14 +56,16 @@ def pattern_counts(df: DataFrame, votes: list[Column]) -> list[tuple[tuple[int,
     return sorted((tuple(r["__pattern"] // 3**j % 3 - 1 for j in range(len(votes))), r["count"]) for r in rows)
 
 
-def fit(patterns: list[tuple[tuple[int, ...], int]], k: int, prior: float = 0.8, rounds: int = 300, smooth: float = 2.0) -> LabelModel:
+def fit(patterns: list[tuple[tuple[int, ...], int]], k: int, prior: float = 0.8, rounds: int = 300, smooth: float = 2.0, precise: float = 0.5) -> LabelModel:
     """Expectation-maximisation over counted vote patterns.
 
     Documents are good, or bad in the way that one of the rules is there to find;
     given that class, the rules that vote do so independently. The classes start from
     GOOD, OTHER and EXPERT, which weigh as ``smooth`` pseudo-documents. A rule votes
-    +1 on at least half of the good documents and -1 on at least half of those of its
-    own kind, so no class can turn against its meaning. With no rows the starting
+    +1 on at least ``precise`` of the good documents and -1 on at least half of those of
+    its own kind, so no class can turn against its meaning. Where only one rule objects,
+    the counts alone can't tell whether documents are bad or the rule is wrong; a
+    ``precise`` near 1 says that the rules are seldom wrong. With no rows the starting
     values come back.
     """
     start = [[GOOD] * k] + [[EXPERT if i == j else OTHER for i in range(k)] for j in range(k)]
@@ -84,7 +86,7 @@ def fit(patterns: list[tuple[tuple[int, ...], int]], k: int, prior: float = 0.8,
                         won[y][i] += x * scale * (v > 0)
         shares = [(m + smooth * p) / (total + smooth) for m, p in zip(mass, first, strict=True)]
         plus = [[(won[y][i] + smooth * start[y][i]) / (cast[y][i] + smooth) for i in range(k)] for y in range(k + 1)]
-        plus[0] = [max(0.5, r) for r in plus[0]]
+        plus[0] = [max(precise, r) for r in plus[0]]
         for j in range(k):
             plus[j + 1][j] = min(0.5, plus[j + 1][j])
         moved = max(abs(a - b) for a, b in zip(shares, model.shares, strict=True))
