@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, unstage
+from .common import met, staged, unstage
 from .text import ODD, batches, distinct, mix, shingled
 
 
@@ -174,13 +174,14 @@ def components(links: DataFrame) -> tuple[DataFrame, str]:
     labels, path = staged(both.groupBy("id").agg(F.min("other").alias("m")).select("id", F.least("id", "m").alias("label")), "near-labels")
     while True:
         near = both.join(labels.withColumnRenamed("id", "other").withColumnRenamed("label", "seen"), "other").groupBy("id").agg(F.min("seen").alias("seen"))
-        hooked = labels.join(near, "id").select("id", F.col("label").alias("was"), F.least("label", "seen").alias("label"))
-        # Whoever was labelled with a vertex follows that vertex.
-        moved = hooked.groupBy(F.col("was").alias("root")).agg(F.min("label").alias("via"))
-        step = hooked.join(moved, F.col("was") == F.col("root"), "left").select("id", "was", F.least("label", F.coalesce("via", "label")).alias("label"))
+        hooked, hooked_path = staged(labels.join(near, "id").select("id", F.col("label").alias("was"), F.least("label", "seen").alias("label")), "near-hooked")
+        # Whoever was labelled with a vertex follows that vertex; one vertex may label a third of all.
+        moved, moved_path = staged(hooked.groupBy("was").agg(F.min("label").alias("via"), F.count("*").alias("n")), "near-roots")
+        step = met(hooked, moved, ["was"], ["id"]).select("id", "was", F.least("label", "via").alias("label"))
         done, new_path = staged(step, "near-labels")
         changed = done.filter("label <> was").limit(1).count()
-        unstage(spark, path)
+        for old in (path, hooked_path, moved_path):
+            unstage(spark, old)
         labels, path = done.select("id", "label"), new_path
         if not changed:
             return labels, path
@@ -212,26 +213,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prints, _ = staged(base.filter(F.col("__id").isNotNull()).mapInPandas(fingerprints(size, bands, rows, weighted, seed), "id long, f1 long, f2 long, keys array<long>"), "near-prints")
     classes, _ = staged(prints.groupBy("f1", "f2").agg(F.min("id").alias("class"), F.min_by("keys", "id").alias("keys")), "near-classes")
     keyed = classes.select(F.col("class").alias("id"), F.explode("keys").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first <> last").drop("last")
-    members, _ = staged(keyed.join(buckets, "key"), "near-members")
+    buckets, buckets_path = staged(keyed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n")).filter("first <> last").drop("last"), "near-buckets")
+    members, _ = staged(met(keyed, buckets, ["key"], ["id"]), "near-members")
+    unstage(spark, buckets_path)
 
     wanted = members.select("id").distinct()
     texts = base.join(wanted, base["__id"] == wanted["id"]).select("id", "__text").groupBy("id").agg(F.min("__text").alias("__text"))
     sets, _ = staged(texts.mapInPandas(shingle_sets(size), "id long, held long, shingles binary, counts binary"), "near-sets")
 
-    met, _ = staged(members.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "near-pairs")
-    star, _ = staged(verified(met, sets, threshold, weighted), "near-links")
+    pairs, _ = staged(members.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "near-pairs")
+    star, _ = staged(verified(pairs, sets, threshold, weighted), "near-links")
     labels, _ = components(star)
     waiting = members.filter("id <> first").select("key", "id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    waiting = waiting.join(sets.select("id", "held"), "id")
+    waiting, waiting_path = staged(waiting.join(sets.select("id", "held"), "id"), "near-unsettled")
     sizes = waiting.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("held").alias("held"))
     mixed = sizes.groupBy("key").agg(F.max(F.struct("n", "label", "held")).alias("top"), F.sum("n").alias("n"), F.sum("held").alias("held"), F.count("*").alias("parts")).filter("parts > 1")
     cells = lambda n, most, held: F.greatest(F.ceil(n / most), F.ceil(held / cell_shingles))
     mixed = mixed.select(
-        "key", F.col("top.label").alias("largest"), cells(F.col("n"), cell_members, F.col("held")).alias("member_cells"),
+        "key", "n", F.col("top.label").alias("largest"), cells(F.col("n"), cell_members, F.col("held")).alias("member_cells"),
         cells(F.col("n") - F.col("top.n"), cell_pivots, F.col("held") - F.col("top.held")).alias("pivot_cells"),
     )
-    waiting, _ = staged(waiting.drop("held").join(mixed, "key"), "near-waiting")
+    mixed, mixed_path = staged(mixed, "near-mixed")
+    waiting, _ = staged(met(waiting.drop("held"), mixed, ["key"], ["id"]), "near-waiting")
+    for path in (waiting_path, mixed_path):
+        unstage(spark, path)
     cell = lambda salt, n: F.pmod(F.xxhash64(F.lit(salt), "id"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     grid = ["key", "row_cell", "pivot_cell"]
