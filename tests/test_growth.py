@@ -40,5 +40,20 @@ def test_a_level_is_dealt_out_only_where_the_other_side_can_meet_it(spark):
     assert S.spatial_join(small, small, 1.0).count() == sum(abs(a - b) <= 10 for a in range(50) for b in range(50))
 
 
+def test_equal_features_and_pieces_are_united_once(spark, monkeypatch):
+    zones = spark.createDataFrame([("a", box(0, 0, 100, 100))], f"k string, {RINGS}")
+    rows = [(1000 - i, box(10, 10, 20, 30)) for i in range(500)] + [(2000 + i, box(-5 - i, -5, 200, 5)) for i in range(500)]
+    seen, real = [], S.united_cells
+
+    def counted(pieces, *rest):
+        seen.append(pieces.count())
+        return real(pieces, *rest)
+
+    monkeypatch.setattr(S, "united_cells", counted)
+    (row,) = S.dissolve(zones, spark.createDataFrame(rows, f"fid int, {RINGS}"), "k", 50.0).withColumn("a", G.area(F.col("geom"))).collect()
+    assert (round(row["a"], 6), row["first_fid"]) == (200.0 + 500.0, 501)
+    assert seen == [3]
+
+
 def test_features_are_dealt_to_all_cores(spark):
     assert X.features(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
