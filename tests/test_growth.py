@@ -55,5 +55,12 @@ def test_equal_features_and_pieces_are_united_once(spark, monkeypatch):
     assert seen == [3]
 
 
+def test_parts_that_fill_a_box_are_that_box():
+    assert S.filled_box([box(0, 0, 5, 5), box(5, 0, 7, 5)]) == box(0, 0, 7, 5) == S.filled_box([box(0, 0, 7, 5)])
+    assert S.filled_box([box(0, 0, 5, 5), box(5, 0, 7, 4)]) is None
+    assert S.filled_box([[[0.0, 0.0, 2.0, 1.0, 1.0, 3.0, -1.0, 2.0, 0.0, 0.0]]]) is None
+    assert S.filled_box([box(0, 0, 5, 5), [[0.0, 0.0, 1.0, 0.0, 0.0, 1.0, 0.0, 0.0]]]) is None
+
+
 def test_features_are_dealt_to_all_cores(spark):
     assert X.features(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
