@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quadrille.functions import geometry as G
 from quadrille.kernel import wkb
+from quadrille.plans import zonal
 from quadrille.sources import geopackage
 
 BOX = [0.0, 0.0, 9.0, 0.0, 9.0, 9.0, 0.0, 9.0, 0.0, 0.0]
@@ -58,3 +59,11 @@ def test_rows_without_a_layer_are_not_lost(spark, tmp_path):
     geopackage.register(spark)
     spark.createDataFrame([(1, "a"), (2, None), (3, "a")], "n int, kind string").write.format("geopackage").mode("append").option("layerColumn", "kind").save(f"{tmp_path}/l")
     assert {k: spark.read.format("geopackage").load(f"{tmp_path}/l/{k}").count() for k in ("a", "None")} == {"a": 2, "None": 1}
+
+
+def test_zone_layers_are_decoded_by_the_process_that_reads_them(spark, tmp_path):
+    geopackage.register(spark)
+    spark.createDataFrame([("a", [BOX]), ("b", [BOX, HOLE])], "k string, geom array<array<double>>").coalesce(1).write.format("geopackage").mode("append").save(f"{tmp_path}/z")
+    rows, system = zonal.zone_rows(spark, zonal.Zones(f"{tmp_path}/z", "layer", "k"))
+    assert "EvalPython" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, rows.collect())) == [("a", [BOX]), ("b", [BOX, HOLE])] and system.metric()
