@@ -8,6 +8,7 @@ import os
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from quadrille.operators.rasters import read_reclass
 from quadrille.plans.combine import Group, combine_results
@@ -71,7 +72,7 @@ def run(spark: SparkSession, arguments: list[str]) -> list[str]:
     geopackage.register(spark)
     system, edge_system = geopackage.definition_of(a.features), geopackage.definition_of(a.boundary)
     work = system if system.metric() else geopackage.numbered_system(5070)
-    read = lambda path, s: (df := spark.read.format("geopackage").load(path)).withColumn("geom", G.reprojected(G.from_wkb("geom"), s, work))
+    read = lambda path, s: spark.read.format("geopackage").option("geometry", "rings").load(path).withColumn("geom", G.reprojected(F.col("geom"), s, work))
     srid = geopackage.system_of(a.features) if work == system else 5070
     counts = land_layers(read(a.features, system), read(a.boundary, edge_system), a.output, srid, a.tolerance, a.cell, a.overwrite)
     return [files.summary(spark.createDataFrame(sorted(counts.items()), "name string, n long"), "name", "n")]

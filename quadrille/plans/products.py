@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quadrille.functions import geometry as G
 from quadrille.operators import attributes as T
 from quadrille.operators import spatial as S
 from quadrille.sources import files, geopackage
@@ -24,7 +23,7 @@ def land_layers(features: DataFrame, boundary: DataFrame, out: str, srid: int =
     """
     geopackage.register(features.sparkSession)
     clipped = staged(S.clip(features, boundary, tolerance, cell), "land")
-    products = T.land_products(clipped.filter("status = 'ok'")).select("land_type", F.col("fid").cast("long").alias(NUMBER_COLUMN), G.to_wkb("geom").alias("geom"))
+    products = T.land_products(clipped.filter("status = 'ok'")).select("land_type", F.col("fid").cast("long").alias(NUMBER_COLUMN), "geom")
     products.write.format("geopackage").mode("overwrite" if overwrite else "append").option("layerColumn", "land_type").option("srid", srid).save(f"{out}/layers")
     files.write_failures(clipped.withColumnRenamed("fid", NUMBER_COLUMN), f"{out}/failures", [NUMBER_COLUMN])
     ok = F.col("status") == "ok"

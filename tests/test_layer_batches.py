@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quadrille.functions import geometry as G
 from quadrille.kernel import wkb
 from quadrille.plans import zonal
+from quadrille.plans.products import land_layers
 from quadrille.sources import geopackage
 
 BOX = [0.0, 0.0, 9.0, 0.0, 9.0, 9.0, 0.0, 9.0, 0.0, 0.0]
@@ -67,3 +68,13 @@ def test_zone_layers_are_decoded_by_the_process_that_reads_them(spark, tmp_path)
     rows, system = zonal.zone_rows(spark, zonal.Zones(f"{tmp_path}/z", "layer", "k"))
     assert "EvalPython" not in rows._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, rows.collect())) == [("a", [BOX]), ("b", [BOX, HOLE])] and system.metric()
+
+
+def test_land_layers_are_written_without_a_pass_for_their_binary(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(G, "to_wkb", None)
+    names = ["Mang_Type", "Own_Type", "Mang_Name", "Own_Name", "Des_Tp", "Pub_Access"]
+    land = spark.createDataFrame([(1, [BOX]), (2, [TRIANGLE])], "fid long, geom array<array<double>>").select("fid", "geom", *[F.lit("FED" if c == "Mang_Type" else None).cast("string").alias(c) for c in names])
+    edge = spark.createDataFrame([([[v * 9 - 9 for v in BOX]],)], "geom array<array<double>>")
+    assert land_layers(land, edge, f"{tmp_path}/out", tolerance=0.1, cell=50.0) == {"ok": 2, "all": 2, "public": 2}
+    got = spark.read.format("geopackage").option("geometry", "rings").load(f"{tmp_path}/out/layers/public")
+    assert sorted((r[0], r[1]) for r in got.select("source_fid", G.area(F.col("geom"))).collect()) == [(1, 81.0), (2, 3.0)]
