@@ -1,9 +1,10 @@
 """Removal of repeated strings against brute force over all starts."""
 
+import hashlib
 import random
 from collections import Counter
 
-from quadrille.llm import repeats
+from quadrille.llm import entries, repeats
 from quadrille.llm.repeats import remove_repeats
 
 SCHEMA = "doc_id long, text string, extra string"
@@ -79,3 +80,18 @@ def test_slices_of_a_long_document(monkeypatch):
     whole = marks()
     monkeypatch.setattr(repeats, "SLICE", 1500)
     assert marks() == whole and whole[0][0] == -1 and len({m[0] for m in whole}) == len(whole)
+
+
+def test_query_takes_passages_of_400_bytes_and_no_shorter_ones(spark, tmp_path):
+    rng = random.Random(12)
+    words = lambda n: " ".join("".join(rng.choice("abcdef") for _ in range(5)) for _ in range(n))
+    short, long = words(66) + "wxyz", words(66) + "vwxyz"
+    assert (len(short), len(long), len(short.split())) == (399, 400, 66)
+    texts = [f"{words(70)} <{k}{p}{k}> {words(40)}" for k in range(3) for p in (short, long, "")]
+    spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in entries.op8_repeats(spark, str(tmp_path)).collect()}
+    for k, t in enumerate(texts):
+        left = t.replace(long, "")
+        want = (len(t), len(t) - len(left), int(left != t), hashlib.sha256(left.encode()).hexdigest(), left, len(left))
+        assert tuple(got[k][c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "text", "n_kept")) == want
+    assert len(got) == 9 and [got[k]["n_removed"] for k in range(9)] == [0, 400, 0] * 3
